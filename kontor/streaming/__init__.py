@@ -1,0 +1 @@
+"""Incremental ledger loading with Structured Streaming."""
