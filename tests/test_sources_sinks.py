@@ -1,0 +1,184 @@
+"""Feed readers, the partitioned ledger sink, the report sink and streaming."""
+
+import json
+import os
+
+from helpers import epoch
+from pyspark.sql import functions as F
+
+from kontor.operators.normalize import (
+    INVESTMENTS_SPEC,
+    PIX_SPEC,
+    TRANSFER_IN_SPEC,
+    TRANSFER_OUT_SPEC,
+    build_ledger,
+)
+from kontor.plans.reports import account_monthly_balance, investments_daily_balance
+from kontor.schemas import LEDGER_COLUMNS, PIX_MOVEMENTS
+from kontor.sources.files import load_investments, read_nested_investments, register_feeds
+from kontor.sources.sinks import write_ledger, write_report_csv
+from kontor.streaming.ledger_stream import append_to_ledger, feed_stream, ledger_stream
+
+
+def _write(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as fh:
+        fh.write(text)
+
+
+def _csv_feeds(root):
+    t = epoch("2020-04-01")
+    _write(f"{root}/accounts/part-0.csv", "account_id,customer_id\n1,101\n2,102\n")
+    _write(f"{root}/customers/part-0.csv", "customer_id,country_name\n101,Brazil\n")
+    _write(
+        f"{root}/pix_movements/part-0.csv",
+        "id,account_id,in_or_out,pix_amount,pix_requested_at,pix_completed_at,status\n"
+        f"1,1,pix_in,10.5,{t},{t + 2},completed\n2,2,pix_out,3.25,{t + 5},None,failed\n",
+    )
+    _write(
+        f"{root}/transfer_ins/part-0.csv",
+        "id,account_id,amount,transaction_requested_at,transaction_completed_at,status\n"
+        f"3,1,100.0,{t},{t + 60},completed\n",
+    )
+    _write(
+        f"{root}/transfer_outs/part-0.csv",
+        "id,account_id,amount,transaction_requested_at,transaction_completed_at,status\n"
+        f"4,2,40.0,{t},,completed\n",
+    )
+    _write(
+        f"{root}/investments/part-0.csv",
+        "id,account_id,amount,investment_requested_at,investment_completed_at,status,type\n"
+        f"5,1,50.0,{t},{t + 1},completed,investment_transfer_in\n"
+        f"6,1,20.0,{t + 86400},{t + 86401},completed,investment_transfer_out\n",
+    )
+    _write(f"{root}/investment_accounts_to_send/part-0.csv", "account_id\n1\n")
+
+
+def _ledger_from(feeds):
+    return build_ledger(
+        [
+            (feeds["pix_movements"], PIX_SPEC),
+            (feeds["transfer_ins"], TRANSFER_IN_SPEC),
+            (feeds["transfer_outs"], TRANSFER_OUT_SPEC),
+            (feeds["investments"], INVESTMENTS_SPEC),
+        ],
+        feeds["accounts"],
+        feeds["customers"],
+    )
+
+
+def test_csv_feeds_with_schema_and_views(spark, scratch):
+    _csv_feeds(scratch)
+    feeds = register_feeds(spark, scratch)
+    assert dict(feeds["pix_movements"].dtypes)["pix_requested_at"] == "bigint"
+    assert spark.table("transfer_outs").collect()[0].transaction_completed_at is None  # empty -> NULL
+    ledger = _ledger_from(feeds)
+    assert ledger.count() == 6
+    assert ledger.columns == LEDGER_COLUMNS
+
+
+def test_ledger_sink_partitioned_and_pruned(spark, scratch):
+    _csv_feeds(scratch)
+    ledger = _ledger_from(register_feeds(spark, scratch))
+    out = f"{scratch}/ledger"
+    write_ledger(ledger, path=out)
+    assert sorted(p for p in os.listdir(out) if p.startswith("product=")) == [
+        "product=investments", "product=non_pix", "product=pix"
+    ]
+    stored = spark.read.parquet(out)
+    assert stored.count() == 6
+    report = investments_daily_balance(stored, ("2020-04-01", "2020-04-30"))
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    partition_filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "month#" in partition_filters and "product#" in partition_filters
+    assert "PushedFilters: [IsNotNull(event_date), IsNotNull(status)" in plan
+    assert sorted((r.day, r.account_daily_balance) for r in report.collect()) == [
+        (1, 50.0 + 50.0 * 0.0001),
+        (2, 30.0 + 30.0 * 0.0001),
+    ]
+    # a second overwrite of one partition leaves the others (dynamic overwrite)
+    write_ledger(ledger.where(F.col("product") == "pix"), path=out)
+    assert spark.read.parquet(out).count() == 6
+
+
+def test_ledger_sink_table_overwrite_then_append(spark, scratch):
+    _csv_feeds(scratch)
+    ledger = _ledger_from(register_feeds(spark, scratch))
+    spark.sql("DROP TABLE IF EXISTS products_daily_events")
+    write_ledger(ledger.where(F.col("product") == "pix"), table="products_daily_events")
+    write_ledger(ledger.where(F.col("product") != "pix"), table="products_daily_events", mode="append")
+    assert spark.table("products_daily_events").count() == 6
+    monthly = account_monthly_balance(spark.table("products_daily_events"), ("2020-01-01", "2020-12-31"))
+    assert {(r.account_id, r.account_monthly_balance) for r in monthly.collect()} == {(1, 110.5), (2, -40.0)}  # the pix row of 2 failed
+
+
+def test_nested_json_array_file_and_lines(spark, scratch):
+    docs = [
+        {"account_id": "7", "transactions": [
+            {"transaction_id": "1", "status": "completed", "amount": "12.5",
+             "investment_requested_at": "1585699200", "investment_completed_at": "1585699201",
+             "investment_completed_at_timestamp": "2020-04-01", "type": "investment_transfer_in"},
+            {"transaction_id": "2", "status": "failed", "amount": "3",
+             "investment_requested_at": "1585699300", "investment_completed_at": "None",
+             "type": "investment_transfer_out"}]},
+        {"account_id": "8", "transactions": []},
+    ]
+    _write(f"{scratch}/array/investments_json.txt", json.dumps(docs, indent=2))
+    _write(f"{scratch}/lines/investments.json", "\n".join(json.dumps(d) for d in docs) + "\n")
+    arr = read_nested_investments(spark, f"{scratch}/array")
+    assert arr.count() == 2
+    flat_a = load_investments(spark, f"{scratch}/array")
+    flat_l = load_investments(spark, f"{scratch}/lines", multiline=False)
+    want = [(1, 7, 12.5, 1585699200, "1585699201", "completed", "investment_transfer_in"),
+            (2, 7, 3.0, 1585699300, "None", "failed", "investment_transfer_out")]
+    assert sorted(tuple(r) for r in flat_a.collect()) == want
+    assert sorted(tuple(r) for r in flat_l.collect()) == want
+
+
+def test_report_csv_single_file_and_parts(spark, scratch):
+    df = spark.range(0, 50).select(
+        (F.col("id") % 7).alias("account_id"), F.lit("2020-01").alias("month"), (F.col("id") % 28 + 1).alias("day")
+    )
+    one = f"{scratch}/one"
+    assert write_report_csv(df, one, order_by=("account_id", "month", "day")) is True
+    parts = [p for p in os.listdir(one) if p.startswith("part-")]
+    assert len(parts) == 1
+    back = spark.read.option("header", True).csv(one)
+    assert back.count() == 50
+    many = f"{scratch}/many"
+    assert write_report_csv(df.repartition(4), many, single_file_max_rows=10) is False
+    assert spark.read.option("header", True).csv(many).count() == 50
+
+
+def test_streaming_append_is_exactly_once(spark, scratch):
+    t = epoch("2020-06-01")
+    src = f"{scratch}/pix_in"
+    _write(
+        f"{src}/a.csv",
+        "id,account_id,in_or_out,pix_amount,pix_requested_at,pix_completed_at,status\n"
+        f"1,1,pix_in,10.0,{t},{t + 1},completed\n",
+    )
+    accounts = spark.createDataFrame([(1, 101)], "account_id long, customer_id long")
+    customers = spark.createDataFrame([(101, "Brazil")], "customer_id long, country_name string")
+    out, ckpt = f"{scratch}/ledger", f"{scratch}/ckpt"
+
+    def run():
+        rows = ledger_stream(feed_stream(spark, src, PIX_MOVEMENTS), PIX_SPEC, accounts, customers)
+        q = append_to_ledger(rows, out, ckpt)
+        q.awaitTermination(120)
+
+    run()
+    assert spark.read.parquet(out).count() == 1
+    run()  # restart with no new file: nothing appended twice
+    assert spark.read.parquet(out).count() == 1
+    _write(
+        f"{src}/b.csv",
+        "id,account_id,in_or_out,pix_amount,pix_requested_at,pix_completed_at,status\n"
+        f"2,1,pix_out,4.0,{t + 60},None,failed\n3,9,pix_in,1.0,{t + 70},{t + 71},completed\n",
+    )
+    run()
+    got = spark.read.parquet(out)
+    assert got.count() == 3
+    rows = {r.txn_id: r for r in got.collect()}
+    assert rows[1].country_name == "Brazil" and rows[3].country_name is None
+    assert rows[2].in_or_out == "out" and rows[2].month == "2020-06"
