@@ -84,22 +84,25 @@ def sequence_columns(
         F.lag("_t_max").over(by_bucket).alias("_prev_t_max"),
     )
 
+    # One sort per (keys, bucket) in the total order serves both columns: the
+    # row number in that order, maxed over the rows tied on the instant, is the
+    # RANGE count (ties are peers); the tie window needs no sort of its own,
+    # since (keys, bucket, instant) is a prefix of the order already there.
     in_bucket = Window.partitionBy(*keys, b)
-    ever = in_bucket.orderBy("txn_requested_at").rangeBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
     ordered = in_bucket.orderBy(*_sequence_order())
+    ties = Window.partitionBy(*keys, b, "txn_requested_at")
     return (
         rows.join(carried, [*keys, b], "inner")
-        .withColumn(
-            "count_txns_orders_per_account_ever",
-            F.col("_before") + F.count(F.lit(1)).over(ever),
-        )
+        .withColumn("_rn", F.row_number().over(ordered))
         .withColumn(
             "last_txn_date",
             F.coalesce(F.lag("txn_requested_at").over(ordered), F.col("_prev_t_max")),
         )
-        .drop(b, "_before", "_prev_t_max")
+        .withColumn(
+            "count_txns_orders_per_account_ever",
+            (F.col("_before") + F.max("_rn").over(ties)).cast("bigint"),
+        )
+        .drop(b, "_before", "_prev_t_max", "_rn")
     )
 
 

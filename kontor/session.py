@@ -41,6 +41,7 @@ def build_session(
         builder = builder.master(master)
     conf = dict(SESSION_DEFAULTS)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
