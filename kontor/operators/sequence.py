@@ -11,10 +11,10 @@ buckets is carried in from a per-bucket summary:
 2. a window over the summary, per account ordered by bucket: rows in earlier
    buckets and the latest instant of the previous bucket. Its partitions hold
    one row per active bucket, not one per transaction;
-3. rows join their bucket's summary on (keys, bucket) and run the row window
-   per (keys, bucket). The join and the window share one hash partitioning,
-   so the rows are shuffled once, as for a plain window, but a hot account
-   spreads over as many tasks as it has active buckets.
+3. each bucket's summary joins its rows as one header row (a union, not a
+   join) and the row windows run per (keys, bucket): the rows are shuffled
+   once, as for a plain window, but a hot account spreads over as many tasks
+   as it has active buckets.
 
 Results equal the plain windows (``kontor.functions.windows``), ties included.
 """
@@ -75,34 +75,45 @@ def sequence_columns(
         F.count(F.lit(1)).alias("_n"), F.max("txn_requested_at").alias("_t_max")
     )
     by_bucket = Window.partitionBy(*keys).orderBy(b)
-    carried = summary.select(
+    headers = summary.select(
         *keys,
         b,
         F.coalesce(
             F.sum("_n").over(by_bucket.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ).alias("_before"),
         F.lag("_t_max").over(by_bucket).alias("_prev_t_max"),
+        F.lit(1).alias("_hdr"),
     )
 
-    # One sort per (keys, bucket) in the total order serves both columns: the
-    # row number in that order, maxed over the rows tied on the instant, is the
-    # RANGE count (ties are peers); the tie window needs no sort of its own,
-    # since (keys, bucket, instant) is a prefix of the order already there.
-    in_bucket = Window.partitionBy(*keys, b)
-    ordered = in_bucket.orderBy(*_sequence_order())
+    # The bucket's summary travels as one extra "header" row of the bucket
+    # (request instant NULL, so it sorts first) instead of through a join: a
+    # union has no join strategy that could keep the summary's per-account
+    # partitioning, so the rows are always exchanged on (keys, bucket).
+    # One sort in the total order then serves every window below: the running
+    # count of data rows, maxed over rows tied on the instant, is the RANGE
+    # count; the tie window and the whole-bucket window sort nothing more,
+    # since their keys are a prefix of that order.
+    tagged = rows.withColumn("_hdr", F.lit(0)).unionByName(headers, allowMissingColumns=True)
+    ordered = Window.partitionBy(*keys, b).orderBy(*_sequence_order())
+    whole = Window.partitionBy(*keys, b)
     ties = Window.partitionBy(*keys, b, "txn_requested_at")
     return (
-        rows.join(carried, [*keys, b], "inner")
-        .withColumn("_rn", F.row_number().over(ordered))
-        .withColumn(
-            "last_txn_date",
-            F.coalesce(F.lag("txn_requested_at").over(ordered), F.col("_prev_t_max")),
+        tagged.withColumn(
+            "_rn",
+            F.sum(F.lit(1) - F.col("_hdr")).over(
+                ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            ),
         )
+        .withColumn("_lag", F.lag("txn_requested_at").over(ordered))
+        .withColumn("_before", F.max("_before").over(whole))
+        .withColumn("_prev_t_max", F.max("_prev_t_max").over(whole))
+        .where(F.col("_hdr") == 0)
         .withColumn(
             "count_txns_orders_per_account_ever",
             (F.col("_before") + F.max("_rn").over(ties)).cast("bigint"),
         )
-        .drop(b, "_before", "_prev_t_max", "_rn")
+        .withColumn("last_txn_date", F.coalesce(F.col("_lag"), F.col("_prev_t_max")))
+        .drop(b, "_before", "_prev_t_max", "_rn", "_lag", "_hdr")
     )
 
 
