@@ -1,13 +1,19 @@
-"""Per-account transaction sequence dimensions, split into time buckets.
+"""Per-account transaction sequence dimensions, hot accounts split into time buckets.
 
 A plain ``Window.partitionBy("account_id")`` sends every row of an account to
 one task. When one account holds a large share of all rows that task holds it
-too. Here each account is cut into buckets of ``bucket_seconds`` of request
-time and the window runs per (account, bucket); what a row needs from earlier
-buckets is carried in from a per-bucket summary:
+too. Here the accounts with at least ``hot_rows`` rows are cut into buckets of
+``bucket_seconds`` of request time and the window runs per (account, bucket);
+every other account is one bucket. What a row needs from earlier buckets is
+carried in from a per-bucket summary:
 
-1. summary per (keys, bucket): row count and latest request instant
-   (a partial-then-final aggregate: a hot account collapses map-side);
+0. hot accounts: a per-account row count (partial + final aggregate) keeps
+   those with at least ``hot_rows`` rows. There are at most
+   ``total rows / hot_rows`` of them, a bound that does not grow with the
+   number of accounts; the set is broadcast after its measured size is
+   checked. Should it not fit, every account is bucketed (same results);
+1. summary per (keys, bucket) of the hot rows: row count and latest request
+   instant (a partial-then-final aggregate: a hot account collapses map-side);
 2. a window over the summary, per account ordered by bucket: rows in earlier
    buckets and the latest instant of the previous bucket. Its partitions hold
    one row per active bucket, not one per transaction;
@@ -28,8 +34,11 @@ from pyspark.sql import functions as F
 
 from kontor.functions.columns import SECONDS_PER_DAY, try_long
 from kontor.functions.windows import ACCOUNT_KEYS, TIE_BREAKERS
+from kontor.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, row_width
 
 DEFAULT_BUCKET_SECONDS = 3600
+# An account with at least this many rows is split into time buckets.
+DEFAULT_HOT_ROWS = 1_000_000
 # Bucket of rows whose request instant is NULL: ordered before every other.
 _NULL_BUCKET = -(2**62)
 
@@ -49,6 +58,59 @@ def _bucket(width: int) -> Column:
     )
 
 
+def hot_accounts(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """Keys with at least ``hot_rows`` rows (at most ``count(df) / hot_rows``)."""
+    return (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") >= F.lit(hot_rows))
+        .select(*keys)
+    )
+
+
+def with_buckets(
+    df: DataFrame,
+    keys: Sequence[str],
+    width: int,
+    hot_rows: int = DEFAULT_HOT_ROWS,
+    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+) -> tuple[DataFrame, bool]:
+    """Add ``_hot`` (account is split) and ``_bucket`` (0 for other accounts).
+
+    Returns the frame and whether any account is split. The hot set is
+    measured (one count over the per-account aggregate); when it is empty no
+    account is split and nothing is joined. The hot set joins by a null-safe
+    key match, so a hot NULL account is split too. ``hot_rows <= 1`` splits
+    every account without measuring anything.
+    """
+    keys = list(keys)
+    if hot_rows <= 1:
+        return df.withColumn("_hot", F.lit(True)).withColumn("_bucket", _bucket(width)), True
+    hot = (
+        hot_accounts(df, keys, hot_rows)
+        .select(*[F.col(k).alias(f"_h_{k}") for k in keys])
+        .withColumn("_hot", F.lit(True))
+    )
+    n_hot = hot.count()
+    if n_hot == 0:
+        none = df.withColumn("_hot", F.lit(False)).withColumn("_bucket", F.lit(0).cast("bigint"))
+        return none, False
+    if n_hot * row_width(hot.schema) > max_broadcast_bytes:
+        return with_buckets(df, keys, width, hot_rows=1)
+    side = F.broadcast(hot)
+    cond = None
+    for k in keys:
+        c = df[k].eqNullSafe(F.col(f"_h_{k}"))
+        cond = c if cond is None else cond & c
+    split = (
+        df.join(side, cond, "left")
+        .drop(*[f"_h_{k}" for k in keys])
+        .withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
+        .withColumn("_bucket", F.when(F.col("_hot"), _bucket(width)).otherwise(F.lit(0).cast("bigint")))
+    )
+    return split, True
+
+
 def _sequence_order() -> list[Column]:
     return [F.col("txn_requested_at").asc_nulls_first()] + [
         F.col(c).asc_nulls_first() for c in TIE_BREAKERS
@@ -59,6 +121,7 @@ def sequence_columns(
     df: DataFrame,
     keys: Sequence[str] = ACCOUNT_KEYS,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    hot_rows: int = DEFAULT_HOT_ROWS,
 ) -> DataFrame:
     """Add ``count_txns_orders_per_account_ever`` and ``last_txn_date``.
 
@@ -69,9 +132,11 @@ def sequence_columns(
     """
     keys = list(keys)
     b = "_bucket"
-    rows = df.withColumn(b, _bucket(bucket_seconds))
+    rows, any_hot = with_buckets(df, keys, bucket_seconds, hot_rows)
 
-    summary = rows.groupBy(*keys, b).agg(
+    # Accounts that are not split are one bucket each: nothing to carry in,
+    # so only hot rows are summarised (no header: carry-in 0 / NULL).
+    summary = rows.where(F.col("_hot")).groupBy(*keys, b).agg(
         F.count(F.lit(1)).alias("_n"), F.max("txn_requested_at").alias("_t_max")
     )
     by_bucket = Window.partitionBy(*keys).orderBy(b)
@@ -93,7 +158,13 @@ def sequence_columns(
     # count of data rows, maxed over rows tied on the instant, is the RANGE
     # count; the tie window and the whole-bucket window sort nothing more,
     # since their keys are a prefix of that order.
-    tagged = rows.withColumn("_hdr", F.lit(0)).unionByName(headers, allowMissingColumns=True)
+    tagged = rows.withColumn("_hdr", F.lit(0))
+    if any_hot:
+        tagged = tagged.unionByName(headers, allowMissingColumns=True)
+    else:
+        tagged = tagged.withColumn("_before", F.lit(None).cast("bigint")).withColumn(
+            "_prev_t_max", F.lit(None).cast("bigint")
+        )
     ordered = Window.partitionBy(*keys, b).orderBy(*_sequence_order())
     whole = Window.partitionBy(*keys, b)
     ties = Window.partitionBy(*keys, b, "txn_requested_at")
@@ -110,10 +181,10 @@ def sequence_columns(
         .where(F.col("_hdr") == 0)
         .withColumn(
             "count_txns_orders_per_account_ever",
-            (F.col("_before") + F.max("_rn").over(ties)).cast("bigint"),
+            (F.coalesce(F.col("_before"), F.lit(0)) + F.max("_rn").over(ties)).cast("bigint"),
         )
         .withColumn("last_txn_date", F.coalesce(F.col("_lag"), F.col("_prev_t_max")))
-        .drop(b, "_before", "_prev_t_max", "_rn", "_lag", "_hdr")
+        .drop(b, "_before", "_prev_t_max", "_rn", "_lag", "_hdr", "_hot")
     )
 
 
@@ -121,6 +192,7 @@ def txn_dimensions(
     df: DataFrame,
     keys: Sequence[str] = ACCOUNT_KEYS,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    hot_rows: int = DEFAULT_HOT_ROWS,
 ) -> DataFrame:
     """All ledger columns plus the six transaction dimensions, in order:
 
@@ -130,7 +202,7 @@ def txn_dimensions(
     request of the previous row, in days).
     """
     completed = try_long("txn_completed_at")
-    with_seq = sequence_columns(df, keys, bucket_seconds)
+    with_seq = sequence_columns(df, keys, bucket_seconds, hot_rows)
     return with_seq.select(
         *df.columns,
         F.from_unixtime("txn_requested_at").alias("txn_requested_at_ts"),
@@ -150,22 +222,25 @@ def trailing_count(
     keys: Sequence[str] = ACCOUNT_KEYS,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     name: str | None = None,
+    hot_rows: int = DEFAULT_HOT_ROWS,
 ) -> DataFrame:
     """Count of the account's rows with request instant in [t - seconds, t].
 
-    Buckets are at least ``seconds`` wide, so the frame of a row reaches back
-    into the previous bucket at most. Rows close enough to the next bucket's
-    start are copied there once as context (at most one copy per row); the
-    window counts context and own rows, and only own rows are kept.
+    Hot accounts' buckets are at least ``seconds`` wide, so the frame of a row
+    reaches back into the previous bucket at most. Their rows close enough to
+    the next bucket's start are copied there once as context (at most one copy
+    per row); the window counts context and own rows, and only own rows are
+    kept. Other accounts are one bucket and get no copies.
     """
     keys = list(keys)
     name = name or f"count_txns_last_{seconds}s"
     width = max(int(bucket_seconds), int(seconds))
     b = "_bucket"
     t = F.col("txn_requested_at").cast("bigint")
-    base = df.withColumn(b, _bucket(width)).withColumn("_ctx", F.lit(False))
+    base, _ = with_buckets(df, keys, width, hot_rows)
+    base = base.withColumn("_ctx", F.lit(False))
     spill = (
-        base.where(t + F.lit(seconds) >= (F.col(b) + 1) * F.lit(width))
+        base.where(F.col("_hot") & (t + F.lit(seconds) >= (F.col(b) + 1) * F.lit(width)))
         .withColumn(b, F.col(b) + 1)
         .withColumn("_ctx", F.lit(True))
     )
@@ -178,5 +253,5 @@ def trailing_count(
         base.unionByName(spill)
         .withColumn(name, F.count(F.lit(1)).over(frame))
         .where(~F.col("_ctx"))
-        .drop(b, "_ctx")
+        .drop(b, "_ctx", "_hot")
     )

@@ -24,7 +24,7 @@ from kontor.operators.cohort import restrict_to_cohort
 from kontor.operators.filters import interval_closed
 from kontor.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, broadcast_if_small
 from kontor.operators.normalize import PRODUCT_INVESTMENTS, PRODUCT_NON_PIX, PRODUCT_PIX
-from kontor.operators.sequence import DEFAULT_BUCKET_SECONDS, txn_dimensions
+from kontor.operators.sequence import DEFAULT_BUCKET_SECONDS, DEFAULT_HOT_ROWS, txn_dimensions
 
 # Fixed value: daily yield on the running investment movements.
 FIXED_RATE = 0.0001
@@ -170,6 +170,7 @@ def with_dimensions(
     products: Sequence[str] | None = (PRODUCT_PIX,),
     by_product: bool = False,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    hot_rows: int = DEFAULT_HOT_ROWS,
 ) -> DataFrame:
     """Ledger rows of ``products`` (all when None) with the six transaction
     dimensions. Windows run per account within the selected rows; with
@@ -177,7 +178,7 @@ def with_dimensions(
     selected on its own."""
     df = ledger if products is None else ledger.where(F.col("product").isin(*products))
     keys = ("product", "account_id") if by_product else ("account_id",)
-    return txn_dimensions(df, keys, bucket_seconds)
+    return txn_dimensions(df, keys, bucket_seconds, hot_rows)
 
 
 def monthly_metrics(
@@ -197,6 +198,7 @@ def kpi_series(
     products: Sequence[str] | None = None,
     by_product: bool = True,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    hot_rows: int = DEFAULT_HOT_ROWS,
 ) -> DataFrame:
     """Ledger -> (dimensions when needed) -> monthly metrics, in one plan.
 
@@ -205,7 +207,7 @@ def kpi_series(
     """
     names = list(metrics)
     if set(names) & M.NEEDS_DIMENSIONS:
-        df = with_dimensions(ledger, products, by_product, bucket_seconds)
+        df = with_dimensions(ledger, products, by_product, bucket_seconds, hot_rows)
     else:
         df = ledger if products is None else ledger.where(F.col("product").isin(*products))
     return monthly_metrics(df, names, by_product)

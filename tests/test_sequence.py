@@ -59,15 +59,19 @@ def _brute(rows, keys_idx):
     return out
 
 
-@pytest.mark.parametrize("seed,bucket", [(1, 7), (2, 60), (3, 3600), (4, 1)])
-def test_bucketed_equals_brute_force(spark, seed, bucket):
+@pytest.mark.parametrize(
+    "seed,bucket,hot",
+    [(1, 7, 1), (2, 60, 1), (3, 3600, 1), (4, 1, 1), (5, 7, 60), (6, 60, 10**9), (7, 13, 100)],
+)
+def test_bucketed_equals_brute_force(spark, seed, bucket, hot):
+    """hot=1 splits every account, 10**9 none, the others only the big ones."""
     rows = _random_rows(seed)
     tagged = [r[:11] + (r[11] * 1000 + i,) for i, r in enumerate(rows)]
     df = ledger_df(spark, tagged)
     keys = ("product", "account_id")
-    seq = sequence_columns(df, keys, bucket_seconds=bucket)
-    seq = trailing_count(seq, 24, keys, bucket_seconds=bucket, name="c24")
-    seq = trailing_count(seq, 900, keys, bucket_seconds=bucket, name="c900")
+    seq = sequence_columns(df, keys, bucket_seconds=bucket, hot_rows=hot)
+    seq = trailing_count(seq, 24, keys, bucket_seconds=bucket, name="c24", hot_rows=hot)
+    seq = trailing_count(seq, 900, keys, bucket_seconds=bucket, name="c900", hot_rows=hot)
     got = {
         r.txn_id % 1000: (r.count_txns_orders_per_account_ever, r.last_txn_date, r.c24, r.c900)
         for r in seq.collect()
@@ -87,7 +91,11 @@ def test_bucketed_equals_plain_windows(spark):
         F.count(F.lit(1)).over(account_trailing_window(86400)).alias("day_count"),
     )
     bucketed = trailing_count(
-        sequence_columns(df, bucket_seconds=300), 86400, bucket_seconds=300, name="day_count"
+        sequence_columns(df, bucket_seconds=300, hot_rows=200),
+        86400,
+        bucket_seconds=300,
+        name="day_count",
+        hot_rows=200,
     ).select(
         *df.columns,
         F.col("count_txns_orders_per_account_ever").alias("ever"),

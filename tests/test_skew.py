@@ -55,12 +55,18 @@ def test_plain_window_puts_hot_account_in_one_task(spark, no_coalesce):
     assert _max_task_share(plain, "ever", "prev") >= 0.5
 
 
+def test_hot_set_is_only_the_hot_account(spark):
+    from kontor.operators.sequence import hot_accounts
+
+    assert [r.account_id for r in hot_accounts(_hot_ledger(spark), ["account_id"], 1000).collect()] == [0]
+
+
 def test_bucketed_windows_spread_hot_account(spark, no_coalesce):
     df = _hot_ledger(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    seq = sequence_columns(df, bucket_seconds=3600)
+    seq = sequence_columns(df, bucket_seconds=3600, hot_rows=1000)
     assert _max_task_share(seq, "count_txns_orders_per_account_ever", "last_txn_date") < 1.5 / parts + 0.05
-    trail = trailing_count(df, 86400, bucket_seconds=3600)
+    trail = trailing_count(df, 86400, bucket_seconds=3600, hot_rows=1000)
     assert _max_task_share(trail, "count_txns_last_86400s") < 1.5 / parts + 0.05
     hot = seq.where("account_id = 0").agg(F.max("count_txns_orders_per_account_ever")).first()[0]
     assert hot == N // 2
