@@ -160,8 +160,11 @@ KPI_METRICS = [
     "p90",
 ]
 
-# Metrics that read the row-level transaction dimensions.
-NEEDS_DIMENSIONS = {"avg_time_to_completed", "avg_recency", "total_first_txn_orders", "p99", "p90"}
+# Metrics that read the transaction dimensions: row-level ones only, or the
+# per-account sequence windows as well.
+NEEDS_ROW_DIMENSIONS = {"avg_time_to_completed", "p99", "p90"}
+NEEDS_SEQUENCE = {"avg_recency", "total_first_txn_orders"}
+NEEDS_DIMENSIONS = NEEDS_ROW_DIMENSIONS | NEEDS_SEQUENCE
 
 
 def metric_columns(names: list[str]) -> list[Column]:

@@ -188,6 +188,19 @@ def sequence_columns(
     )
 
 
+def row_dimensions(df: DataFrame) -> DataFrame:
+    """Row-level dimensions (no window): txn_requested_at_ts,
+    txn_completed_at_ts (text timestamps in the session zone) and
+    time_to_complete_in_seconds (NULL unless the completion text is a number)."""
+    completed = try_long("txn_completed_at")
+    return df.select(
+        "*",
+        F.from_unixtime("txn_requested_at").alias("txn_requested_at_ts"),
+        F.from_unixtime(completed).alias("txn_completed_at_ts"),
+        (completed - F.col("txn_requested_at").cast("bigint")).alias("time_to_complete_in_seconds"),
+    )
+
+
 def txn_dimensions(
     df: DataFrame,
     keys: Sequence[str] = ACCOUNT_KEYS,
@@ -203,11 +216,11 @@ def txn_dimensions(
     """
     completed = try_long("txn_completed_at")
     with_seq = sequence_columns(df, keys, bucket_seconds, hot_rows)
-    return with_seq.select(
+    return row_dimensions(with_seq).select(
         *df.columns,
-        F.from_unixtime("txn_requested_at").alias("txn_requested_at_ts"),
-        F.from_unixtime(completed).alias("txn_completed_at_ts"),
-        (completed - F.col("txn_requested_at").cast("bigint")).alias("time_to_complete_in_seconds"),
+        "txn_requested_at_ts",
+        "txn_completed_at_ts",
+        "time_to_complete_in_seconds",
         "count_txns_orders_per_account_ever",
         "last_txn_date",
         ((completed - F.col("last_txn_date").cast("bigint")) / F.lit(SECONDS_PER_DAY)).alias(
@@ -216,42 +229,56 @@ def txn_dimensions(
     )
 
 
-def trailing_count(
+def trailing_counts(
     df: DataFrame,
-    seconds: int,
+    windows: dict[str, int],
     keys: Sequence[str] = ACCOUNT_KEYS,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    name: str | None = None,
     hot_rows: int = DEFAULT_HOT_ROWS,
 ) -> DataFrame:
-    """Count of the account's rows with request instant in [t - seconds, t].
+    """For each ``name -> seconds``: count of the account's rows with request
+    instant in [t - seconds, t]. All windows share one exchange and one sort.
 
-    Hot accounts' buckets are at least ``seconds`` wide, so the frame of a row
-    reaches back into the previous bucket at most. Their rows close enough to
-    the next bucket's start are copied there once as context (at most one copy
-    per row); the window counts context and own rows, and only own rows are
-    kept. Other accounts are one bucket and get no copies.
+    Hot accounts' buckets are at least as wide as the longest window, so the
+    frame of a row reaches back into the previous bucket at most. Their rows
+    close enough to the next bucket's start are copied there once as context
+    (at most one copy per row); the windows count context and own rows, and
+    only own rows are kept. Other accounts are one bucket and get no copies.
     """
     keys = list(keys)
-    name = name or f"count_txns_last_{seconds}s"
-    width = max(int(bucket_seconds), int(seconds))
+    longest = max(int(v) for v in windows.values())
+    width = max(int(bucket_seconds), longest)
     b = "_bucket"
     t = F.col("txn_requested_at").cast("bigint")
     base, _ = with_buckets(df, keys, width, hot_rows)
     base = base.withColumn("_ctx", F.lit(False))
     spill = (
-        base.where(F.col("_hot") & (t + F.lit(seconds) >= (F.col(b) + 1) * F.lit(width)))
+        base.where(F.col("_hot") & (t + F.lit(longest) >= (F.col(b) + 1) * F.lit(width)))
         .withColumn(b, F.col(b) + 1)
         .withColumn("_ctx", F.lit(True))
     )
-    frame = (
-        Window.partitionBy(*keys, b)
-        .orderBy(F.col("txn_requested_at").cast("long"))
-        .rangeBetween(-int(seconds), Window.currentRow)
-    )
+    ordered = Window.partitionBy(*keys, b).orderBy(F.col("txn_requested_at").cast("long"))
+    counts = [
+        F.count(F.lit(1)).over(ordered.rangeBetween(-int(sec), Window.currentRow)).alias(name)
+        for name, sec in windows.items()
+    ]
     return (
         base.unionByName(spill)
-        .withColumn(name, F.count(F.lit(1)).over(frame))
+        .select("*", *counts)
         .where(~F.col("_ctx"))
         .drop(b, "_ctx", "_hot")
     )
+
+
+def trailing_count(
+    df: DataFrame,
+    seconds: int,
+    keys: Sequence[str] = ACCOUNT_KEYS,
+    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    name: str | None = None,
+    hot_rows: int = DEFAULT_HOT_ROWS,
+) -> DataFrame:
+    """One trailing window (see ``trailing_counts``)."""
+    return trailing_counts(
+        df, {name or f"count_txns_last_{seconds}s": seconds}, keys, bucket_seconds, hot_rows
+    )

@@ -24,7 +24,12 @@ from kontor.operators.cohort import restrict_to_cohort
 from kontor.operators.filters import interval_closed
 from kontor.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, broadcast_if_small
 from kontor.operators.normalize import PRODUCT_INVESTMENTS, PRODUCT_NON_PIX, PRODUCT_PIX
-from kontor.operators.sequence import DEFAULT_BUCKET_SECONDS, DEFAULT_HOT_ROWS, txn_dimensions
+from kontor.operators.sequence import (
+    DEFAULT_BUCKET_SECONDS,
+    DEFAULT_HOT_ROWS,
+    row_dimensions,
+    txn_dimensions,
+)
 
 # Fixed value: daily yield on the running investment movements.
 FIXED_RATE = 0.0001
@@ -206,8 +211,10 @@ def kpi_series(
     the windows run once for the whole KPI set.
     """
     names = list(metrics)
-    if set(names) & M.NEEDS_DIMENSIONS:
+    if set(names) & M.NEEDS_SEQUENCE:
         df = with_dimensions(ledger, products, by_product, bucket_seconds, hot_rows)
     else:
         df = ledger if products is None else ledger.where(F.col("product").isin(*products))
+        if set(names) & M.NEEDS_ROW_DIMENSIONS:
+            df = row_dimensions(df)
     return monthly_metrics(df, names, by_product)
