@@ -25,15 +25,24 @@ def write_ledger(
     mode: str = "overwrite",
     partition_by: Sequence[str] = LEDGER_PARTITIONS,
     max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
+    rebalance: bool = True,
 ) -> None:
     """Write the ledger as Parquet, to a path or a managed table.
 
     ``mode="overwrite"`` with the session's dynamic partition overwrite
     replaces only the (product, month) partitions present in ``ledger``;
     ``append`` adds rows, columns matched by name.
+
+    ``rebalance`` adds a REBALANCE hint on the partition columns: one exchange
+    after which AQE splits oversized (hot month) partitions and merges small
+    ones, so each (product, month) directory gets a few evenly sized files.
+    Without it, a ledger that arrives hash-partitioned by account (a shuffle
+    join to the dimension) writes one file per task and directory.
     """
     if (path is None) == (table is None):
         raise ValueError("give exactly one of path or table")
+    if rebalance:
+        ledger = ledger.hint("rebalance", *partition_by)
     writer = (
         ledger.write.mode(mode)
         .format("parquet")

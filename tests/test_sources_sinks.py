@@ -182,3 +182,17 @@ def test_streaming_append_is_exactly_once(spark, scratch):
     rows = {r.txn_id: r for r in got.collect()}
     assert rows[1].country_name == "Brazil" and rows[3].country_name is None
     assert rows[2].in_or_out == "out" and rows[2].month == "2020-06"
+
+
+def test_ledger_write_rebalances_by_partition_columns(spark, scratch):
+    _csv_feeds(scratch)
+    ledger = _ledger_from(register_feeds(spark, scratch))
+    plan = ledger.hint("rebalance", "product", "month")._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+    out = f"{scratch}/rebalanced"
+    write_ledger(ledger, path=out)
+    files = [
+        os.path.join(dp, f) for dp, _, fs in os.walk(out) for f in fs if f.endswith(".parquet")
+    ]
+    assert len(files) == 3  # one file per (product, month) present: pix, non_pix, investments in 2020-04
+    assert spark.read.parquet(out).count() == 6
