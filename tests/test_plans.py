@@ -51,3 +51,24 @@ def test_no_python_udfs_anywhere(spark):
         p = _plan(q(spark, SF_SMALL))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+
+
+def test_large_cohort_semi_join_shuffle_serves_the_window(spark):
+    from kontor.sources import testdata as td
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = R.investments_daily_balance(
+            E._ledger(spark, SF_SMALL), E.INTERVAL, cohort=td.investment_accounts_to_send(spark, SF_SMALL),
+            max_broadcast_bytes=0,
+        )
+        out.collect()
+        lines = _plan(out).split("\n")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+    w = next(i for i, l in enumerate(lines) if "Window [" in l)
+    semi = next(i for i, l in enumerate(lines) if "LeftSemi" in l)
+    assert w < semi
+    assert not any("Exchange" in l for l in lines[w:semi])
+    # the semi join sits above the final aggregate: it filters daily rows, not raw rows
+    assert any("HashAggregate" in l for l in lines[semi:])
