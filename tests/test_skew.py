@@ -70,3 +70,29 @@ def test_bucketed_windows_spread_hot_account(spark, no_coalesce):
     assert _max_task_share(trail, "count_txns_last_86400s") < 1.5 / parts + 0.05
     hot = seq.where("account_id = 0").agg(F.max("count_txns_orders_per_account_ever")).first()[0]
     assert hot == N // 2
+
+
+def test_hot_null_account_and_null_instants_match_plain_windows(spark):
+    from kontor.functions.windows import account_trailing_window
+
+    base = _hot_ledger(spark).limit(3000)
+    df = base.select(
+        F.when(F.col("account_id") == 0, F.lit(None)).otherwise(F.col("account_id")).cast("bigint").alias("account_id"),
+        *[c for c in base.columns if c not in ("account_id", "txn_requested_at")],
+        F.when(F.col("txn_id") % 50 == 7, F.lit(None)).otherwise(F.col("txn_requested_at")).alias("txn_requested_at"),
+    ).select(*base.columns)
+    plain = df.select(
+        "*",
+        F.count(F.lit(1)).over(account_ever_window()).alias("ever"),
+        F.lag("txn_requested_at").over(account_sequence_window()).alias("prev"),
+    )
+    split = sequence_columns(df, bucket_seconds=600, hot_rows=500).select(
+        *df.columns,
+        F.col("count_txns_orders_per_account_ever").alias("ever"),
+        F.col("last_txn_date").alias("prev"),
+    )
+    assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
+    nonnull = df.where("txn_requested_at IS NOT NULL")
+    plain_t = nonnull.select("*", F.count(F.lit(1)).over(account_trailing_window(900)).alias("c"))
+    split_t = trailing_count(nonnull, 900, bucket_seconds=600, name="c", hot_rows=500)
+    assert split_t.exceptAll(plain_t).count() == 0 and plain_t.exceptAll(split_t).count() == 0
