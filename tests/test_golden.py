@@ -85,3 +85,22 @@ def test_golden_properties(spark):
             assert abs(cur.movements - net) < 1e-6
             if prev is not None:
                 assert cur.previous_day_balance == prev.balance
+
+
+def test_golden_csv_file_byte_for_byte(spark, scratch):
+    """The report written by the CSV sink, ordered by account, month, day, is
+    the published file: same header, same row order, same number text."""
+    import glob
+
+    from kontor.sources.sinks import write_report_csv
+
+    ledger = ledger_df(spark, _ledger_rows(_golden()))
+    report = investments_daily_balance(ledger, ("2020-01-01", "2021-01-01"))
+    out = f"{scratch}/golden_csv"
+    assert write_report_csv(report, out, order_by=("account_id", "month", "day")) is True
+    (part,) = glob.glob(f"{out}/part-*.csv")
+    with open(part) as fh:
+        got = fh.read().splitlines()
+    with open(FIXTURES / "investments_daily_balance_golden.csv") as fh:
+        want = fh.read().splitlines()
+    assert got == want
