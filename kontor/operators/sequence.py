@@ -3,15 +3,18 @@
 A plain ``Window.partitionBy("account_id")`` sends every row of an account to
 one task. When one account holds a large share of all rows that task holds it
 too. Here the accounts with at least ``hot_rows`` rows are cut into buckets of
-``bucket_seconds`` of request time and the window runs per (account, bucket);
-every other account is one bucket. What a row needs from earlier buckets is
-carried in from a per-bucket summary:
+request time and the window runs per (account, bucket); every other account
+is one bucket. What a row needs from earlier buckets is carried in from a
+per-bucket summary:
 
-0. hot accounts: a per-account row count (partial + final aggregate) keeps
-   those with at least ``hot_rows`` rows. There are at most
-   ``total rows / hot_rows`` of them, a bound that does not grow with the
+0. hot accounts: a per-account aggregate (row count, first and last instant;
+   partial + final) keeps those with at least ``hot_rows`` rows. There are at
+   most ``total rows / hot_rows`` of them, a bound that does not grow with the
    number of accounts; the set is broadcast after its measured size is
-   checked. Should it not fit, every account is bucketed (same results);
+   checked. Each hot account's buckets are sized from its count and span to
+   hold about ``hot_rows`` rows on average (at most ``bucket_seconds`` wide).
+   Should the set not fit, every account is bucketed on a fixed grid (same
+   results);
 1. summary per (keys, bucket) of the hot rows: row count and latest request
    instant (a partial-then-final aggregate: a hot account collapses map-side);
 2. a window over the summary, per account ordered by bucket: rows in earlier
@@ -59,12 +62,13 @@ def _bucket(width: int) -> Column:
 
 
 def hot_accounts(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Keys with at least ``hot_rows`` rows (at most ``count(df) / hot_rows``)."""
+    """Keys with at least ``hot_rows`` rows (at most ``count(df) / hot_rows``
+    of them), with their row count and first and last request instant."""
+    t = F.col("txn_requested_at").cast("bigint")
     return (
         df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
+        .agg(F.count(F.lit(1)).alias("_rows"), F.min(t).alias("_t0"), F.max(t).alias("_t1"))
         .where(F.col("_rows") >= F.lit(hot_rows))
-        .select(*keys)
     )
 
 
@@ -74,39 +78,65 @@ def with_buckets(
     width: int,
     hot_rows: int = DEFAULT_HOT_ROWS,
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+    min_width: int = 1,
 ) -> tuple[DataFrame, bool]:
-    """Add ``_hot`` (account is split) and ``_bucket`` (0 for other accounts).
-
-    Returns the frame and whether any account is split. The hot set is
-    measured (one count over the per-account aggregate); when it is empty no
-    account is split and nothing is joined. The hot set joins by a null-safe
-    key match, so a hot NULL account is split too. ``hot_rows <= 1`` splits
-    every account without measuring anything.
+    """Add ``_hot`` (account is split), ``_bucket`` (0 for other accounts) and
+    the bucket grid ``_t0`` + ``_w`` * bucket of each row.
+
+    A hot account's buckets are sized from its measured row count and time
+    span to hold about ``hot_rows`` rows each on average, never wider than
+    ``width`` nor narrower than ``min_width`` seconds. Returns the frame and
+    whether any account is split. The hot set is measured (one count over the
+    per-account aggregate); when it is empty no account is split and nothing
+    is joined. It joins by a null-safe key match, so a hot NULL account is
+    split too. ``hot_rows <= 1`` splits every account on a fixed ``width``
+    grid without measuring anything.
     """
     keys = list(keys)
     if hot_rows <= 1:
-        return df.withColumn("_hot", F.lit(True)).withColumn("_bucket", _bucket(width)), True
-    hot = (
-        hot_accounts(df, keys, hot_rows)
-        .select(*[F.col(k).alias(f"_h_{k}") for k in keys])
-        .withColumn("_hot", F.lit(True))
+        fixed = (
+            df.withColumn("_hot", F.lit(True))
+            .withColumn("_t0", F.lit(0).cast("bigint"))
+            .withColumn("_w", F.lit(int(width)).cast("bigint"))
+            .withColumn("_bucket", _bucket(width))
+        )
+        return fixed, True
+    adaptive = F.ceil(
+        (F.col("_t1") - F.col("_t0") + F.lit(1)).cast("double") * F.lit(float(hot_rows)) / F.col("_rows")
+    )
+    hot = hot_accounts(df, keys, hot_rows).select(
+        *[F.col(k).alias(f"_h_{k}") for k in keys],
+        F.lit(True).alias("_hot"),
+        F.col("_t0"),
+        F.greatest(F.lit(int(min_width)), F.least(F.lit(int(width)), adaptive)).cast("bigint").alias("_w"),
     )
     n_hot = hot.count()
     if n_hot == 0:
-        none = df.withColumn("_hot", F.lit(False)).withColumn("_bucket", F.lit(0).cast("bigint"))
+        none = (
+            df.withColumn("_hot", F.lit(False))
+            .withColumn("_t0", F.lit(0).cast("bigint"))
+            .withColumn("_w", F.lit(int(width)).cast("bigint"))
+            .withColumn("_bucket", F.lit(0).cast("bigint"))
+        )
         return none, False
     if n_hot * row_width(hot.schema) > max_broadcast_bytes:
         return with_buckets(df, keys, width, hot_rows=1)
-    side = F.broadcast(hot)
     cond = None
     for k in keys:
         c = df[k].eqNullSafe(F.col(f"_h_{k}"))
         cond = c if cond is None else cond & c
+    t = F.col("txn_requested_at").cast("bigint")
     split = (
-        df.join(side, cond, "left")
+        df.join(F.broadcast(hot), cond, "left")
         .drop(*[f"_h_{k}" for k in keys])
         .withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
-        .withColumn("_bucket", F.when(F.col("_hot"), _bucket(width)).otherwise(F.lit(0).cast("bigint")))
+        .withColumn(
+            "_bucket",
+            F.when(
+                F.col("_hot"),
+                F.coalesce(F.floor((t - F.col("_t0")) / F.col("_w")).cast("bigint"), F.lit(_NULL_BUCKET)),
+            ).otherwise(F.lit(0).cast("bigint")),
+        )
     )
     return split, True
 
@@ -184,7 +214,7 @@ def sequence_columns(
             (F.coalesce(F.col("_before"), F.lit(0)) + F.max("_rn").over(ties)).cast("bigint"),
         )
         .withColumn("last_txn_date", F.coalesce(F.col("_lag"), F.col("_prev_t_max")))
-        .drop(b, "_before", "_prev_t_max", "_rn", "_lag", "_hdr", "_hot")
+        .drop(b, "_before", "_prev_t_max", "_rn", "_lag", "_hdr", "_hot", "_t0", "_w")
     )
 
 
@@ -250,10 +280,11 @@ def trailing_counts(
     width = max(int(bucket_seconds), longest)
     b = "_bucket"
     t = F.col("txn_requested_at").cast("bigint")
-    base, _ = with_buckets(df, keys, width, hot_rows)
+    base, _ = with_buckets(df, keys, width, hot_rows, min_width=longest)
     base = base.withColumn("_ctx", F.lit(False))
+    next_start = F.col("_t0") + (F.col(b) + 1) * F.col("_w")
     spill = (
-        base.where(F.col("_hot") & (t + F.lit(longest) >= (F.col(b) + 1) * F.lit(width)))
+        base.where(F.col("_hot") & (t + F.lit(longest) >= next_start))
         .withColumn(b, F.col(b) + 1)
         .withColumn("_ctx", F.lit(True))
     )
@@ -266,7 +297,7 @@ def trailing_counts(
         base.unionByName(spill)
         .select("*", *counts)
         .where(~F.col("_ctx"))
-        .drop(b, "_ctx", "_hot")
+        .drop(b, "_ctx", "_hot", "_t0", "_w")
     )
 
 

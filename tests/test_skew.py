@@ -96,3 +96,21 @@ def test_hot_null_account_and_null_instants_match_plain_windows(spark):
     plain_t = nonnull.select("*", F.count(F.lit(1)).over(account_trailing_window(900)).alias("c"))
     split_t = trailing_count(nonnull, 900, bucket_seconds=600, name="c", hot_rows=500)
     assert split_t.exceptAll(plain_t).count() == 0 and plain_t.exceptAll(split_t).count() == 0
+
+
+def test_burst_of_a_hot_account_is_split_by_adaptive_buckets(spark, no_coalesce):
+    """10,000 rows of one account within ~17 minutes: a fixed one-hour grid
+    would keep them in one task; buckets sized from the account's measured
+    count and span hold about ``hot_rows`` rows each."""
+    df = _hot_ledger(spark).withColumn(
+        "txn_requested_at",
+        F.when(F.col("account_id") == 0, F.lit(T0) + F.floor(F.col("txn_id") / 20)).otherwise(
+            F.col("txn_requested_at")
+        ),
+    )
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    seq = sequence_columns(df, bucket_seconds=3600, hot_rows=1000)
+    assert _max_task_share(seq, "count_txns_orders_per_account_ever", "last_txn_date") < 2.0 / parts
+    fixed = sequence_columns(df, bucket_seconds=3600, hot_rows=1)
+    assert _max_task_share(fixed, "count_txns_orders_per_account_ever", "last_txn_date") >= 0.5
+    assert seq.exceptAll(fixed).count() == 0
