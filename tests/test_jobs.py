@@ -32,3 +32,26 @@ def test_build_then_reports(spark, scratch):
     run_report.main(["account_monthly_balance_sql", "--feeds", scratch, "--out", f"{scratch}/sql"])
     got = spark.read.parquet(f"{scratch}/sql").collect()
     assert sorted((r.Customer, r.AccountMonthlyBalance) for r in got) == [(1, 110.5), (2, -40.0)]
+
+
+def test_build_with_nested_investments(spark, scratch):
+    import json
+    import os
+
+    _csv_feeds(scratch)
+    docs = [
+        {"account_id": "1", "transactions": [
+            {"transaction_id": "9", "status": "completed", "amount": "70.0",
+             "investment_requested_at": "1585699200", "investment_completed_at": "1585699201",
+             "type": "investment_transfer_in"}]},
+        {"account_id": "2", "transactions": []},
+    ]
+    os.makedirs(f"{scratch}/nested")
+    with open(f"{scratch}/nested/investments_json.txt", "w") as fh:
+        json.dump(docs, fh)
+    ledger = f"{scratch}/ledger_nested"
+    build_ledger.main(["--feeds", scratch, "--nested-investments", f"{scratch}/nested", "--ledger-path", ledger])
+    got = spark.read.parquet(ledger)
+    assert got.count() == 5  # 2 pix + 1 in + 1 out + 1 nested investment (the CSV investments are replaced)
+    inv = got.where("product = 'investments'").collect()
+    assert [(r.account_id, r.amount, r.in_or_out, r.country_name) for r in inv] == [(1, 70.0, "in", "Brazil")]
