@@ -72,3 +72,37 @@ def test_large_cohort_semi_join_shuffle_serves_the_window(spark):
     assert not any("Exchange" in l for l in lines[w:semi])
     # the semi join sits above the final aggregate: it filters daily rows, not raw rows
     assert any("HashAggregate" in l for l in lines[semi:])
+
+
+def test_sql_report_year_filter_pushed_to_parquet_feeds(spark, scratch):
+    from helpers import epoch
+
+    from kontor.plans.sql_reports import account_monthly_balance_sql
+    from kontor.schemas import PIX_MOVEMENTS, TRANSFERS
+
+    t = epoch("2020-05-05")
+    spark.createDataFrame([(1, 1, 5.0, t, str(t), "completed")], TRANSFERS).write.parquet(f"{scratch}/tin")
+    spark.createDataFrame([(2, 1, 3.0, t, str(t), "completed")], TRANSFERS).write.parquet(f"{scratch}/tout")
+    spark.createDataFrame([(3, 1, "pix_in", 1.0, t, str(t), "completed")], PIX_MOVEMENTS).write.parquet(
+        f"{scratch}/pix"
+    )
+    out = account_monthly_balance_sql(
+        spark,
+        spark.read.parquet(f"{scratch}/tin"),
+        spark.read.parquet(f"{scratch}/tout"),
+        spark.read.parquet(f"{scratch}/pix"),
+        year=2020,
+    )
+    assert [tuple(r) for r in out.collect()] == [(5, 1, 6.0, 3.0, 3.0)]
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        out.explain("formatted")
+    plan = buf.getvalue()
+    lo = "GreaterThanOrEqual(transaction_requested_at,1577836800)"
+    hi = "LessThan(transaction_requested_at,1609459200)"
+    assert plan.count(lo) == 2 and plan.count(hi) == 2
+    assert "GreaterThanOrEqual(pix_requested_at,1577836800)" in plan
+    assert "EqualTo(status,completed)" in plan
