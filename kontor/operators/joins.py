@@ -32,16 +32,32 @@ def row_width(schema: T.StructType) -> int:
     return fixed + sum(_WIDTH.get(type(f.dataType), 32) for f in schema.fields)
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of ``df`` as unsafe rows, measured in one aggregate job: the row
+    count times the fixed part of a row, plus the actual bytes of every string
+    value (variable-length values are counted, not estimated)."""
+    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    fixed = 8 * len(df.schema.fields) + 8 + sum(
+        _WIDTH.get(type(f.dataType), 32) for f in df.schema.fields if f.name not in strings
+    )
+    aggs = [F.count(F.lit(1)).alias("_rows")] + [
+        F.coalesce(F.sum(F.octet_length(F.col(c))), F.lit(0)).alias(f"_b{i}") for i, c in enumerate(strings)
+    ]
+    m = df.agg(*aggs).first()
+    # strings are stored 8-byte aligned in an unsafe row
+    return int(m["_rows"]) * fixed + sum(int(m[f"_b{i}"]) + 8 * int(m["_rows"]) for i in range(len(strings)))
+
+
 def broadcast_if_small(
     df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES
 ) -> tuple[DataFrame, bool]:
     """Mark ``df`` for broadcast when its measured size is under ``max_bytes``.
 
-    The size is measured, not guessed from file sizes: one count over the
-    (small, pruned) dimension side. Beyond the bound the frame is returned
-    unchanged and Spark plans a shuffle join, where AQE can still split skewed
-    partitions or demote it to a broadcast from runtime statistics.
+    The size is measured, not guessed from file sizes: one aggregate over the
+    (small, pruned) dimension side counts its rows and string bytes. Beyond
+    the bound the frame is returned unchanged and Spark plans a shuffle join,
+    where AQE can still split skewed partitions or demote it to a broadcast
+    from runtime statistics.
     """
-    rows = df.count()
-    fits = rows * row_width(df.schema) <= max_bytes
+    fits = measured_bytes(df) <= max_bytes
     return (F.broadcast(df) if fits else df), fits

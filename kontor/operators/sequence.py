@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from kontor.functions.columns import SECONDS_PER_DAY, try_long
 from kontor.functions.windows import ACCOUNT_KEYS, TIE_BREAKERS
-from kontor.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, row_width
+from kontor.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, measured_bytes
 
 DEFAULT_BUCKET_SECONDS = 3600
 # An account with at least this many rows is split into time buckets.
@@ -86,9 +86,9 @@ def with_buckets(
     A hot account's buckets are sized from its measured row count and time
     span to hold about ``hot_rows`` rows each on average, never wider than
     ``width`` nor narrower than ``min_width`` seconds. Returns the frame and
-    whether any account is split. The hot set is measured (one count over the
-    per-account aggregate); when it is empty no account is split and nothing
-    is joined. It joins by a null-safe key match, so a hot NULL account is
+    whether any account is split. The hot set is measured (rows and bytes, one
+    job over the per-account aggregate); when it is empty no account is split
+    and nothing is joined. It joins by a null-safe key match, so a hot NULL account is
     split too. ``hot_rows <= 1`` splits every account on a fixed ``width``
     grid without measuring anything.
     """
@@ -110,8 +110,8 @@ def with_buckets(
         F.col("_t0"),
         F.greatest(F.lit(int(min_width)), F.least(F.lit(int(width)), adaptive)).cast("bigint").alias("_w"),
     )
-    n_hot = hot.count()
-    if n_hot == 0:
+    hot_bytes = measured_bytes(hot)
+    if hot_bytes == 0:
         none = (
             df.withColumn("_hot", F.lit(False))
             .withColumn("_t0", F.lit(0).cast("bigint"))
@@ -119,7 +119,7 @@ def with_buckets(
             .withColumn("_bucket", F.lit(0).cast("bigint"))
         )
         return none, False
-    if n_hot * row_width(hot.schema) > max_broadcast_bytes:
+    if hot_bytes > max_broadcast_bytes:
         return with_buckets(df, keys, width, hot_rows=1)
     cond = None
     for k in keys:

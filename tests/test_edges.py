@@ -258,3 +258,15 @@ def test_zone_independent_calendar(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert (r.day, r.month, r.event_date) == (31, "2020-12", "2020-12-31")
+
+
+def test_broadcast_check_measures_string_bytes(spark):
+    from kontor.operators.joins import broadcast_if_small, measured_bytes
+
+    df = spark.createDataFrame([(1, "a" * 1000), (2, None), (3, "bc")], "k long, s string")
+    b = measured_bytes(df)
+    assert b >= 1002 and b < 1002 + 3 * 64
+    assert broadcast_if_small(df, max_bytes=b)[1] is True
+    assert broadcast_if_small(df, max_bytes=b - 1)[1] is False
+    empty = spark.createDataFrame([], "k long, s string")
+    assert measured_bytes(empty) == 0
