@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 LEDGER_PARTITIONS = ("product", "month")
@@ -67,12 +68,20 @@ def write_report_csv(
     One file when the measured row count is at most ``single_file_max_rows``
     (the sorted partitions are concatenated in order); otherwise many ordered
     part files. Returns whether a single file was written.
+
+    The report is persisted (memory, spilling to disk) for the measurement, so
+    the count computes it once and the write reads those blocks instead of
+    recomputing the report; a lost executor's blocks are rebuilt from lineage.
     """
-    df = report.orderBy(*order_by) if order_by else report
-    single = report.count() <= single_file_max_rows
-    if single:
-        df = df.coalesce(1)
-    df.write.mode(mode).option("header", True).csv(path)
+    staged = report.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        single = staged.count() <= single_file_max_rows
+        df = staged.orderBy(*order_by) if order_by else staged
+        if single:
+            df = df.coalesce(1)
+        df.write.mode(mode).option("header", True).csv(path)
+    finally:
+        staged.unpersist()
     return single
 
 
