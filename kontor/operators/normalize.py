@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kontor.functions.columns import calendar_columns, direction
-from kontor.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, broadcast_if_small
+from kontor.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, broadcast_if_small, measured_bytes
 from kontor.schemas import LEDGER_COLUMNS
 
 # Product tags and the constant raw directions of the transfers.
@@ -116,7 +116,16 @@ def attach_country(
     customers: DataFrame,
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    dims, _ = broadcast_if_small(account_dimension(accounts, customers), max_broadcast_bytes)
+    """Left join of the events to account -> country.
+
+    The dimension is broadcast when its measured size fits. A left join keeps
+    every account row, so the account keys alone are a lower bound of its
+    size: when that bound (a scan, no join) is already over the limit, the
+    join output is not measured at all and the events join by shuffle.
+    """
+    dims = account_dimension(accounts, customers)
+    if measured_bytes(accounts.select("account_id")) <= max_broadcast_bytes:
+        dims, _ = broadcast_if_small(dims, max_broadcast_bytes)
     return events.join(dims, "account_id", "left")
 
 

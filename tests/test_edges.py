@@ -270,3 +270,22 @@ def test_broadcast_check_measures_string_bytes(spark):
     assert broadcast_if_small(df, max_bytes=b - 1)[1] is False
     empty = spark.createDataFrame([], "k long, s string")
     assert measured_bytes(empty) == 0
+
+
+def test_large_dimension_is_joined_by_shuffle(spark):
+    accounts, customers = _dims(spark)
+    pix, tin, tout, inv = _feeds(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ledger = build_ledger(
+            [(pix, PIX_SPEC), (tin, TRANSFER_IN_SPEC), (tout, TRANSFER_OUT_SPEC), (inv, INVESTMENTS_SPEC)],
+            accounts,
+            customers,
+            max_broadcast_bytes=10,
+        )
+        plan = ledger._jdf.queryExecution().executedPlan().toString()
+        rows = {r.txn_id: r.country_name for r in ledger.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    assert rows == {1: "BR", 2: None, 3: "MX", 4: None, 5: "BR"}
