@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,20 +34,32 @@ def row_width(schema: T.StructType) -> int:
     return fixed + sum(_WIDTH.get(type(f.dataType), 32) for f in schema.fields)
 
 
+def _bytes_expr(df: DataFrame) -> F.Column:
+    """Aggregate: rows x fixed part of a row + actual bytes of every string
+    (stored 8-byte aligned in an unsafe row)."""
+    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    fixed = 8 * len(df.schema.fields) + 8 + sum(
+        _WIDTH.get(type(f.dataType), 32) for f in df.schema.fields if f.name not in strings
+    ) + 8 * len(strings)
+    total = F.count(F.lit(1)) * F.lit(fixed)
+    for c in strings:
+        total = total + F.coalesce(F.sum(F.octet_length(F.col(c))), F.lit(0))
+    return total.cast("bigint")
+
+
+def measured_bytes_many(dfs: list[DataFrame]) -> list[int]:
+    """Measured size of each frame (see ``measured_bytes``), all in one job:
+    the one-row aggregates are unioned and collected together."""
+    parts = [df.agg(F.lit(i).alias("_i"), _bytes_expr(df).alias("_bytes")) for i, df in enumerate(dfs)]
+    got = {r["_i"]: int(r["_bytes"]) for r in reduce(DataFrame.unionByName, parts).collect()}
+    return [got[i] for i in range(len(dfs))]
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Bytes of ``df`` as unsafe rows, measured in one aggregate job: the row
     count times the fixed part of a row, plus the actual bytes of every string
     value (variable-length values are counted, not estimated)."""
-    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    fixed = 8 * len(df.schema.fields) + 8 + sum(
-        _WIDTH.get(type(f.dataType), 32) for f in df.schema.fields if f.name not in strings
-    )
-    aggs = [F.count(F.lit(1)).alias("_rows")] + [
-        F.coalesce(F.sum(F.octet_length(F.col(c))), F.lit(0)).alias(f"_b{i}") for i, c in enumerate(strings)
-    ]
-    m = df.agg(*aggs).first()
-    # strings are stored 8-byte aligned in an unsafe row
-    return int(m["_rows"]) * fixed + sum(int(m[f"_b{i}"]) + 8 * int(m["_rows"]) for i in range(len(strings)))
+    return measured_bytes_many([df])[0]
 
 
 def broadcast_if_small(

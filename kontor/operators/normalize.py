@@ -21,7 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kontor.functions.columns import calendar_columns, direction
-from kontor.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, broadcast_if_small, measured_bytes
+from kontor.operators.joins import (
+    DEFAULT_MAX_BROADCAST_BYTES,
+    broadcast_if_small,
+    measured_bytes_many,
+)
 from kontor.schemas import LEDGER_COLUMNS
 
 # Product tags and the constant raw directions of the transfers.
@@ -99,14 +103,17 @@ def normalize(feed: DataFrame, spec: FeedSpec) -> DataFrame:
     )
 
 
-def account_dimension(accounts: DataFrame, customers: DataFrame) -> DataFrame:
+def account_dimension(
+    accounts: DataFrame, customers: DataFrame, broadcast_customers: bool = False
+) -> DataFrame:
     """account_id -> country_name, pre-joined once for all feeds.
 
     ``accounts LEFT JOIN customers`` keeps accounts whose customer is missing
     (country NULL), which is what the per-feed chain of two left joins gives.
     """
+    cust = customers.select("customer_id", "country_name")
     return accounts.select("account_id", "customer_id").join(
-        customers.select("customer_id", "country_name"), "customer_id", "left"
+        F.broadcast(cust) if broadcast_customers else cust, "customer_id", "left"
     ).select("account_id", "country_name")
 
 
@@ -118,13 +125,18 @@ def attach_country(
 ) -> DataFrame:
     """Left join of the events to account -> country.
 
-    The dimension is broadcast when its measured size fits. A left join keeps
-    every account row, so the account keys alone are a lower bound of its
-    size: when that bound (a scan, no join) is already over the limit, the
-    join output is not measured at all and the events join by shuffle.
+    One measuring job sizes the customers side and the account keys. The
+    customers side is broadcast into the dimension pre-join when it fits. A
+    left join keeps every account row, so the account keys alone are a lower
+    bound of the dimension's size: only when that bound fits is the dimension
+    itself measured (a second job) and broadcast to the events when it fits
+    too; otherwise the events join it by shuffle.
     """
-    dims = account_dimension(accounts, customers)
-    if measured_bytes(accounts.select("account_id")) <= max_broadcast_bytes:
+    key_bytes, customer_bytes = measured_bytes_many(
+        [accounts.select("account_id"), customers.select("customer_id", "country_name")]
+    )
+    dims = account_dimension(accounts, customers, customer_bytes <= max_broadcast_bytes)
+    if key_bytes <= max_broadcast_bytes:
         dims, _ = broadcast_if_small(dims, max_broadcast_bytes)
     return events.join(dims, "account_id", "left")
 
