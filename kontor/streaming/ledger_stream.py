@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from kontor.operators.normalize import FeedSpec, account_dimension, normalize
-from kontor.schemas import LEDGER_COLUMNS
+from kontor.operators.unnest import unnest_investments
+from kontor.schemas import LEDGER_COLUMNS, NESTED_INVESTMENTS_DDL
 from kontor.sources.sinks import LEDGER_PARTITIONS
 
 
@@ -38,6 +39,16 @@ def feed_stream(
     return reader.load(path)
 
 
+def nested_investments_stream(
+    spark: SparkSession, path: str, multiline: bool = True, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """Stream of new nested investment documents, unnested to the flat feed."""
+    reader = spark.readStream.schema(NESTED_INVESTMENTS_DDL).option("multiLine", multiline)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return unnest_investments(reader.json(path))
+
+
 def ledger_stream(
     feed: DataFrame, spec: FeedSpec, accounts: DataFrame, customers: DataFrame
 ) -> DataFrame:

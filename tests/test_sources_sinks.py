@@ -196,3 +196,24 @@ def test_ledger_write_rebalances_by_partition_columns(spark, scratch):
     ]
     assert len(files) == 3  # one file per (product, month) present: pix, non_pix, investments in 2020-04
     assert spark.read.parquet(out).count() == 6
+
+
+def test_streaming_nested_investments(spark, scratch):
+    from kontor.operators.normalize import INVESTMENTS_SPEC
+    from kontor.streaming.ledger_stream import nested_investments_stream
+
+    src = f"{scratch}/inv"
+    doc = [{"account_id": "1", "transactions": [
+        {"transaction_id": "5", "status": "completed", "amount": "12.5", "investment_requested_at": "1591000000",
+         "investment_completed_at": "1591000002", "type": "investment_transfer_out"}]},
+        {"account_id": "2", "transactions": []}]
+    _write(f"{src}/a.json", json.dumps(doc))
+    accounts = spark.createDataFrame([(1, 101)], "account_id long, customer_id long")
+    customers = spark.createDataFrame([(101, "Brazil")], "customer_id long, country_name string")
+    rows = ledger_stream(nested_investments_stream(spark, src), INVESTMENTS_SPEC, accounts, customers)
+    q = append_to_ledger(rows, f"{scratch}/ledger", f"{scratch}/ckpt")
+    q.awaitTermination(120)
+    got = spark.read.parquet(f"{scratch}/ledger").collect()
+    assert [(r.txn_id, r.amount, r.in_or_out, r.product, r.country_name) for r in got] == [
+        (5, 12.5, "out", "investments", "Brazil")
+    ]
