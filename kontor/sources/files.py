@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kontor.operators.unnest import unnest_investments
@@ -37,8 +38,11 @@ def register_feeds(
         path = f"{root}/{name}"
         if fmt == "csv":
             df = read_feed_csv(spark, path, schema)
-        else:
-            df = spark.read.schema(schema).format(fmt).load(path)
+        elif fmt == "json":
+            df = spark.read.schema(schema).json(path)
+        else:  # self-describing (parquet, orc): read as stored, type by name
+            stored = spark.read.format(fmt).load(path)
+            df = stored.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
         df.createOrReplaceTempView(name)
         out[name] = df
     return out

@@ -217,3 +217,21 @@ def test_streaming_nested_investments(spark, scratch):
     assert [(r.txn_id, r.amount, r.in_or_out, r.product, r.country_name) for r in got] == [
         (5, 12.5, "out", "investments", "Brazil")
     ]
+
+
+def test_parquet_feeds_are_typed_by_name(spark, scratch):
+    from pyspark.sql import functions as F
+
+    # stored with an int instant and columns in another order
+    spark.createDataFrame(
+        [("completed", 7, 2, 3.5, 1591000000, "1591000009")],
+        "status string, account_id int, id int, amount double, transaction_requested_at int,"
+        " transaction_completed_at string",
+    ).write.parquet(f"{scratch}/pq/transfer_ins")
+    feeds = register_feeds(spark, f"{scratch}/pq", ["transfer_ins"], fmt="parquet")
+    df = feeds["transfer_ins"]
+    assert dict(df.dtypes) == {
+        "id": "bigint", "account_id": "bigint", "amount": "double", "transaction_requested_at": "bigint",
+        "transaction_completed_at": "string", "status": "string",
+    }
+    assert df.select(F.sum("amount")).first()[0] == 3.5
