@@ -104,3 +104,23 @@ def test_daily_ledger_matches_brute_force(spark, raw):
     assert got.keys() == want.keys()
     for k in got:
         assert all(abs(x - y) < 1e-9 for x, y in zip(got[k], want[k])), (k, got[k], want[k])
+
+
+def test_kpis_by_product_equal_one_product_at_a_time(spark):
+    from kontor.functions.metrics import KPI_METRICS
+
+    led = E._ledger(spark, SF_SMALL)
+    together = {
+        (r["product"], r["month"]): r.asDict()
+        for r in R.kpi_series(led, KPI_METRICS, products=None, by_product=True).collect()
+    }
+    for product in ("pix", "non_pix", "investments"):
+        alone = R.kpi_series(led, KPI_METRICS, products=[product], by_product=False).collect()
+        assert alone, product
+        for r in alone:
+            t = together[(product, r["month"])]
+            for k, v in r.asDict().items():
+                if isinstance(v, float):
+                    assert abs(t[k] - v) <= 1e-6 * max(1.0, abs(v)), (product, r["month"], k)
+                else:
+                    assert t[k] == v, (product, r["month"], k)
