@@ -23,9 +23,13 @@ from kontor.schemas import FEED_SCHEMAS, NESTED_INVESTMENTS_DDL
 
 
 def read_feed_csv(
-    spark: SparkSession, path: str, schema: T.StructType, mode: str = "PERMISSIVE"
+    spark: SparkSession, path: str, schema: T.StructType | None = None, mode: str = "PERMISSIVE"
 ) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).option("mode", mode).csv(path)
+    """Header CSV directory. With ``schema=None`` the types are inferred, which
+    costs an extra pass over the files; give the feed's schema in production."""
+    reader = spark.read.option("header", True).option("mode", mode)
+    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
+    return reader.csv(path)
 
 
 def register_feeds(

@@ -235,3 +235,13 @@ def test_parquet_feeds_are_typed_by_name(spark, scratch):
         "transaction_completed_at": "string", "status": "string",
     }
     assert df.select(F.sum("amount")).first()[0] == 3.5
+
+
+def test_csv_with_inferred_schema(spark, scratch):
+    from kontor.sources.files import read_feed_csv
+
+    _csv_feeds(scratch)
+    df = read_feed_csv(spark, f"{scratch}/pix_movements")
+    types = dict(df.dtypes)
+    assert types["pix_amount"] == "double" and types["account_id"] == "int"
+    assert df.count() == 2
