@@ -34,23 +34,31 @@ def row_width(schema: T.StructType) -> int:
     return fixed + sum(_WIDTH.get(type(f.dataType), 32) for f in schema.fields)
 
 
-def _bytes_expr(df: DataFrame) -> F.Column:
-    """Aggregate: rows x fixed part of a row + actual bytes of every string
-    (stored 8-byte aligned in an unsafe row)."""
-    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    fixed = 8 * len(df.schema.fields) + 8 + sum(
-        _WIDTH.get(type(f.dataType), 32) for f in df.schema.fields if f.name not in strings
-    ) + 8 * len(strings)
-    total = F.count(F.lit(1)) * F.lit(fixed)
-    for c in strings:
-        total = total + F.coalesce(F.sum(F.octet_length(F.col(c))), F.lit(0))
+def fixed_row_bytes(schema: T.StructType) -> int:
+    """Bytes of an unsafe row without its string contents: null bits, one
+    8-byte slot per field, fixed-width values, 8-byte alignment per string."""
+    strings = sum(1 for f in schema.fields if isinstance(f.dataType, T.StringType))
+    return (
+        8 * len(schema.fields)
+        + 8
+        + sum(_WIDTH.get(type(f.dataType), 32) for f in schema.fields if not isinstance(f.dataType, T.StringType))
+        + 8 * strings
+    )
+
+
+def bytes_aggregate(df: DataFrame) -> F.Column:
+    """Aggregate: rows x fixed row bytes + actual bytes of every string."""
+    total = F.count(F.lit(1)) * F.lit(fixed_row_bytes(df.schema))
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.StringType):
+            total = total + F.coalesce(F.sum(F.octet_length(F.col(f.name))), F.lit(0))
     return total.cast("bigint")
 
 
 def measured_bytes_many(dfs: list[DataFrame]) -> list[int]:
     """Measured size of each frame (see ``measured_bytes``), all in one job:
     the one-row aggregates are unioned and collected together."""
-    parts = [df.agg(F.lit(i).alias("_i"), _bytes_expr(df).alias("_bytes")) for i, df in enumerate(dfs)]
+    parts = [df.agg(F.lit(i).alias("_i"), bytes_aggregate(df).alias("_bytes")) for i, df in enumerate(dfs)]
     got = {r["_i"]: int(r["_bytes"]) for r in reduce(DataFrame.unionByName, parts).collect()}
     return [got[i] for i in range(len(dfs))]
 

@@ -289,3 +289,13 @@ def test_large_dimension_is_joined_by_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
     assert rows == {1: "BR", 2: None, 3: "MX", 4: None, 5: "BR"}
+
+
+def test_duplicate_customer_ids_fan_out_like_chained_left_joins(spark):
+    accounts = spark.createDataFrame([(1, 101), (2, 102)], ACCOUNTS)
+    customers = spark.createDataFrame([(101, "BR"), (101, "AR"), (102, "MX")], CUSTOMERS)
+    pix, _, _, _ = _feeds(spark)  # account 1 and unknown account 9
+    ledger = build_ledger([(pix, PIX_SPEC)], accounts, customers)
+    got = sorted((r.txn_id, r.country_name) for r in ledger.collect())
+    assert got == [(1, "AR"), (1, "BR"), (2, None)]
+    assert "BroadcastHashJoin" in ledger._jdf.queryExecution().executedPlan().toString()
