@@ -6,8 +6,10 @@
   non-compounding daily yield.
 * ``monthly_metrics``: a KPI series per month (optionally per product).
 
-Every function takes and returns DataFrames; nothing triggers an action except
-the measured broadcast checks of the cohort and dimension sides.
+Every function takes and returns DataFrames. The only actions taken while a
+plan is built are measurements that return one row each: the size of a
+broadcast candidate (cohort, dimension) and the hot-account set of the
+transaction windows.
 """
 
 from __future__ import annotations
