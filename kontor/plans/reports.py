@@ -7,7 +7,7 @@
 * ``monthly_metrics``: a KPI series per month (optionally per product).
 
 Every function takes and returns DataFrames. The only actions taken while a
-plan is built are measurements that return one row each: the size of a
+plan is built are measurements returning one row per measured frame: the size of a
 broadcast candidate (cohort, dimension) and the hot-account set of the
 transaction windows.
 """
