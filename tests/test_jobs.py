@@ -55,3 +55,17 @@ def test_build_with_nested_investments(spark, scratch):
     assert got.count() == 5  # 2 pix + 1 in + 1 out + 1 nested investment (the CSV investments are replaced)
     inv = got.where("product = 'investments'").collect()
     assert [(r.account_id, r.amount, r.in_or_out, r.country_name) for r in inv] == [(1, 70.0, "in", "Brazil")]
+
+
+def test_jobs_through_a_catalog_table(spark, scratch):
+    _csv_feeds(scratch)
+    spark.sql("DROP TABLE IF EXISTS ledger_job_table")
+    build_ledger.main(["--feeds", scratch, "--ledger-table", "ledger_job_table"])
+    assert spark.table("ledger_job_table").count() == 6
+    out = f"{scratch}/amb"
+    run_report.main(
+        ["account_monthly_balance", "--ledger-table", "ledger_job_table", "--interval", "2020-01-01",
+         "2020-12-31", "--products", "non_pix", "pix", "--out", out]
+    )
+    got = {(r.account_id, r.month): r.account_monthly_balance for r in spark.read.parquet(out).collect()}
+    assert got == {(1, "2020-04"): 110.5, (2, "2020-04"): -40.0}
