@@ -43,6 +43,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--rate", type=float, default=R.FIXED_RATE)
     ap.add_argument("--out", required=True)
     ap.add_argument("--csv", action="store_true", help="header CSV (one file when small)")
+    ap.add_argument("--preview", type=int, default=0, help="also print the first N rows")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 
@@ -68,6 +69,10 @@ def main(argv: list[str] | None = None) -> None:
         write_report_csv(out, args.out, order_by=REPORT_ORDER[args.report])
     else:
         out.write.mode("overwrite").parquet(args.out)
+    if args.preview:
+        # a bounded look at the written report, in report order
+        stored = spark.read.option("header", True).csv(args.out) if args.csv else spark.read.parquet(args.out)
+        stored.orderBy(*REPORT_ORDER[args.report]).show(args.preview, truncate=False)
 
 
 if __name__ == "__main__":

@@ -27,7 +27,7 @@ def test_build_then_reports(spark, scratch):
     assert list(rows[0]) == [
         "day", "month", "account_id", "deposit", "withdrawal", "end_of_day_income", "account_daily_balance",
     ]
-    run_report.main(["kpis", "--ledger-path", ledger, "--out", f"{scratch}/kpis"])
+    run_report.main(["kpis", "--ledger-path", ledger, "--out", f"{scratch}/kpis", "--preview", "2"])
     assert spark.read.parquet(f"{scratch}/kpis").count() == 3  # one month x three products
     run_report.main(["account_monthly_balance_sql", "--feeds", scratch, "--out", f"{scratch}/sql"])
     got = spark.read.parquet(f"{scratch}/sql").collect()
