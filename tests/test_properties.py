@@ -124,3 +124,23 @@ def test_kpis_by_product_equal_one_product_at_a_time(spark):
                     assert abs(t[k] - v) <= 1e-6 * max(1.0, abs(v)), (product, r["month"], k)
                 else:
                     assert t[k] == v, (product, r["month"], k)
+
+
+def test_reports_over_stored_ledger_equal_in_memory(spark, scratch):
+    from kontor.functions.metrics import KPI_METRICS
+    from kontor.sources.sinks import write_ledger
+
+    led = E._ledger(spark, SF_SMALL)
+    write_ledger(led, path=f"{scratch}/ledger")
+    stored = spark.read.parquet(f"{scratch}/ledger")
+    assert dict(stored.dtypes)["month"] == "string" and stored.count() == led.count()
+    interval = ("1995-01-01", "2002-01-01")
+    pairs = [
+        (R.account_monthly_balance(led, interval), R.account_monthly_balance(stored, interval)),
+        (R.investments_daily_ledger(led, interval), R.investments_daily_ledger(stored, interval)),
+        (R.kpi_series(led, KPI_METRICS), R.kpi_series(stored, KPI_METRICS)),
+    ]
+    for mem, disk in pairs:
+        a = E._round(mem, {c: 6 for c, t in mem.dtypes if t == "double"})
+        b = E._round(disk.select(*mem.columns), {c: 6 for c, t in mem.dtypes if t == "double"})
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
