@@ -65,17 +65,17 @@ def pin_session(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 
-    A cluster names it in ``spark.checkpoint.dir``; use that. Only when it is
-    unset (local tests) a scratch folder is created and registered.
+    A cluster names it in ``spark.checkpoint.dir`` (a core setting, read when
+    the context starts); use that. Only when nothing is configured (local
+    tests) a scratch folder is registered with the context.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        spark.sparkContext.setCheckpointDir(configured)
+        return spark.sparkContext.getCheckpointDir() or configured
     local = tempfile.mkdtemp(prefix="kontor-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
-    return local
+    return spark.sparkContext.getCheckpointDir() or local
