@@ -13,11 +13,14 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import functions as F
+
 from kontor.functions.metrics import KPI_METRICS
 from kontor.plans import reports as R
 from kontor.plans.sql_reports import account_monthly_balance_sql
 from kontor.session import build_session
-from kontor.sources.files import register_feeds
+from kontor.schemas import INVESTMENT_ACCOUNTS_TO_SEND
+from kontor.sources.files import read_feed_csv, register_feeds
 from kontor.sources.sinks import write_report_csv
 
 REPORT_ORDER = {
@@ -28,6 +31,13 @@ REPORT_ORDER = {
 }
 
 
+def read_cohort(spark, path: str, fmt: str = "csv"):
+    """Cohort account ids from a folder (header CSV or Parquet), as bigint."""
+    if fmt == "csv":
+        return read_feed_csv(spark, path, INVESTMENT_ACCOUNTS_TO_SEND)
+    return spark.read.format(fmt).load(path).select(F.col("account_id").cast("bigint").alias("account_id"))
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.split("\n")[0])
     ap.add_argument("report", choices=sorted(REPORT_ORDER))
@@ -39,7 +49,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--year", type=int, default=2020)
     ap.add_argument("--products", nargs="*")
     ap.add_argument("--metrics", nargs="*", default=KPI_METRICS)
-    ap.add_argument("--cohort-table")
+    cohort_src = ap.add_mutually_exclusive_group()
+    cohort_src.add_argument("--cohort-table")
+    cohort_src.add_argument("--cohort-path", help="folder of account ids")
+    ap.add_argument("--cohort-format", default="csv", choices=["csv", "parquet", "orc"])
     ap.add_argument("--rate", type=float, default=R.FIXED_RATE)
     ap.add_argument("--out", required=True)
     ap.add_argument("--csv", action="store_true", help="header CSV (one file when small)")
@@ -59,7 +72,11 @@ def main(argv: list[str] | None = None) -> None:
             spark.read.parquet(args.ledger_path) if args.ledger_path else spark.table(args.ledger_table)
         )
         if args.report == "investments_daily_balance":
-            cohort = spark.table(args.cohort_table) if args.cohort_table else None
+            cohort = None
+            if args.cohort_table:
+                cohort = spark.table(args.cohort_table)
+            elif args.cohort_path:
+                cohort = read_cohort(spark, args.cohort_path, args.cohort_format)
             out = R.investments_daily_balance(ledger, interval, args.rate, cohort=cohort)
         elif args.report == "account_monthly_balance":
             out = R.account_monthly_balance(ledger, interval, args.products or R.DEFAULT_PRODUCTS)

@@ -27,6 +27,11 @@ def test_build_then_reports(spark, scratch):
     assert list(rows[0]) == [
         "day", "month", "account_id", "deposit", "withdrawal", "end_of_day_income", "account_daily_balance",
     ]
+    run_report.main(
+        ["investments_daily_balance", "--ledger-path", ledger, "--interval", "2020-01-01", "2021-01-01",
+         "--cohort-path", f"{scratch}/investment_accounts_to_send", "--out", f"{scratch}/idb2"]
+    )
+    assert sorted(r.day for r in spark.read.parquet(f"{scratch}/idb2").collect()) == [1, 2]
     run_report.main(["kpis", "--ledger-path", ledger, "--out", f"{scratch}/kpis", "--preview", "2"])
     assert spark.read.parquet(f"{scratch}/kpis").count() == 3  # one month x three products
     run_report.main(["account_monthly_balance_sql", "--feeds", scratch, "--out", f"{scratch}/sql"])
