@@ -3,6 +3,8 @@
     spark-submit jobs/run_report.py investments_daily_balance \\
         --ledger-path /data/ledger --interval 2020-01-01 2021-01-01 \\
         --cohort-table investment_accounts_to_send --out /data/reports/idb --csv
+    spark-submit jobs/run_report.py investments_daily_balance --ledger-path /data/ledger \
+        --cohort-path /data/investment_accounts_to_send --cohort-format parquet --out /data/reports/idb
     spark-submit jobs/run_report.py account_monthly_balance --ledger-table products_daily_events \\
         --interval 2020-01-01 2021-01-01 --products non_pix pix --out /data/reports/amb
     spark-submit jobs/run_report.py account_monthly_balance_sql --feeds /data/feeds --year 2020 --out ...
