@@ -109,3 +109,11 @@ def test_sql_report_year_filter_pushed_to_parquet_feeds(spark, scratch):
     assert plan.count(lo) == 2 and plan.count(hi) == 2
     assert "GreaterThanOrEqual(pix_requested_at,1577836800)" in plan
     assert "EqualTo(status,completed)" in plan
+
+
+def test_monthly_balance_shares_its_two_sums(spark):
+    rows = [ledger_row(1, 10.0, product="pix"), ledger_row(1, 4.0, product="pix", in_or_out="out")]
+    out = R.account_monthly_balance(ledger_df(spark, rows), ("2020-01-01", "2020-12-31"))
+    partial = next(l for l in _plan(out).split("\n") if "HashAggregate" in l and "partial_" in l)
+    assert partial.count("partial_sum") == 2  # balance reuses the in and out sums
+    assert [r.account_monthly_balance for r in out.collect()] == [6.0]
