@@ -49,6 +49,14 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or where ``df`` has such a column, a longer one that it hasn't."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def per_row(
     df: DataFrame,
     inputs: list[str],

@@ -7,14 +7,71 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kontor.llm import chat, mixing, simhash, urls
+from kontor.llm import chat, decontaminate, embeddings, merkle, mixing, pii, quality, simhash, tokens, urls
 from kontor.llm.common import table
 
 
+def damaged(records: DataFrame) -> DataFrame:
+    """A replica of WARC records with damage of every kind in known places: by md5 of the
+    record, one in 64 is lost, in one in 64 the first byte is changed, and after one in
+    64 stands another (it begins at the last byte of the first)."""
+    md5 = F.md5(F.col("record").cast("binary"))
+    kept = records.withColumn("lot", md5).where("lot >= '04'")
+    flipped = F.concat(F.lit("w"), F.substr("record", F.lit(2)))
+    changed = F.when(F.col("lot").between("10", "13g"), flipped).otherwise(F.col("record"))
+    extra = kept.where(F.col("lot").between("20", "23g")).withColumn("offset", F.col("offset") + F.col("length") - 1)
+    return kept.withColumn("record", changed).unionByName(extra).drop("lot")
+
+
+def op1_merkle_audit(spark: SparkSession, d: str) -> DataFrame:
+    records = merkle.warc_records(table(spark, d, "pages"))
+    return merkle.audit(records, damaged(records))
+
+
+OP1_SQL = r"""
+WITH r AS (
+    SELECT page_id, CAST(floor(page_id / 512) AS BIGINT) AS file,
+           'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:'
+           || page_id || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+           || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10)
+           || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record
+    FROM pages),
+p AS (
+    SELECT *, CAST(strlen(record) AS BIGINT) AS length,
+           CAST(coalesce(sum(strlen(record)) OVER (PARTITION BY file ORDER BY page_id, record
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset"
+    FROM r),
+c AS (SELECT *, md5(record) AS lot FROM p)
+SELECT file, "offset", length, CAST(NULL AS BIGINT) AS replica_length, 'missing' AS damage FROM c WHERE lot < '04'
+UNION ALL SELECT file, "offset", length, length, 'changed' FROM c WHERE lot BETWEEN '10' AND '13g'
+UNION ALL SELECT file, "offset" + length - 1, NULL, length, 'extra' FROM c WHERE lot BETWEEN '20' AND '23g'
+"""
+
+
 def op2_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, d, "documents"))
 
 
+def op3_token_counts(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.with_token_counts(table(spark, d, "documents").select("doc_id", "text"))
+
+
+def op4_pii(spark: SparkSession, d: str) -> DataFrame:
+    found = pii.find(table(spark, d, "documents"))
+
+    def count(kind: str):
+        own = F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))
+        return F.size(own).cast("bigint").alias(f"n_{kind}")
+
+    spans = F.col("spans")
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in pii.KINDS],
+        F.sha2(pii.joined(spans, only_base=True), 256).alias("base_sha256"),
+        pii.joined(spans).alias("spans"),
+    )
+
+
 # A conversation that holds what templates use as marks.
 MARKS = "\\### Assistant: </turn> ok"
 
@@ -44,10 +101,22 @@ FROM e GROUP BY conv_id
 """
 
 
+def op6_quality(spark: SparkSession, d: str) -> DataFrame:
+    return quality.classify(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 def op7_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents"))
 
 
+def op8_embeddings(spark: SparkSession, d: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, d, "embeddings"))
+
+
+def op9_decontaminate(spark: SparkSession, d: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def block_list(pages: DataFrame) -> DataFrame:
     """Canonical URLs to block: those seen on a spam host or with a ``ref`` parameter."""
     url = F.col("url")
@@ -94,12 +163,18 @@ FROM ruled
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_merkle_audit": op1_merkle_audit,
         "op2_simhash": op2_simhash,
+        "op3_token_counts": op3_token_counts,
+        "op4_pii": op4_pii,
         "op5_chat_format": op5_chat_format,
+        "op6_quality": op6_quality,
         "op7_mixing": op7_mixing,
+        "op8_embeddings": op8_embeddings,
+        "op9_decontaminate": op9_decontaminate,
         "op10_url_filter": op10_url_filter,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chat_format": OP5_SQL, "op10_url_filter": OP10_SQL}
+    return {"op1_merkle_audit": OP1_SQL, "op5_chat_format": OP5_SQL, "op10_url_filter": OP10_SQL}
