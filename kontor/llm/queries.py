@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from kontor.llm import chat, decontaminate, embeddings, merkle, mixing, pii, quality, simhash, tokens, urls
 from kontor.llm.common import table
 
@@ -173,8 +174,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_embeddings": op8_embeddings,
         "op9_decontaminate": op9_decontaminate,
         "op10_url_filter": op10_url_filter,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_merkle_audit": OP1_SQL, "op5_chat_format": OP5_SQL, "op10_url_filter": OP10_SQL}
+    sql = {"op1_merkle_audit": OP1_SQL, "op5_chat_format": OP5_SQL, "op10_url_filter": OP10_SQL}
+    return sql | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
