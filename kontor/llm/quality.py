@@ -6,8 +6,9 @@ d = (bad - good) / (bad + good) of the compressed sizes is positive where good t
 explains it better. A logistic calibration, fitted on labelled texts that trained no
 dictionary, turns d into a probability; it also sees the compression ratio and the
 length, since the same difference says less about text that compresses to nothing
-(one word repeated) or is very short. Classes are weighed by their share of the
-labels, so that the score is a probability.
+(one word repeated) or is very short; values beyond those it was fitted on count as
+the outermost ones. Both classes weigh the same in the fit: the score is the
+probability of label 1 where both labels are equally common.
 
 Only the fit is bounded (``docs_per_class`` texts of at most ``max_fit_bytes`` for
 each class and use, drawn by hash from all labelled rows); every text is scored whole.
@@ -89,6 +90,8 @@ class Model:
 
     good: bytes
     bad: bytes
+    low: tuple[float, ...] = ()
+    high: tuple[float, ...] = ()
     centre: tuple[float, ...] = ()
     scale: tuple[float, ...] = ()
     weights: tuple[float, ...] | None = None
@@ -96,24 +99,27 @@ class Model:
     def score(self, texts: list[str | None]) -> list[float]:
         if self.weights is None or not texts:
             return [0.5] * len(texts)
-        x = _terms(np.array([features(t, self.good, self.bad) for t in texts]))
+        x = np.array([features(t, self.good, self.bad) for t in texts])
+        x = _terms(np.clip(x, np.array(self.low), np.array(self.high)))
         z = (x - np.array(self.centre)) / np.array(self.scale) @ np.array(self.weights)
         return (1 / (1 + np.exp(-np.clip(z, -40, 40)))).tolist()
 
 
-def calibrate(good: bytes, bad: bytes, texts: list[str], labels: np.ndarray, share: float) -> Model:
-    """Logistic regression by Newton steps; ``share`` is label 1's share of all labels."""
-    x = _terms(np.array([features(t, good, bad) for t in texts]))
+def calibrate(good: bytes, bad: bytes, texts: list[str], labels: np.ndarray) -> Model:
+    """Logistic regression by Newton steps, both classes of equal weight."""
+    seen = np.array([features(t, good, bad) for t in texts])
+    low, high = seen.min(axis=0), seen.max(axis=0)
+    x = _terms(seen)
     centre, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     centre[0], scale[0] = 0.0, 1.0
     a = (x - centre) / scale
-    weight = np.where(labels == 1, share / labels.mean(), (1 - share) / (1 - labels.mean()))
+    weight = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean()))
     w = np.zeros(a.shape[1])
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -40, 40)))
         hessian = (a * (weight * p * (1 - p))[:, None]).T @ a + RIDGE * np.eye(len(w))
         w = w + np.linalg.solve(hessian, a.T @ (weight * (labels - p)) - RIDGE * w)
-    return Model(good, bad, tuple(centre.tolist()), tuple(scale.tolist()), tuple(w.tolist()))
+    return Model(good, bad, *(tuple(v.tolist()) for v in (low, high, centre, scale, w)))
 
 
 def fit(
@@ -164,9 +170,8 @@ def fit(
     if len({r["quality"] for r in judged}) < 2:
         judged = rows
     good, bad = train_dictionary(taught[1]), train_dictionary(taught[0])
-    share = sum(n for (q, _), n in counts.items() if q == 1) / sum(counts.values())
     y = np.array([r["quality"] for r in judged], float)
-    return calibrate(good, bad, [r["text"] for r in judged], y, share)
+    return calibrate(good, bad, [r["text"] for r in judged], y)
 
 
 def with_score(

@@ -14,13 +14,13 @@ from kontor.llm.common import table
 
 def damaged(records: DataFrame) -> DataFrame:
     """A replica of WARC records with damage of every kind in known places: by md5 of the
-    record, one in 64 is lost, in one in 64 the first byte is changed, and after one in
-    64 stands another (it begins at the last byte of the first)."""
+    record, one in 16 is lost, in one in 16 the first byte is changed, and after one in
+    16 stands another (it begins at the last byte of the first)."""
     md5 = F.md5(F.col("record").cast("binary"))
-    kept = records.withColumn("lot", md5).where("lot >= '04'")
+    kept = records.withColumn("lot", md5).where("lot >= '1'")
     flipped = F.concat(F.lit("w"), F.substr("record", F.lit(2)))
-    changed = F.when(F.col("lot").between("10", "13g"), flipped).otherwise(F.col("record"))
-    extra = kept.where(F.col("lot").between("20", "23g")).withColumn("offset", F.col("offset") + F.col("length") - 1)
+    changed = F.when(F.col("lot").between("4", "4g"), flipped).otherwise(F.col("record"))
+    extra = kept.where(F.col("lot").between("8", "8g")).withColumn("offset", F.col("offset") + F.col("length") - 1)
     return kept.withColumn("record", changed).unionByName(extra).drop("lot")
 
 
@@ -43,9 +43,9 @@ p AS (
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset"
     FROM r),
 c AS (SELECT *, md5(record) AS lot FROM p)
-SELECT file, "offset", length, CAST(NULL AS BIGINT) AS replica_length, 'missing' AS damage FROM c WHERE lot < '04'
-UNION ALL SELECT file, "offset", length, length, 'changed' FROM c WHERE lot BETWEEN '10' AND '13g'
-UNION ALL SELECT file, "offset" + length - 1, NULL, length, 'extra' FROM c WHERE lot BETWEEN '20' AND '23g'
+SELECT file, "offset", length, CAST(NULL AS BIGINT) AS replica_length, 'missing' AS damage FROM c WHERE lot < '1'
+UNION ALL SELECT file, "offset", length, length, 'changed' FROM c WHERE lot BETWEEN '4' AND '4g'
+UNION ALL SELECT file, "offset" + length - 1, NULL, length, 'extra' FROM c WHERE lot BETWEEN '8' AND '8g'
 """
 
 

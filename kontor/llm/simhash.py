@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kontor.llm.common import per_row, settle
+from kontor.llm.common import fresh, per_row, settle
 from kontor.llm.components import connected_components
 
 BITS = 64
@@ -171,12 +171,13 @@ def keep_first(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = MAX_
     rows = prints.groupBy(F.col("doc_id").alias("_id"), F.col("content").alias("_content")).count()
     one = (F.col("f._content") == F.col("r._content")) & F.col("f._id").eqNullSafe(F.col("r._id"))
     first = settle(first.alias("f").join(rows.alias("r"), one).select("f._id", "f._content", "r.count"))
-    tagged = docs.withColumn("_content", content)
+    name = fresh(docs, "_content")
+    tagged = docs.withColumn(name, content)
 
     def of(chosen: DataFrame) -> DataFrame:
-        match = (tagged["_content"] == chosen["_content"]) & tagged["doc_id"].eqNullSafe(chosen["_id"])
+        match = (tagged[name] == chosen["_content"]) & tagged["doc_id"].eqNullSafe(chosen["_id"])
         return tagged.join(chosen, match, "left_semi")
 
     once = of(first.where(F.col("count") == 1))
-    repeated = of(first.where(F.col("count") > 1)).dropDuplicates(["doc_id", "_content"])
-    return once.unionByName(repeated).drop("_content")
+    repeated = of(first.where(F.col("count") > 1)).dropDuplicates(["doc_id", name])
+    return once.unionByName(repeated).drop(name)

@@ -1,0 +1,60 @@
+import hashlib
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from kontor.llm import chat
+
+TEXT = st.text(alphabet="ab \\|<>\nné😀#/:tur", max_size=30) | st.sampled_from(["<|turn|>x\n", "<|end|>\n", "\\<|", "<\\|", "\\n", ""])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(TEXT, TEXT), max_size=6))
+def test_rendering_is_reversible(turns):
+    assert chat.parse(chat.render(turns)[0]) == turns
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 9), min_size=1, max_size=30), st.lists(st.integers(1, 9), max_size=10))
+def test_masks_equal_a_scan_of_characters(token_sizes, gaps):
+    offsets, at = [], 0
+    for n in token_sizes:
+        offsets.append((at, at + n))
+        at += n
+    spans, place = [], 0
+    for i, g in enumerate(gaps):
+        if i % 2:
+            spans.append((place, place + g))
+        place += g
+    start, end, low, high = chat.align(offsets, spans)
+    for (a, b), x, y in zip(offsets, low.tolist(), high.tolist()):
+        first = next((s for s in spans if s[1] > a), None)
+        inside = [c for c in range(a, b) if first and first[0] <= c < first[1]]
+        assert (list(range(x, y)) if y > x else []) == inside
+
+
+def test_conversations_read_back(spark):
+    marks = "\\### Assistant: </turn> ok"
+    rows = [
+        (1, 0, "system", "be\n<|end|>\n"), (1, 2, "assistant", " lead and\n\n trail \n"), (1, 1, "user", "é😀"),
+        (1, 3, "assistant", "<|turn|>assistant\nno"), (2, 0, "assistant", None), (3, None, None, "null turn first"),
+        (3, 5, "assistant", "same"), (3, 5, "assistant", "same"), (None, 0, "assistant", "nobody's"), (-7, 0, "user", marks),
+        (-7, 1, "assistant", marks), (4, 0, "odd\nrole", "x" * 5000),
+    ]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "conv_id bigint, turn bigint, role string, text string, formatted string")
+    made = chat.format_conversations(df)
+    got = {r.conv_id: r for r in chat.read_back(made).collect()}
+    assert len(got) == len({r[0] for r in rows})
+    for cid in got:
+        own = [(r[1], r[2] or "", r[3] or "") for r in rows if r[0] == cid]
+        own.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+        loss = "".join(t for _, role, t in own if role == "assistant")
+        turns = "".join(f"{role}\n{t}\n" for _, role, t in own)
+        r = got[cid]
+        assert (r.n_turns, r.loss_chars) == (len(own), len(loss))
+        assert r.turns_sha256 == hashlib.sha256(turns.encode()).hexdigest()
+        assert r.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+        assert r.formatted_chars == len(chat.render([(a, b) for _, a, b in own])[0])
+    one = made.where("conv_id = 2").first()
+    assert not any(one.loss_mask) and len(one.token_ids) == len(one.token_start)
+    assert chat.read_back(chat.format_conversations(df.where("conv_id = 99"))).collect() == []

@@ -1,0 +1,71 @@
+import numpy as np
+import pytest
+from helpers_llm import clashing, documents
+from pyspark.sql import functions as F
+
+from kontor.llm import mixing
+
+
+def water_fill(sizes, weights=(5, 2, 1), most=3):
+    """Targets by the contract's loop."""
+    names = sorted([s for s in sizes if s is not None], key=lambda s: s.encode()) + ([None] if None in sizes else [])
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    target, open_, left = {}, set(names), float(sum(sizes.values()))
+    while open_:
+        share = left / sum(weight[s] for s in open_)
+        held = {s for s in open_ if weight[s] * share >= most * sizes[s]}
+        for s in held or open_:
+            target[s] = float(most * sizes[s]) if held else weight[s] * share
+        if not held:
+            break
+        left -= sum(target[s] for s in held)
+        open_ -= held
+    return target
+
+
+def test_mix_of_uneven_sources(spark):
+    rng = np.random.default_rng(2)
+    rows, i = [], 0
+    for source, docs, words in (("a", 3, 40), ("b", 400, 60), ("c", 40, 90), ("é", 30, 500), (None, 60, 50), ("zz", 5, 0)):
+        for _ in range(docs):
+            i += 1
+            rows.append((i, " ".join(["w"] * int(rng.integers(0, 2 * words + 1))), source))
+    rows += [(1, None, "a"), (None, "x y z", "b"), (None, "x y z", "b"), (7, "t " * 20_000, "c"), (8, "\x1c \x85", "b")]
+    df = clashing(documents(spark, rows)).drop("taken", "size")
+    got = mixing.mix(df).toPandas()
+    assert len(got) == len(rows)
+    by_source = {s: got[got.source.isna() if s is None else got.source == s] for s in {r[2] for r in rows}}
+    want = water_fill({s: int(own["size"].sum()) for s, own in by_source.items()})
+    assert sum(want.values()) == pytest.approx(got["size"].sum())
+    for s, target in want.items():
+        own = by_source[s]
+        assert np.allclose(own.target, target) and (own.source_size == own["size"].sum()).all()
+        assert abs(own.taken.sum() - target) <= max(mixing.BLOCK_WORDS, 0.02 * target)
+    assert (got.taken <= 3 * got["size"]).all()
+    again = mixing.mix(df.repartition(7, "text")).toPandas()
+    key = lambda f: sorted(map(str, f[["doc_id", "source", "size", "taken"]].itertuples(index=False)))
+    assert key(got) == key(again)
+
+
+def test_sizes_count_words_between_the_six_spaces(spark):
+    rows = [(1, "a\tb\nc\x0bd\x0ce\rf g"), (2, None), (3, ""), (4, " \n"), (5, "é\x85x\x1cy\u00a0z")]
+    got = {r.doc_id: r.size for r in mixing.sized(documents(spark, rows)).collect()}
+    assert got == {1: 7, 2: 0, 3: 0, 4: 0, 5: 1}
+
+
+def test_permutations_and_slots(spark):
+    for n in (1, 2, 3, 10, 97):
+        got = [r[0] for r in spark.range(n).select(mixing.shuffled(F.col("id"), F.lit(n), F.lit(3), F.lit("s"))).collect()]
+        assert sorted(got) == list(range(n))
+    t = spark.createDataFrame([("a", 10, 25), (None, 3, 2), ("z", 0, 0)], "source string, blocks bigint, slots bigint")
+    slots = mixing.mixed_slots(t, slots_per_shard=4).toPandas()
+    a = slots[slots.source == "a"]
+    assert len(slots) == 27 and sorted(a.slot) == list(range(25))
+    assert all(sorted(a[a.repeat == r].block) == list(range(10)) for r in (0, 1))
+    assert slots["shard"].between(0, 6).all() and slots["shard"].nunique() > 1
+
+
+def test_empty_tables(spark):
+    assert mixing.mix(documents(spark, [])).collect() == []
+    got = mixing.mix(documents(spark, [(1, None), (2, "")])).collect()
+    assert sorted((r.doc_id, r.size, r.taken) for r in got) == [(1, 0, 0), (2, 0, 0)]

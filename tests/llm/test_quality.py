@@ -1,0 +1,67 @@
+import zlib
+
+import numpy as np
+from helpers_llm import clashing, documents
+
+from kontor.llm import quality
+
+
+def corpus(n=600, seed=4):
+    rng = np.random.default_rng(seed)
+    words = ["".join(rng.choice(list("aeioulnrst"), 5)) for _ in range(300)]
+    rows, labels = [], []
+    for i in range(n):
+        good = i % 3 > 0
+        body = [str(w) for w in rng.choice(words, int(rng.integers(30, 90)))]
+        text = " ".join(body) if good else " | ".join(w + "%%%" for w in body)
+        rows.append((i, text))
+        labels.append((i, int(good), 0))
+    return rows, labels
+
+
+LABELS = "doc_id bigint, quality int, toxic int"
+
+
+def test_held_out_accuracy_and_folds(spark):
+    rows, labels = corpus()
+    odd = [(1000, None), (1001, ""), (None, rows[1][1]), (3, rows[1][1]), (1002, "long " * 40_000)]
+    docs = clashing(documents(spark, rows + odd)).drop("score")
+    got = quality.classify(docs, spark.createDataFrame([*labels, (5, 0, 0), (5, 1, 0), (None, 1, 0), (6, None, 0)], LABELS)).collect()
+    assert len(got) == len(rows) + len(odd)
+    truth = {i: q for i, q, _ in labels}
+    held = [r for r in got if r.held_out and r.doc_id in truth]
+    assert held and all(r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in got)
+    assert np.mean([r.predicted == truth[r.doc_id] for r in held]) > 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
+    by_text = {r.score for r in got if r.doc_id in (1000, 1001)}
+    assert len(by_text) == 1  # null as empty
+
+
+def test_held_out_labels_teach_nothing(spark):
+    rows, labels = corpus(300)
+    docs = documents(spark, rows)
+    swapped = [(i, 1 - q if zlib.crc32(str(i).encode()) % 3 == 1 else q, t) for i, q, t in labels]
+    a = quality.fit(docs, spark.createDataFrame(labels, LABELS))
+    assert a == quality.fit(docs, spark.createDataFrame(swapped, LABELS))
+
+
+def test_without_labels_of_both_classes(spark):
+    docs = documents(spark, [(1, "a b c"), (2, None)])
+    for labels in ([], [(1, 1, 0)]):
+        got = quality.classify(docs, spark.createDataFrame(labels, LABELS)).collect()
+        assert [r.score for r in got] == [0.5, 0.5]
+    assert quality.classify(documents(spark, []), spark.createDataFrame([], LABELS)).collect() == []
+
+
+def test_keep_good_keeps_columns_and_clean_rows(spark):
+    rows, labels = corpus(300)
+    df = clashing(documents(spark, rows))
+    kept = quality.keep_good(df, spark.createDataFrame(labels, LABELS))
+    assert kept.columns == df.columns
+    ids = {r.doc_id for r in kept.select("doc_id").collect()}
+    good = {i for i, q, _ in labels if q}
+    assert len(ids & good) >= 0.95 * len(good) and len(ids - good) <= 0.05 * len(good)
+
+
+def test_few_texts_make_a_raw_dictionary():
+    assert quality.train_dictionary(["abc"]) == b"abc"
