@@ -120,7 +120,9 @@ def mixed_slots(targets: DataFrame, slots_per_shard: int = SLOTS_PER_SHARD, seed
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("slots") - 1) / F.lit(SLOT_RUN)))).alias("run"),
     )
     first = F.col("run") * SLOT_RUN
-    slots = runs.repartition("source", "run").select(
+    # A set number of partitions, so that the few run rows are not put into one task.
+    tasks = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = runs.repartition(tasks, "source", "run").select(
         "source",
         "blocks",
         "shards",
@@ -167,7 +169,7 @@ def placed(sizes: DataFrame, targets: DataFrame, seed: int = SEED) -> DataFrame:
     )
     laid = dealt.withColumn("inside", F.coalesce(F.sum(words).over(within), F.lit(0)))
     same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("bucket") == F.col("_bucket"))
-    return laid.join(offsets, same).select(
+    return laid.join(offsets.hint("merge"), same).select(
         "doc_id",
         "source",
         "size",
@@ -215,7 +217,7 @@ def mix(
     parts = pieces(placed(sizes, targets, seed), block_words)
     hit = F.col("source").eqNullSafe(F.col("_source")) & (F.col("block") == F.col("_block"))
     rows = (
-        parts.join(taken, hit, "left")
+        parts.join(taken.hint("merge"), hit, "left")  # both sides grow: never broadcast
         .groupBy("doc_id", "source", "size", "start", "copy")
         .agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).cast("bigint").alias("taken"))
     )
