@@ -106,6 +106,8 @@ def linked_fingerprints(fingerprints: DataFrame, distance: int = MAX_DISTANCE) -
     (x, y) that differ in 1 to ``distance`` bits, each once, as the links of a graph."""
     fp = fingerprints.select(F.col(fingerprints.columns[0]).alias("fp"))
     parts = choose_segments(distance, fp.count())
+    # A set number of partitions: each fingerprint becomes dozens of probes.
+    fp = fp.repartition(int(fp.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     asked_at, stored_at = [], []
     for part, (shift, width, radius) in enumerate(parts):
         tag, value = F.lit(part).cast("tinyint").alias("part"), _segment(F.col("fp"), shift, width)
