@@ -27,11 +27,11 @@ PAGES_PER_FILE = 512
 
 
 def warc_records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """(page_id, file, offset, length, record): pages as WARC response records in files
-    of ``PAGES_PER_FILE`` consecutive ids, in order of (page_id, url, content).
+    """(page_id, file, length, digest, record): pages as WARC response records, the
+    SHA-256 of each, and the file it goes to: ``PAGES_PER_FILE`` consecutive ids a file.
 
     Null url and html are empty. Pages without id go to files named by a hash of their
-    content, as many as their number asks for; equal rows are records one after another.
+    content, as many as their number asks for; equal rows are several records.
     """
     body = F.coalesce(F.col(f"`{html}`"), F.lit(""))
     target = F.coalesce(F.col(f"`{url}`"), F.lit(""))
@@ -48,28 +48,39 @@ def warc_records(pages: DataFrame, page_id: str = "page_id", url: str = "url", h
         body,
         F.lit("\r\n\r\n"),
     )
-    made = pages.select(pid.alias("page_id"), record.alias("record"))
-    unnamed = pages.where(pid.isNull()).count()
-    loose = max(1, -(-unnamed // PAGES_PER_FILE))
-    placed = made.withColumn(
-        "file",
-        F.when(F.col("page_id").isNotNull(), F.floor(F.col("page_id") / F.lit(PAGES_PER_FILE))).otherwise(
-            -1 - F.pmod(F.xxhash64("record"), F.lit(loose))
-        ).cast("bigint"),
-    ).withColumn("length", F.octet_length("record").cast("bigint"))
-    order = Window.partitionBy("file").orderBy(F.col("page_id").asc_nulls_first(), "record")
+    loose = max(1, -(-pages.where(pid.isNull()).count() // PAGES_PER_FILE))
+    file = F.when(pid.isNotNull(), F.floor(pid / F.lit(PAGES_PER_FILE))).otherwise(
+        -1 - F.pmod(F.xxhash64(target, body), F.lit(loose))
+    )
+    return pages.select(
+        pid.alias("page_id"),
+        file.cast("bigint").alias("file"),
+        F.octet_length(record).cast("bigint").alias("length"),
+        digest(record).alias("digest"),
+        record.alias("record"),
+    )
+
+
+def digest(record: Column) -> Column:
+    """SHA-256 of a record's bytes; null counts as empty."""
+    return F.sha2(F.coalesce(record.cast("binary"), F.lit("").cast("binary")), 256)
+
+
+def placed(records: DataFrame) -> DataFrame:
+    """``records`` with ``offset``: in a file they stand in order of (page_id, digest). Only
+    what is read of the result is shuffled, so ask for the digest, not the record."""
+    order = Window.partitionBy("file").orderBy(F.col("page_id").asc_nulls_first(), "digest")
     before = F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    return placed.select("page_id", "file", F.coalesce(before, F.lit(0)).alias("offset"), "length", "record")
+    return records.withColumn("offset", F.coalesce(before, F.lit(0)))
 
 
 def leaves(records: DataFrame) -> DataFrame:
-    """(file, at, length, hash) of records (file, offset, length, record): ``at`` is the
-    offset. Rows that stand at one place of a file are one leaf over all their hashes."""
-    place = F.concat_ws(":", F.lit("leaf"), F.col("offset").cast("string"), F.col("length").cast("string"), F.lit(""))
-    content = F.coalesce(F.col("record").cast("binary"), F.lit("").cast("binary"))
-    own = records.select(
-        "file", F.col("offset").alias("at"), "length", F.sha2(F.concat(place.cast("binary"), content), 256).alias("hash")
-    )
+    """(file, at, length, hash) of records with file, offset, length and digest (or the
+    record itself): ``at`` is the offset. Rows that stand at one place of a file are one
+    leaf over all their hashes."""
+    content = F.col("digest") if "digest" in records.columns else digest(F.col("record"))
+    place = F.concat_ws(":", F.lit("leaf"), F.col("offset").cast("string"), F.col("length").cast("string"), content)
+    own = records.select("file", F.col("offset").alias("at"), "length", F.sha2(place, 256).alias("hash"))
     hashes = F.array_sort(F.collect_list("hash"))
     return own.groupBy("file", "at").agg(
         F.sum("length").alias("length"),
@@ -141,7 +152,7 @@ def _below(df: DataFrame, suspects: DataFrame, step: int) -> DataFrame:
 def audit(original: DataFrame, replica: DataFrame) -> DataFrame:
     """(file, offset, length, replica_length, damage): the records in which two replicas differ.
 
-    Both have file, offset, length, record; other columns are ignored. ``damage`` is
+    Both have file, offset, length and digest or record; other columns are ignored. ``damage`` is
     ``changed``, ``missing`` (only the original has a record there) or ``extra`` (only the
     replica has). Null records are empty ones, a null file is a file; equal archives,
     empty ones among them, give no rows. The leaves and lowest nodes of both are written

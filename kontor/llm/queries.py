@@ -13,19 +13,19 @@ from kontor.llm.common import table
 
 
 def damaged(records: DataFrame) -> DataFrame:
-    """A replica of WARC records with damage of every kind in known places: by md5 of the
-    record, one in 16 is lost, in one in 16 the first byte is changed, and after one in
-    16 stands another (it begins at the last byte of the first)."""
-    md5 = F.md5(F.col("record").cast("binary"))
-    kept = records.withColumn("lot", md5).where("lot >= '1'")
-    flipped = F.concat(F.lit("w"), F.substr("record", F.lit(2)))
-    changed = F.when(F.col("lot").between("4", "4g"), flipped).otherwise(F.col("record"))
-    extra = kept.where(F.col("lot").between("8", "8g")).withColumn("offset", F.col("offset") + F.col("length") - 1)
-    return kept.withColumn("record", changed).unionByName(extra).drop("lot")
+    """A replica of placed WARC records with damage of every kind in known places: by the
+    digest, one record in 16 is lost, in one in 16 the first byte is changed, and after
+    one in 16 stands another (it begins at the last byte of the first)."""
+    kept = records.where("digest >= '1'")
+    changed = F.when(F.col("digest").between("4", "4g"), F.col("flipped")).otherwise(F.col("digest"))
+    extra = kept.where(F.col("digest").between("8", "8g")).withColumn("offset", F.col("offset") + F.col("length") - 1)
+    return kept.withColumn("digest", changed).unionByName(extra)
 
 
 def op1_merkle_audit(spark: SparkSession, d: str) -> DataFrame:
     records = merkle.warc_records(table(spark, d, "pages"))
+    flipped = merkle.digest(F.concat(F.lit("w"), F.substr("record", F.lit(2))))
+    records = merkle.placed(records.withColumn("flipped", flipped).drop("record"))
     return merkle.audit(records, damaged(records))
 
 
@@ -37,12 +37,13 @@ WITH r AS (
            || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10)
            || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record
     FROM pages),
+s AS (SELECT *, sha256(record) AS digest FROM r),
 p AS (
     SELECT *, CAST(strlen(record) AS BIGINT) AS length,
-           CAST(coalesce(sum(strlen(record)) OVER (PARTITION BY file ORDER BY page_id, record
+           CAST(coalesce(sum(strlen(record)) OVER (PARTITION BY file ORDER BY page_id, digest
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset"
-    FROM r),
-c AS (SELECT *, md5(record) AS lot FROM p)
+    FROM s),
+c AS (SELECT *, digest AS lot FROM p)
 SELECT file, "offset", length, CAST(NULL AS BIGINT) AS replica_length, 'missing' AS damage FROM c WHERE lot < '1'
 UNION ALL SELECT file, "offset", length, length, 'changed' FROM c WHERE lot BETWEEN '4' AND '4g'
 UNION ALL SELECT file, "offset" + length - 1, NULL, length, 'extra' FROM c WHERE lot BETWEEN '8' AND '8g'

@@ -57,7 +57,7 @@ def test_records_of_pages(spark):
     pages = spark.createDataFrame(
         [(0, "u", "<p>"), (1, None, None), (1, None, None), (600, "v", "é"), (None, "w", "z")], "page_id bigint, url string, html string"
     )
-    rows = merkle.warc_records(pages).collect()
+    rows = merkle.placed(merkle.warc_records(pages)).collect()
     assert len(rows) == 5 and {r.file for r in rows} == {-1, 0, 1}
     own = sorted((r.offset, r.length) for r in rows if r.file == 0)
     assert own[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(own, own[1:]))
