@@ -1,49 +1,40 @@
-"""Per-account transaction sequence dimensions, hot accounts split into time buckets.
-
-A plain ``Window.partitionBy("account_id")`` sends every row of an account to
-one task. When one account holds a large share of all rows that task holds it
-too. Here the accounts with at least ``hot_rows`` rows are cut into buckets of
-request time and the window runs per (account, bucket); every other account
-is one bucket. What a row needs from earlier buckets is carried in from a
-per-bucket summary:
-
-0. hot accounts: a per-account aggregate (row count, first and last instant;
-   partial + final) keeps those with at least ``hot_rows`` rows. There are at
-   most ``total rows / hot_rows`` of them, a bound that does not grow with the
-   number of accounts; the set is broadcast after its measured size is
-   checked. Each hot account's buckets are sized from its count and span to
-   hold about ``hot_rows`` rows on average (at most ``bucket_seconds`` wide).
-   Should the set not fit, every account is bucketed on a fixed grid (same
-   results);
-1. summary per (keys, bucket) of the hot rows: row count and latest request
-   instant (a partial-then-final aggregate: a hot account collapses map-side);
-2. a window over the summary, per account ordered by bucket: rows in earlier
-   buckets and the latest instant of the previous bucket. Its partitions hold
-   one row per active bucket, not one per transaction;
-3. each bucket's summary joins its rows as one header row (a union, not a
-   join) and the row windows run per (keys, bucket): the rows are shuffled
-   once, as for a plain window, but a hot account spreads over as many tasks
-   as it has active buckets.
-
-Results equal the plain windows (``kontor.functions.windows``), ties included.
+"""Per-account transaction sequence dimensions from per-instant aggregates.
+
+A plain ``Window.partitionBy("account_id")`` sends every row of an account to one
+task. Here no window ever runs over transactions:
+
+1. the rows are counted per (keys, instant): partial sums on the map side, so a
+   burst of one account, or a single second with very many rows, collapses before
+   the shuffle. The same aggregate keeps the instant's first row in the total
+   order (instant, then the tie-breakers);
+2. running counts over the instants, in two steps: within a day (at most 86,400
+   instants, instants being whole seconds) and over the days of an account. Both
+   window partitions are bounded by the calendar, whatever the account's rows;
+3. one join on (keys, instant) gives each row its numbers. Its small side has one
+   row per key, so AQE can split the partition of an instant that holds very many
+   rows.
+
+Everything a row needs is a function of its instant: the ever count is the
+running count, a trailing count is the difference of two running counts (the
+other end of the frame is a probe point that takes part in the running count
+with no rows), and the previous row's instant is the row's own instant unless
+the row is the first of its instant. Among equal copies of the first row exactly
+one is first: copies are counted and laid out again, never ordered.
+
+Results equal the plain windows (``kontor.functions.windows``), ties and NULL
+instants (ordered first, peers of each other) included.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kontor.functions.columns import SECONDS_PER_DAY, try_long
 from kontor.functions.windows import ACCOUNT_KEYS, TIE_BREAKERS
-from kontor.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, measured_bytes
-
-DEFAULT_BUCKET_SECONDS = 3600
-# An account with at least this many rows is split into time buckets.
-DEFAULT_HOT_ROWS = 1_000_000
-# Bucket of rows whose request instant is NULL: ordered before every other.
-_NULL_BUCKET = -(2**62)
 
 DIMENSION_COLUMNS = [
     "txn_requested_at_ts",
@@ -54,105 +45,105 @@ DIMENSION_COLUMNS = [
     "time_from_last_txn_in_days",
 ]
 
+INSTANT = "txn_requested_at"
 
-def _bucket(width: int) -> Column:
-    return F.coalesce(
-        F.floor(F.col("txn_requested_at") / F.lit(width)).cast("bigint"), F.lit(_NULL_BUCKET)
-    )
 
+def _day(instant: Column) -> Column:
+    """Day number; NULL instants are one day of their own, before every other."""
+    return F.floor(instant / F.lit(SECONDS_PER_DAY))
 
-def hot_accounts(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Keys with at least ``hot_rows`` rows (at most ``count(df) / hot_rows``
-    of them), with their row count and first and last request instant."""
-    t = F.col("txn_requested_at").cast("bigint")
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"), F.min(t).alias("_t0"), F.max(t).alias("_t1"))
-        .where(F.col("_rows") >= F.lit(hot_rows))
-    )
 
+def _instants(df: DataFrame, keys: Sequence[str], with_first: bool) -> DataFrame:
+    """(keys, _t, _n[, _first]): rows of each instant, and the first in the total order."""
+    aggregates = [F.count(F.lit(1)).alias("_n")]
+    if with_first:  # a struct compares column by column, NULL first
+        aggregates.append(F.min(F.struct(*TIE_BREAKERS)).alias("_first"))
+    return df.groupBy(*keys, F.col(INSTANT).cast("bigint").alias("_t")).agg(*aggregates)
 
-def with_buckets(
-    df: DataFrame,
-    keys: Sequence[str],
-    width: int,
-    hot_rows: int = DEFAULT_HOT_ROWS,
-    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-    min_width: int = 1,
-) -> tuple[DataFrame, bool]:
-    """Add ``_hot`` (account is split), ``_bucket`` (0 for other accounts) and
-    the bucket grid ``_t0`` + ``_w`` * bucket of each row.
 
-    A hot account's buckets are sized from its measured row count and time
-    span to hold about ``hot_rows`` rows each on average, never wider than
-    ``width`` nor narrower than ``min_width`` seconds. Returns the frame and
-    whether any account is split. The hot set is measured (rows and bytes, one
-    job over the per-account aggregate); when it is empty no account is split
-    and nothing is joined. It joins by a null-safe key match, so a hot NULL account is
-    split too. ``hot_rows <= 1`` splits every account on a fixed ``width``
-    grid without measuring anything.
-    """
+def _running(
+    instants: DataFrame, keys: Sequence[str], windows: dict[str, int]
+) -> DataFrame:
+    """``instants`` with ``_ever`` (rows up to the instant), ``_prev`` (the instant before)
+    and one column per trailing window."""
     keys = list(keys)
-    if hot_rows <= 1:
-        fixed = (
-            df.withColumn("_hot", F.lit(True))
-            .withColumn("_t0", F.lit(0).cast("bigint"))
-            .withColumn("_w", F.lit(int(width)).cast("bigint"))
-            .withColumn("_bucket", _bucket(width))
+    data = instants.select("*", F.col("_t").alias("_at"), F.lit(None).cast("string").alias("_window"))
+    probes = [
+        instants.where(F.col("_t").isNotNull()).select(
+            *keys, "_t", (F.col("_t") - F.lit(int(s) + 1)).alias("_at"), F.lit(name).alias("_window")
         )
-        return fixed, True
-    adaptive = F.ceil(
-        (F.col("_t1") - F.col("_t0") + F.lit(1)).cast("double") * F.lit(float(hot_rows)) / F.col("_rows")
+        for name, s in windows.items()
+    ]
+    points = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), probes, data)
+    points = points.withColumn("_day", _day(F.col("_at")))
+    rows = F.coalesce(F.col("_n"), F.lit(0))
+    own_instant = F.when(F.col("_window").isNull(), F.col("_at"))
+
+    # The days read ``_first`` too (into a column that is always NULL), so that both uses
+    # of the instants need the same columns and share one exchange: one pass less.
+    every = [F.count(c).alias(f"_seen{c}") for c in points.columns if c == "_first"]
+    days = points.groupBy(*keys, "_day").agg(F.sum(rows).alias("_rows"), F.max(own_instant).alias("_last"), *every)
+    earlier = (
+        Window.partitionBy(*keys).orderBy(F.col("_day").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     )
-    hot = hot_accounts(df, keys, hot_rows).select(
-        *[F.col(k).alias(f"_h_{k}") for k in keys],
-        F.lit(True).alias("_hot"),
-        F.col("_t0"),
-        F.greatest(F.lit(int(min_width)), F.least(F.lit(int(width)), adaptive)).cast("bigint").alias("_w"),
+    days = days.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
+        F.col("_day").alias("_k_day"),
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_rows_before"),
+        F.max("_last").over(earlier).alias("_last_before"),
+        *[F.when(F.col(c) < 0, F.lit(0)).alias("_seen") for c in days.columns if c.startswith("_seen")],
     )
-    hot_bytes = measured_bytes(hot)
-    if hot_bytes == 0:
-        none = (
-            df.withColumn("_hot", F.lit(False))
-            .withColumn("_t0", F.lit(0).cast("bigint"))
-            .withColumn("_w", F.lit(int(width)).cast("bigint"))
-            .withColumn("_bucket", F.lit(0).cast("bigint"))
-        )
-        return none, False
-    if hot_bytes > max_broadcast_bytes:
-        return with_buckets(df, keys, width, hot_rows=1)
-    cond = None
-    for k in keys:
-        c = df[k].eqNullSafe(F.col(f"_h_{k}"))
-        cond = c if cond is None else cond & c
-    t = F.col("txn_requested_at").cast("bigint")
-    split = (
-        df.join(F.broadcast(hot), cond, "left")
-        .drop(*[f"_h_{k}" for k in keys])
-        .withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
-        .withColumn(
-            "_bucket",
-            F.when(
-                F.col("_hot"),
-                F.coalesce(F.floor((t - F.col("_t0")) / F.col("_w")).cast("bigint"), F.lit(_NULL_BUCKET)),
-            ).otherwise(F.lit(0).cast("bigint")),
-        )
+    # Within the day: at equal places the data point comes before the probes.
+    order = Window.partitionBy(*keys, "_day").orderBy("_at", F.col("_window").asc_nulls_first())
+    placed = points.select(
+        "*",
+        F.sum(rows).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_so_far"),
+        F.max(own_instant).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("_prev_in_day"),
+    )
+    same_day = reduce(
+        lambda a, b: a & b,
+        [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys],
+        F.col("_day").eqNullSafe(F.col("_k_day")),
+    )
+    counted = placed.join(days, same_day).select(
+        *[c for c in placed.columns if c not in ("_so_far", "_prev_in_day")],
+        (F.col("_rows_before") + F.col("_so_far")).alias("_ever"),
+        F.coalesce("_prev_in_day", "_last_before", *[c for c in days.columns if c == "_seen"]).alias("_prev"),
+    )
+    if not windows:
+        return counted.drop("_at", "_window", "_day")
+    # The probes' counts come back to their instant: one row per (keys, instant).
+    is_data = F.col("_window").isNull()
+    kept = [c for c in instants.columns if c not in keys and c != "_t"]
+    back = counted.groupBy(*keys, "_t").agg(
+        *[F.max(F.when(is_data, F.col(c))).alias(c) for c in [*kept, "_ever", "_prev"]],
+        *[F.max(F.when(F.col("_window") == name, F.col("_ever"))).alias(f"_before_{name}") for name in windows],
+    )
+    return back.select(
+        *keys,
+        "_t",
+        *kept,
+        "_ever",
+        "_prev",
+        *[(F.col("_ever") - F.coalesce(f"_before_{name}", F.lit(0))).alias(name) for name in windows],
     )
-    return split, True
 
 
-def _sequence_order() -> list[Column]:
-    return [F.col("txn_requested_at").asc_nulls_first()] + [
-        F.col(c).asc_nulls_first() for c in TIE_BREAKERS
-    ]
+def _with_instants(df: DataFrame, instants: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each row with the columns of its (keys, instant)."""
+    side = instants.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
+        *[c for c in instants.columns if c not in keys],
+    )
+    same = reduce(
+        lambda a, b: a & b,
+        [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys],
+        F.col(INSTANT).cast("bigint").eqNullSafe(F.col("_t")),
+    )
+    return df.join(side, same).drop(*[f"_k_{k}" for k in keys])
 
 
-def sequence_columns(
-    df: DataFrame,
-    keys: Sequence[str] = ACCOUNT_KEYS,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    hot_rows: int = DEFAULT_HOT_ROWS,
-) -> DataFrame:
+def sequence_columns(df: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS) -> DataFrame:
     """Add ``count_txns_orders_per_account_ever`` and ``last_txn_date``.
 
     * ever count: rows of the account with request instant <= this row's
@@ -161,61 +152,27 @@ def sequence_columns(
       (instant, then the tie-breaker columns); NULL on the first row.
     """
     keys = list(keys)
-    b = "_bucket"
-    rows, any_hot = with_buckets(df, keys, bucket_seconds, hot_rows)
-
-    # Accounts that are not split are one bucket each: nothing to carry in,
-    # so only hot rows are summarised (no header: carry-in 0 / NULL).
-    summary = rows.where(F.col("_hot")).groupBy(*keys, b).agg(
-        F.count(F.lit(1)).alias("_n"), F.max("txn_requested_at").alias("_t_max")
+    out = [*df.columns, "count_txns_orders_per_account_ever", "last_txn_date"]
+    rows = _with_instants(df, _running(_instants(df, keys, with_first=True), keys, {}), keys).withColumnRenamed(
+        "_ever", "count_txns_orders_per_account_ever"
     )
-    by_bucket = Window.partitionBy(*keys).orderBy(b)
-    headers = summary.select(
-        *keys,
-        b,
-        F.coalesce(
-            F.sum("_n").over(by_bucket.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_before"),
-        F.lag("_t_max").over(by_bucket).alias("_prev_t_max"),
-        F.lit(1).alias("_hdr"),
-    )
-
-    # The bucket's summary travels as one extra "header" row of the bucket
-    # (request instant NULL, so it sorts first) instead of through a join: a
-    # union has no join strategy that could keep the summary's per-account
-    # partitioning, so the rows are always exchanged on (keys, bucket).
-    # One sort in the total order then serves every window below: the running
-    # count of data rows, maxed over rows tied on the instant, is the RANGE
-    # count; the tie window and the whole-bucket window sort nothing more,
-    # since their keys are a prefix of that order.
-    tagged = rows.withColumn("_hdr", F.lit(0))
-    if any_hot:
-        tagged = tagged.unionByName(headers, allowMissingColumns=True)
-    else:
-        tagged = tagged.withColumn("_before", F.lit(None).cast("bigint")).withColumn(
-            "_prev_t_max", F.lit(None).cast("bigint")
-        )
-    ordered = Window.partitionBy(*keys, b).orderBy(*_sequence_order())
-    whole = Window.partitionBy(*keys, b)
-    ties = Window.partitionBy(*keys, b, "txn_requested_at")
-    return (
-        tagged.withColumn(
-            "_rn",
-            F.sum(F.lit(1) - F.col("_hdr")).over(
-                ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            ),
-        )
-        .withColumn("_lag", F.lag("txn_requested_at").over(ordered))
-        .withColumn("_before", F.max("_before").over(whole))
-        .withColumn("_prev_t_max", F.max("_prev_t_max").over(whole))
-        .where(F.col("_hdr") == 0)
+    # Nothing is below the first, so "equal" can be said as "not above": no equality that
+    # the optimizer would add to the join keys, which gives both branches one exchange.
+    first = (F.col("_n") > 1) & (F.struct(*TIE_BREAKERS) <= F.col("_first"))
+    instant = F.col(INSTANT)
+    before = F.col("_prev").cast(df.schema[INSTANT].dataType)
+    single = rows.where(~first).withColumn("last_txn_date", F.when(F.col("_n") == 1, before).otherwise(instant))
+    # Rows equal to the first of a shared instant: one of them is the first.
+    equal = rows.where(first).groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    rank = Window.partitionBy(*keys, INSTANT).orderBy(*[c for c in df.columns if c not in (*keys, INSTANT)])
+    tied = (
+        equal.withColumn("_rank", F.row_number().over(rank))
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
         .withColumn(
-            "count_txns_orders_per_account_ever",
-            (F.coalesce(F.col("_before"), F.lit(0)) + F.max("_rn").over(ties)).cast("bigint"),
+            "last_txn_date", F.when((F.col("_rank") == 1) & (F.col("_copy") == 1), before).otherwise(instant)
         )
-        .withColumn("last_txn_date", F.coalesce(F.col("_lag"), F.col("_prev_t_max")))
-        .drop(b, "_before", "_prev_t_max", "_rn", "_lag", "_hdr", "_hot", "_t0", "_w")
     )
+    return single.select(*out).unionByName(tied.select(*out))
 
 
 def row_dimensions(df: DataFrame) -> DataFrame:
@@ -231,12 +188,7 @@ def row_dimensions(df: DataFrame) -> DataFrame:
     )
 
 
-def txn_dimensions(
-    df: DataFrame,
-    keys: Sequence[str] = ACCOUNT_KEYS,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    hot_rows: int = DEFAULT_HOT_ROWS,
-) -> DataFrame:
+def txn_dimensions(df: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS) -> DataFrame:
     """All ledger columns plus the six transaction dimensions, in order:
 
     txn_requested_at_ts, txn_completed_at_ts (text timestamps in the session
@@ -245,8 +197,7 @@ def txn_dimensions(
     request of the previous row, in days).
     """
     completed = try_long("txn_completed_at")
-    with_seq = sequence_columns(df, keys, bucket_seconds, hot_rows)
-    return row_dimensions(with_seq).select(
+    return row_dimensions(sequence_columns(df, keys)).select(
         *df.columns,
         "txn_requested_at_ts",
         "txn_completed_at_ts",
@@ -259,57 +210,16 @@ def txn_dimensions(
     )
 
 
-def trailing_counts(
-    df: DataFrame,
-    windows: dict[str, int],
-    keys: Sequence[str] = ACCOUNT_KEYS,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    hot_rows: int = DEFAULT_HOT_ROWS,
-) -> DataFrame:
+def trailing_counts(df: DataFrame, windows: dict[str, int], keys: Sequence[str] = ACCOUNT_KEYS) -> DataFrame:
     """For each ``name -> seconds``: count of the account's rows with request
-    instant in [t - seconds, t]. All windows share one exchange and one sort.
-
-    Hot accounts' buckets are at least as wide as the longest window, so the
-    frame of a row reaches back into the previous bucket at most. Their rows
-    close enough to the next bucket's start are copied there once as context
-    (at most one copy per row); the windows count context and own rows, and
-    only own rows are kept. Other accounts are one bucket and get no copies.
-    """
+    instant in [t - seconds, t] (rows without instant count each other)."""
     keys = list(keys)
-    longest = max(int(v) for v in windows.values())
-    width = max(int(bucket_seconds), longest)
-    b = "_bucket"
-    t = F.col("txn_requested_at").cast("bigint")
-    base, _ = with_buckets(df, keys, width, hot_rows, min_width=longest)
-    base = base.withColumn("_ctx", F.lit(False))
-    next_start = F.col("_t0") + (F.col(b) + 1) * F.col("_w")
-    spill = (
-        base.where(F.col("_hot") & (t + F.lit(longest) >= next_start))
-        .withColumn(b, F.col(b) + 1)
-        .withColumn("_ctx", F.lit(True))
-    )
-    ordered = Window.partitionBy(*keys, b).orderBy(F.col("txn_requested_at").cast("long"))
-    counts = [
-        F.count(F.lit(1)).over(ordered.rangeBetween(-int(sec), Window.currentRow)).alias(name)
-        for name, sec in windows.items()
-    ]
-    return (
-        base.unionByName(spill)
-        .select("*", *counts)
-        .where(~F.col("_ctx"))
-        .drop(b, "_ctx", "_hot", "_t0", "_w")
-    )
+    instants = _running(_instants(df, keys, with_first=False), keys, windows)
+    return _with_instants(df, instants, keys).select(*df.columns, *windows)
 
 
 def trailing_count(
-    df: DataFrame,
-    seconds: int,
-    keys: Sequence[str] = ACCOUNT_KEYS,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    name: str | None = None,
-    hot_rows: int = DEFAULT_HOT_ROWS,
+    df: DataFrame, seconds: int, keys: Sequence[str] = ACCOUNT_KEYS, name: str | None = None
 ) -> DataFrame:
     """One trailing window (see ``trailing_counts``)."""
-    return trailing_counts(
-        df, {name or f"count_txns_last_{seconds}s": seconds}, keys, bucket_seconds, hot_rows
-    )
+    return trailing_counts(df, {name or f"count_txns_last_{seconds}s": seconds}, keys)

@@ -8,8 +8,7 @@
 
 Every function takes and returns DataFrames. The only actions taken while a
 plan is built are measurements returning one row per measured frame: the size of a
-broadcast candidate (cohort, dimension) and the hot-account set of the
-transaction windows.
+broadcast candidate (cohort, dimension).
 """
 
 from __future__ import annotations
@@ -22,20 +21,24 @@ from pyspark.sql import functions as F
 from kontor.functions import metrics as M
 from kontor.functions.columns import STATUS_COMPLETED
 from kontor.functions.windows import daily_cumulative_window, daily_lag_window
-from kontor.operators.cohort import restrict_to_cohort
 from kontor.operators.filters import interval_closed
 from kontor.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, broadcast_if_small
 from kontor.operators.normalize import PRODUCT_INVESTMENTS, PRODUCT_NON_PIX, PRODUCT_PIX
-from kontor.operators.sequence import (
-    DEFAULT_BUCKET_SECONDS,
-    DEFAULT_HOT_ROWS,
-    row_dimensions,
-    txn_dimensions,
-)
+from kontor.operators.sequence import row_dimensions, txn_dimensions
 
 # Fixed value: daily yield on the running investment movements.
 FIXED_RATE = 0.0001
 DEFAULT_PRODUCTS = (PRODUCT_NON_PIX, PRODUCT_PIX)
+MONTHLY_BALANCE_METRICS = ("total_transfer_in", "total_transfer_out", "account_monthly_balance")
+DAILY_BALANCE_COLUMNS = (
+    "day",
+    "month",
+    "account_id",
+    "deposit",
+    "withdrawal",
+    "end_of_day_income",
+    "account_daily_balance",
+)
 
 
 def completed_only(df: DataFrame) -> DataFrame:
@@ -47,9 +50,10 @@ def account_monthly_balance(
     ledger: DataFrame,
     interval: tuple[str, str],
     products: Sequence[str] = DEFAULT_PRODUCTS,
+    metrics: Sequence[str] = MONTHLY_BALANCE_METRICS,
 ) -> DataFrame:
-    """month, account_id, total_transfer_in, total_transfer_out,
-    account_monthly_balance over completed rows of the given products.
+    """month, account_id and the named metrics (by default total_transfer_in,
+    total_transfer_out, account_monthly_balance) over completed rows of the products.
 
     One shuffle on (month, account_id) after map-side partial sums; the
     filters reach the scan (and prune product/month partitions of a stored
@@ -59,7 +63,7 @@ def account_monthly_balance(
         completed_only(interval_closed(ledger, *interval))
         .where(F.col("product").isin(*products))
         .groupBy("month", "account_id")
-        .agg(M.total_transfer_in(), M.total_transfer_out(), M.account_monthly_balance())
+        .agg(*M.metric_columns(list(metrics)))
     )
 
 
@@ -142,18 +146,11 @@ def investments_daily_balance(
     rate: float = FIXED_RATE,
     cohort: DataFrame | None = None,
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+    columns: Sequence[str] = DAILY_BALANCE_COLUMNS,
 ) -> DataFrame:
-    """The published report: day, month, account_id, deposit, withdrawal,
-    end_of_day_income, account_daily_balance."""
-    return investments_daily_ledger(ledger, interval, rate, cohort, max_broadcast_bytes).select(
-        "day",
-        "month",
-        "account_id",
-        "deposit",
-        "withdrawal",
-        "end_of_day_income",
-        "account_daily_balance",
-    )
+    """The published report: the named daily columns, by default day, month,
+    account_id, deposit, withdrawal, end_of_day_income, account_daily_balance."""
+    return investments_daily_ledger(ledger, interval, rate, cohort, max_broadcast_bytes).select(*columns)
 
 
 def investments_for_cohort(
@@ -166,18 +163,11 @@ def investments_for_cohort(
     return investments_daily_balance(ledger, interval, rate, cohort=cohort)
 
 
-def cohort_ledger(ledger: DataFrame, cohort: DataFrame) -> DataFrame:
-    """Ledger rows of the cohort's accounts (semi join)."""
-    return restrict_to_cohort(ledger, cohort)
-
-
 # -- monthly KPI series ---------------------------------------------------------------------------
 def with_dimensions(
     ledger: DataFrame,
     products: Sequence[str] | None = (PRODUCT_PIX,),
     by_product: bool = False,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    hot_rows: int = DEFAULT_HOT_ROWS,
 ) -> DataFrame:
     """Ledger rows of ``products`` (all when None) with the six transaction
     dimensions. Windows run per account within the selected rows; with
@@ -185,7 +175,7 @@ def with_dimensions(
     selected on its own."""
     df = ledger if products is None else ledger.where(F.col("product").isin(*products))
     keys = ("product", "account_id") if by_product else ("account_id",)
-    return txn_dimensions(df, keys, bucket_seconds, hot_rows)
+    return txn_dimensions(df, keys)
 
 
 def monthly_metrics(
@@ -204,8 +194,6 @@ def kpi_series(
     metrics: Sequence[str] = tuple(M.KPI_METRICS),
     products: Sequence[str] | None = None,
     by_product: bool = True,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    hot_rows: int = DEFAULT_HOT_ROWS,
 ) -> DataFrame:
     """Ledger -> (dimensions when needed) -> monthly metrics, in one plan.
 
@@ -214,7 +202,7 @@ def kpi_series(
     """
     names = list(metrics)
     if set(names) & M.NEEDS_SEQUENCE:
-        df = with_dimensions(ledger, products, by_product, bucket_seconds, hot_rows)
+        df = with_dimensions(ledger, products, by_product)
     else:
         df = ledger if products is None else ledger.where(F.col("product").isin(*products))
         if set(names) & M.NEEDS_ROW_DIMENSIONS:

@@ -108,7 +108,7 @@ def test_tie_on_first_instant_is_not_a_first_transaction(spark):
         ledger_row(1, 3.0, ts=t + 100, product="pix", txn_id=3),
         ledger_row(2, 4.0, ts=t, product="pix", txn_id=4),
     ]
-    dims = R.with_dimensions(ledger_df(spark, rows), bucket_seconds=60)
+    dims = R.with_dimensions(ledger_df(spark, rows))
     counts = {r.txn_id: r.count_txns_orders_per_account_ever for r in dims.collect()}
     assert counts == {1: 2, 2: 2, 3: 3, 4: 1}
     kpi = R.monthly_metrics(dims, ["total_first_txn_orders", "total_orders"]).collect()

@@ -85,13 +85,12 @@ def _close(a, b, name):
     return abs(a - b) <= 1e-6 * max(1.0, abs(b))
 
 
-@pytest.mark.parametrize("seed,hot", [(11, 10**6), (12, 30), (13, 1)])
-def test_kpis_match_brute_force(spark, seed, hot):
+@pytest.mark.parametrize("seed", [11, 12])
+def test_kpis_match_brute_force(spark, seed):
     rows = _random(seed)
     got = {
         r["month"]: r.asDict()
-        for r in R.kpi_series(ledger_df(spark, rows), KPI_METRICS, products=["pix"], by_product=False,
-                              bucket_seconds=7200, hot_rows=hot).collect()
+        for r in R.kpi_series(ledger_df(spark, rows), KPI_METRICS, products=["pix"], by_product=False).collect()
     }
     want = _brute(rows)
     assert got.keys() == want.keys()

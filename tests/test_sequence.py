@@ -1,8 +1,7 @@
-"""Bucketed sequence windows against brute force and against plain windows.
+"""Sequence dimensions against brute force and against plain windows.
 
 Random ledgers with a hot account (half of all rows), many ties on the
-request instant and buckets far narrower than the data's span, so every
-account crosses many buckets.
+request instant, instants on both sides of midnight, copies and NULLs.
 """
 
 import random
@@ -18,7 +17,7 @@ from kontor.functions.windows import (
 )
 from kontor.operators.sequence import sequence_columns, trailing_count
 
-T0 = 1_600_000_000
+T0 = 1_600_041_600 - 2500  # midnight falls into the rows
 
 
 def _random_rows(seed, n=400):
@@ -59,19 +58,15 @@ def _brute(rows, keys_idx):
     return out
 
 
-@pytest.mark.parametrize(
-    "seed,bucket,hot",
-    [(1, 7, 1), (2, 60, 1), (3, 3600, 1), (4, 1, 1), (5, 7, 60), (6, 60, 10**9), (7, 13, 100)],
-)
-def test_bucketed_equals_brute_force(spark, seed, bucket, hot):
-    """hot=1 splits every account, 10**9 none, the others only the big ones."""
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_sequence_equals_brute_force(spark, seed):
     rows = _random_rows(seed)
     tagged = [r[:11] + (r[11] * 1000 + i,) for i, r in enumerate(rows)]
     df = ledger_df(spark, tagged)
     keys = ("product", "account_id")
-    seq = sequence_columns(df, keys, bucket_seconds=bucket, hot_rows=hot)
-    seq = trailing_count(seq, 24, keys, bucket_seconds=bucket, name="c24", hot_rows=hot)
-    seq = trailing_count(seq, 900, keys, bucket_seconds=bucket, name="c900", hot_rows=hot)
+    seq = sequence_columns(df, keys)
+    seq = trailing_count(seq, 24, keys, name="c24")
+    seq = trailing_count(seq, 900, keys, name="c900")
     got = {
         r.txn_id % 1000: (r.count_txns_orders_per_account_ever, r.last_txn_date, r.c24, r.c900)
         for r in seq.collect()
@@ -81,7 +76,7 @@ def test_bucketed_equals_brute_force(spark, seed, bucket, hot):
     assert got == want
 
 
-def test_bucketed_equals_plain_windows(spark):
+def test_sequence_equals_plain_windows(spark):
     rows = _random_rows(7, n=600)
     df = ledger_df(spark, rows)
     plain = df.select(
@@ -90,17 +85,38 @@ def test_bucketed_equals_plain_windows(spark):
         F.lag("txn_requested_at").over(account_sequence_window()).alias("prev"),
         F.count(F.lit(1)).over(account_trailing_window(86400)).alias("day_count"),
     )
-    bucketed = trailing_count(
-        sequence_columns(df, bucket_seconds=300, hot_rows=200),
+    split = trailing_count(
+        sequence_columns(df),
         86400,
-        bucket_seconds=300,
         name="day_count",
-        hot_rows=200,
     ).select(
         *df.columns,
         F.col("count_txns_orders_per_account_ever").alias("ever"),
         F.col("last_txn_date").alias("prev"),
         "day_count",
     )
-    assert plain.exceptAll(bucketed).count() == 0
-    assert bucketed.exceptAll(plain).count() == 0
+    assert plain.exceptAll(split).count() == 0
+    assert split.exceptAll(plain).count() == 0
+
+
+def test_copies_and_nulls_equal_plain_windows(spark):
+    """Equal rows, equal first rows that differ elsewhere, NULL keys and NULL instants."""
+    rows = [r for r in _random_rows(9, n=150)]
+    rows = [(None if i % 11 == 0 else r[0], r[1], None if i % 7 == 0 else r[2], *r[3:]) for i, r in enumerate(rows)]
+    rows = rows + rows[:60] + rows[:30]
+    df = ledger_df(spark, rows)
+    plain = df.select(
+        "*",
+        F.count(F.lit(1)).over(account_ever_window()).alias("ever"),
+        F.lag("txn_requested_at").over(account_sequence_window()).alias("prev"),
+        F.count(F.lit(1)).over(account_trailing_window(900)).alias("c900"),
+    )
+    split = trailing_count(sequence_columns(df), 900, name="c900").select(
+        *df.columns,
+        F.col("count_txns_orders_per_account_ever").alias("ever"),
+        F.col("last_txn_date").alias("prev"),
+        "c900",
+    )
+    assert split.count() == len(rows)
+    assert plain.exceptAll(split).count() == 0
+    assert split.exceptAll(plain).count() == 0

@@ -55,62 +55,82 @@ def test_plain_window_puts_hot_account_in_one_task(spark, no_coalesce):
     assert _max_task_share(plain, "ever", "prev") >= 0.5
 
 
-def test_hot_set_is_only_the_hot_account(spark):
-    from kontor.operators.sequence import hot_accounts
+def _spread(spark, df):
+    """Largest share of rows of one task for both window families, and the results' checks."""
+    seq = sequence_columns(df)
+    assert _max_task_share(seq, "count_txns_orders_per_account_ever", "last_txn_date") < 0.4
+    trail = trailing_count(df, 86400)
+    assert _max_task_share(trail, "count_txns_last_86400s") < 0.4
+    return seq, trail
 
-    assert [r.account_id for r in hot_accounts(_hot_ledger(spark), ["account_id"], 1000).collect()] == [0]
 
+@pytest.fixture()
+def split_joins(spark, no_coalesce):
+    """Join partitions above a few KB are split, as large ones are on a cluster."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
-def test_bucketed_windows_spread_hot_account(spark, no_coalesce):
-    df = _hot_ledger(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    seq = sequence_columns(df, bucket_seconds=3600, hot_rows=1000)
-    assert _max_task_share(seq, "count_txns_orders_per_account_ever", "last_txn_date") < 1.5 / parts + 0.05
-    trail = trailing_count(df, 86400, bucket_seconds=3600, hot_rows=1000)
-    assert _max_task_share(trail, "count_txns_last_86400s") < 1.5 / parts + 0.05
+
+def test_hot_account_is_spread(spark, split_joins):
+    seq, _ = _spread(spark, _hot_ledger(spark))
     hot = seq.where("account_id = 0").agg(F.max("count_txns_orders_per_account_ever")).first()[0]
     assert hot == N // 2
 
 
-def test_hot_null_account_and_null_instants_match_plain_windows(spark):
-    from kontor.functions.windows import account_trailing_window
-
-    base = _hot_ledger(spark).limit(3000)
-    df = base.select(
-        F.when(F.col("account_id") == 0, F.lit(None)).otherwise(F.col("account_id")).cast("bigint").alias("account_id"),
-        *[c for c in base.columns if c not in ("account_id", "txn_requested_at")],
-        F.when(F.col("txn_id") % 50 == 7, F.lit(None)).otherwise(F.col("txn_requested_at")).alias("txn_requested_at"),
-    ).select(*base.columns)
-    plain = df.select(
-        "*",
-        F.count(F.lit(1)).over(account_ever_window()).alias("ever"),
-        F.lag("txn_requested_at").over(account_sequence_window()).alias("prev"),
+def test_burst_after_quiet_years_is_spread(spark, split_joins):
+    """Ten rows over earlier years, the rest of the hot account within 50 minutes."""
+    quiet = F.lit(T0) - F.col("txn_id") * 20_000_000
+    burst = F.lit(T0) + F.pmod(F.col("txn_id"), F.lit(3000))
+    df = _hot_ledger(spark).withColumn(
+        "txn_requested_at",
+        F.when(F.col("account_id") == 0, F.when(F.col("txn_id") < 20, quiet).otherwise(burst)).otherwise(
+            F.col("txn_requested_at")
+        ),
     )
-    split = sequence_columns(df, bucket_seconds=600, hot_rows=500).select(
-        *df.columns,
-        F.col("count_txns_orders_per_account_ever").alias("ever"),
-        F.col("last_txn_date").alias("prev"),
+    seq, trail = _spread(spark, df)
+    assert seq.where("account_id = 0").agg(F.max("count_txns_orders_per_account_ever")).first()[0] == N // 2
+    assert trail.where("account_id = 0").agg(F.max("count_txns_last_86400s")).first()[0] == N // 2 - 9
+
+
+def test_single_second_is_spread(spark, split_joins):
+    df = _hot_ledger(spark).withColumn(
+        "txn_requested_at", F.when(F.col("account_id") == 0, F.lit(T0)).otherwise(F.col("txn_requested_at"))
     )
-    assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
-    nonnull = df.where("txn_requested_at IS NOT NULL")
-    plain_t = nonnull.select("*", F.count(F.lit(1)).over(account_trailing_window(900)).alias("c"))
-    split_t = trailing_count(nonnull, 900, bucket_seconds=600, name="c", hot_rows=500)
-    assert split_t.exceptAll(plain_t).count() == 0 and plain_t.exceptAll(split_t).count() == 0
+    seq, trail = _spread(spark, df)
+    row = seq.where("account_id = 0").agg(
+        F.min("count_txns_orders_per_account_ever"), F.count("last_txn_date"), F.count(F.lit(1))
+    ).first()
+    assert tuple(row) == (N // 2, N // 2 - 1, N // 2)  # one row is the first
+    assert trail.where("account_id = 0").agg(F.min("count_txns_last_86400s")).first()[0] == N // 2
 
 
-def test_burst_of_a_hot_account_is_split_by_adaptive_buckets(spark, no_coalesce):
-    """10,000 rows of one account within ~17 minutes: a fixed one-hour grid
-    would keep them in one task; buckets sized from the account's measured
-    count and span hold about ``hot_rows`` rows each."""
+def test_copies_of_one_row_have_one_first(spark, split_joins):
     df = _hot_ledger(spark).withColumn(
-        "txn_requested_at",
-        F.when(F.col("account_id") == 0, F.lit(T0) + F.floor(F.col("txn_id") / 20)).otherwise(
-            F.col("txn_requested_at")
-        ),
+        "txn_requested_at", F.when(F.col("account_id") == 0, F.lit(T0)).otherwise(F.col("txn_requested_at"))
+    ).withColumn("txn_id", F.when(F.col("account_id") == 0, F.lit(1)).otherwise(F.col("txn_id")))
+    seq = sequence_columns(df)
+    assert tuple(seq.where("account_id = 0").agg(F.count(F.lit(1)), F.count("last_txn_date")).first()) == (
+        N // 2, N // 2 - 1,
     )
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    seq = sequence_columns(df, bucket_seconds=3600, hot_rows=1000)
-    assert _max_task_share(seq, "count_txns_orders_per_account_ever", "last_txn_date") < 2.0 / parts
-    fixed = sequence_columns(df, bucket_seconds=3600, hot_rows=1)
-    assert _max_task_share(fixed, "count_txns_orders_per_account_ever", "last_txn_date") >= 0.5
-    assert seq.exceptAll(fixed).count() == 0
+
+
+def test_no_window_runs_over_transactions(spark):
+    """Every window is over per-instant or per-day aggregates: an aggregate lies below each."""
+    plan = sequence_columns(_hot_ledger(spark))._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.split("\n")
+    for i, line in enumerate(lines):
+        if "Window [" in line:
+            depth = len(line) - len(line.lstrip(" :+-"))
+            below = [x for x in lines[i + 1 :] if len(x) - len(x.lstrip(" :+-")) > depth]
+            assert any("Aggregate [" in x for x in below)
