@@ -22,7 +22,7 @@ from kontor.operators.normalize import (
 )
 from kontor.session import build_session
 from kontor.sources.files import load_investments, register_feeds
-from kontor.sources.sinks import write_ledger
+from kontor.sources.sinks import LEDGER_MODES, write_ledger
 
 FEEDS = ["accounts", "customers", "pix_movements", "transfer_ins", "transfer_outs", "investments"]
 
@@ -36,7 +36,7 @@ def main(argv: list[str] | None = None) -> None:
     dest = ap.add_mutually_exclusive_group(required=True)
     dest.add_argument("--ledger-path")
     dest.add_argument("--ledger-table")
-    ap.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
+    ap.add_argument("--mode", default="overwrite", choices=LEDGER_MODES)
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 

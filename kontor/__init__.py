@@ -5,9 +5,8 @@ Subpackages:
 * ``sources``   feed readers (CSV, nested JSON, tables), sinks, test-data adapter
 * ``functions`` Column factories: row-level expressions, windows, metrics
 * ``operators`` DataFrame -> DataFrame building blocks (normalise, unnest,
-  cohort, interval filters, bucketed sequence windows, sized broadcast)
+  cohort, interval filters, sequence dimensions, sized broadcast)
 * ``plans``     reports composed from the operators (DataFrame and SQL)
-* ``streaming`` incremental ledger loading with Structured Streaming
 
 The names below are the user-level API; importing them touches no session.
 """

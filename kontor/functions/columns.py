@@ -49,7 +49,7 @@ def try_long(c: str | Column) -> Column:
 
 
 def utc_date(epoch_seconds: str | Column) -> Column:
-    """Calendar date (UTC) of an epoch-seconds instant, by integer arithmetic.
+    """Calendar date (UTC) of an epoch-seconds instant: the floor of its days.
 
     Equal to the date part of ``from_unixtime`` in a UTC session, but neither
     formats a string per row nor depends on the session time zone.
@@ -60,11 +60,8 @@ def utc_date(epoch_seconds: str | Column) -> Column:
 def calendar_columns(epoch_seconds: str | Column) -> dict[str, Column]:
     """``day`` (int), ``month`` ('yyyy-MM') and ``event_date`` ('yyyy-MM-dd')."""
     d = utc_date(epoch_seconds)
-    return {
-        "day": F.dayofmonth(d),
-        "month": F.date_format(d, "yyyy-MM"),
-        "event_date": F.date_format(d, "yyyy-MM-dd"),
-    }
+    text = d.cast("string")  # yyyy-MM-dd
+    return {"day": F.dayofmonth(d), "month": F.substring(text, 1, 7), "event_date": text}
 
 
 def epoch_of(day: str) -> int:

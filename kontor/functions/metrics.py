@@ -13,7 +13,14 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from kontor.functions.columns import DIRECTION_IN, DIRECTION_OUT, STATUS_COMPLETED, STATUS_FAILED
+from kontor.functions.columns import (
+    DIRECTION_IN,
+    DIRECTION_OUT,
+    SECONDS_PER_DAY,
+    STATUS_COMPLETED,
+    STATUS_FAILED,
+    try_long,
+)
 
 
 # -- row predicates (F8) --------------------------------------------------------------------
@@ -97,7 +104,11 @@ def avg_time_to_completed() -> Column:
 
 
 def avg_recency() -> Column:
-    return F.avg("time_from_last_txn_in_days").alias("avg_recency")
+    """Average days from the previous transaction's request to this one's completion:
+    whole seconds are summed, so the result does not depend on the order of rows."""
+    seconds = try_long("txn_completed_at") - F.col("last_txn_date").cast("bigint")
+    days = F.try_divide(F.sum(seconds).cast("double"), F.count(seconds)) / F.lit(SECONDS_PER_DAY)
+    return days.alias("avg_recency")
 
 
 def total_orders() -> Column:
@@ -111,8 +122,10 @@ def total_first_txn_orders() -> Column:
 
 
 def atv() -> Column:
-    """Average ticket value over all statuses."""
-    return F.avg("amount").alias("atv")
+    """Average ticket value over all statuses: the exact sum of the amounts (to six
+    decimals) over their count, whatever the order of rows."""
+    exact = F.sum(F.col("amount").try_cast("decimal(32,6)")).cast("double")
+    return F.try_divide(exact, F.count("amount")).alias("atv")
 
 
 def p99_time_to_completed(accuracy: int = 10000) -> Column:
@@ -164,7 +177,6 @@ KPI_METRICS = [
 # per-account sequence windows as well.
 NEEDS_ROW_DIMENSIONS = {"avg_time_to_completed", "p99", "p90"}
 NEEDS_SEQUENCE = {"avg_recency", "total_first_txn_orders"}
-NEEDS_DIMENSIONS = NEEDS_ROW_DIMENSIONS | NEEDS_SEQUENCE
 
 
 def metric_columns(names: list[str]) -> list[Column]:

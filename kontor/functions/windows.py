@@ -3,7 +3,7 @@
 These are the plain per-account windows. They put all rows of an account into
 one window partition; for transaction-level windows on data where one account
 may hold a large share of all rows use ``kontor.operators.sequence`` instead,
-which splits each account into time buckets and gives the same results.
+which works on per-instant aggregates and gives the same results.
 Windows over the daily aggregate (investments) are bounded by the number of
 active days per account and stay plain.
 """

@@ -28,12 +28,6 @@ _WIDTH = {
 }
 
 
-def row_width(schema: T.StructType) -> int:
-    """Estimated bytes per row of an unsafe row, header included."""
-    fixed = 8 * len(schema.fields) + 8
-    return fixed + sum(_WIDTH.get(type(f.dataType), 32) for f in schema.fields)
-
-
 def fixed_row_bytes(schema: T.StructType) -> int:
     """Bytes of an unsafe row without its string contents: null bits, one
     8-byte slot per field, fixed-width values, 8-byte alignment per string."""

@@ -24,8 +24,7 @@ from kontor.functions.columns import calendar_columns, direction
 from kontor.operators.joins import (
     DEFAULT_MAX_BROADCAST_BYTES,
     broadcast_if_small,
-    bytes_aggregate,
-    fixed_row_bytes,
+    measured_bytes_many,
 )
 from kontor.schemas import LEDGER_COLUMNS
 
@@ -118,36 +117,6 @@ def account_dimension(
     ).select("account_id", "country_name")
 
 
-def _measure_dimension_inputs(accounts: DataFrame, customers: DataFrame) -> dict[str, int | bool]:
-    """One job over both inputs: bytes of the account keys and of the
-    customers side, account rows, whether customer_id is unique, and the
-    longest country name."""
-    acc = accounts.select("account_id")
-    cust = customers.select("customer_id", "country_name")
-    a = acc.agg(
-        F.lit(0).alias("_i"),
-        bytes_aggregate(acc).alias("_bytes"),
-        F.count(F.lit(1)).alias("_rows"),
-        F.lit(0).cast("bigint").alias("_dupes"),
-        F.lit(0).alias("_maxlen"),
-    )
-    c = cust.agg(
-        F.lit(1).alias("_i"),
-        bytes_aggregate(cust).alias("_bytes"),
-        F.count(F.lit(1)).alias("_rows"),
-        (F.count("customer_id") - F.count_distinct("customer_id")).alias("_dupes"),
-        F.coalesce(F.max(F.octet_length("country_name")), F.lit(0)).alias("_maxlen"),
-    )
-    m = {r["_i"]: r for r in a.unionByName(c).collect()}
-    return {
-        "key_bytes": int(m[0]["_bytes"]),
-        "account_rows": int(m[0]["_rows"]),
-        "customer_bytes": int(m[1]["_bytes"]),
-        "customers_unique": int(m[1]["_dupes"]) == 0,
-        "max_country_bytes": int(m[1]["_maxlen"]),
-    }
-
-
 def attach_country(
     events: DataFrame,
     accounts: DataFrame,
@@ -156,20 +125,17 @@ def attach_country(
 ) -> DataFrame:
     """Left join of the events to account -> country.
 
-    One measuring job sizes both inputs. The customers side is broadcast into
-    the dimension pre-join when it fits. When customer_id is unique, the left
-    join has exactly one row per account, so account rows x (fixed row bytes +
-    longest country name) bounds the dimension from above and decides its
-    broadcast without running the join. Otherwise the account keys alone are a
-    lower bound: only when that fits is the dimension itself measured (a second
-    job); beyond, the events join it by shuffle.
+    One job sizes the account keys and the customers side. The customers side is
+    broadcast into the dimension pre-join when it fits. The account keys are a lower
+    bound of the dimension: only where they fit is it measured itself (a second job
+    over the small sides) and broadcast if it fits too; beyond, the events join it by
+    shuffle.
     """
-    m = _measure_dimension_inputs(accounts, customers)
-    dims = account_dimension(accounts, customers, m["customer_bytes"] <= max_broadcast_bytes)
-    upper = m["account_rows"] * (fixed_row_bytes(dims.schema) + m["max_country_bytes"])
-    if m["customers_unique"] and upper <= max_broadcast_bytes:
-        dims = F.broadcast(dims)
-    elif not m["customers_unique"] and m["key_bytes"] <= max_broadcast_bytes:
+    keys, sides = measured_bytes_many(
+        [accounts.select("account_id"), customers.select("customer_id", "country_name")]
+    )
+    dims = account_dimension(accounts, customers, sides <= max_broadcast_bytes)
+    if keys <= max_broadcast_bytes:
         dims, _ = broadcast_if_small(dims, max_broadcast_bytes)
     return events.join(dims, "account_id", "left")
 
@@ -178,6 +144,12 @@ def union_feeds(normalized: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, normalized)
 
 
+def build_events(feeds: list[tuple[DataFrame, FeedSpec]]) -> DataFrame:
+    """The ledger's rows without the country: what the reports that group by account,
+    month or product need (no dimension is read)."""
+    return union_feeds([normalize(df, spec) for df, spec in feeds])
+
+
 def build_ledger(
     feeds: list[tuple[DataFrame, FeedSpec]],
     accounts: DataFrame,
@@ -185,7 +157,7 @@ def build_ledger(
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Union all feeds by name and attach the country: the whole ledger."""
-    events = union_feeds([normalize(df, spec) for df, spec in feeds])
+    events = build_events(feeds)
     return attach_country(events, accounts, customers, max_broadcast_bytes).select(
         *LEDGER_COLUMNS
     )

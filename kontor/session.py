@@ -6,21 +6,15 @@ Nothing here runs at import time: callers pass a ``SparkSession`` in, or ask
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
-# Settings every job relies on. The calendar fields of the ledger and the
-# text timestamps of the KPI dimensions are rendered in UTC; AQE re-plans
-# joins from runtime sizes, coalesces small shuffle partitions and splits
-# skewed join partitions.
+# Settings of the sessions made here: AQE re-plans joins from runtime sizes,
+# coalesces small shuffle partitions and splits skewed join partitions.
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
 }
 
@@ -47,35 +41,11 @@ def build_session(
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    pin_session(spark)
-    return spark
+    return pin_session(builder.getOrCreate())
 
 
 def pin_session(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the reports depend on to a given session."""
-    for key, value in SESSION_DEFAULTS.items():
-        try:
-            spark.conf.set(key, value)
-        except Exception:  # static or locked conf on a managed cluster
-            pass
+    """Set the one setting that results depend on: text timestamps are rendered in
+    UTC. Raises where the session refuses it."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts.
-
-    A cluster names it in ``spark.checkpoint.dir`` (a core setting, read when
-    the context starts); use that. Only when nothing is configured (local
-    tests) a scratch folder is registered with the context.
-    """
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return spark.sparkContext.getCheckpointDir() or configured
-    local = tempfile.mkdtemp(prefix="kontor-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir() or local

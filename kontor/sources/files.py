@@ -1,13 +1,13 @@
 """Readers for the service feeds.
 
-* CSV directories with a header, read with the feed's explicit schema;
+* CSV directories with a header. Columns are taken by their header names, in any
+  order, beside any others; a column of the schema that no header has is an error;
 * nested investment documents (JSON), either one JSON array per file
   (``multiLine``: each top-level element becomes a row, no driver-side
   rewriting) or one document per line;
-* a catalog registration helper that exposes each feed as a temp view.
+* catalog registration: each table directory as a temp view.
 
-Empty CSV fields read as NULL. Values that do not fit the schema become NULL
-(PERMISSIVE mode) unless ``mode="FAILFAST"`` is asked for.
+Empty CSV fields read as NULL, and so do values that do not fit their type.
 """
 
 from __future__ import annotations
@@ -22,31 +22,37 @@ from kontor.operators.unnest import unnest_investments
 from kontor.schemas import FEED_SCHEMAS, NESTED_INVESTMENTS_DDL
 
 
-def read_feed_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, mode: str = "PERMISSIVE"
-) -> DataFrame:
-    """Header CSV directory. With ``schema=None`` the types are inferred, which
-    costs an extra pass over the files; give the feed's schema in production."""
-    reader = spark.read.option("header", True).option("mode", mode)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(path)
+def _typed(df: DataFrame, schema: T.StructType, where: str) -> DataFrame:
+    """The schema's columns of ``df``, by name."""
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"{where}: no column {', '.join(missing)} (found {', '.join(df.columns)})")
+    return df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def read_feed_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Header CSV directory; with a schema its columns by name, without one every
+    column as text."""
+    df = spark.read.option("header", True).csv(path)  # every column as text, no inference pass
+    return df if schema is None else _typed(df, schema, path)
 
 
 def register_feeds(
     spark: SparkSession, root: str, names: Iterable[str] | None = None, fmt: str = "csv"
 ) -> dict[str, DataFrame]:
-    """Read ``root/<name>`` for each feed and register it as temp view ``name``."""
+    """Read ``root/<name>`` for each name and register it as temp view ``name``.
+
+    Known feeds get the columns and types of their schema; any other table
+    directory is registered as it is stored (CSV columns as text).
+    """
     out = {}
     for name in names or FEED_SCHEMAS:
-        schema = FEED_SCHEMAS[name]
-        path = f"{root}/{name}"
+        schema, path = FEED_SCHEMAS.get(name), f"{root}/{name}"
         if fmt == "csv":
             df = read_feed_csv(spark, path, schema)
-        elif fmt == "json":
-            df = spark.read.schema(schema).json(path)
-        else:  # self-describing (parquet, orc): read as stored, type by name
+        else:
             stored = spark.read.format(fmt).load(path)
-            df = stored.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+            df = stored if schema is None else _typed(stored, schema, path)
         df.createOrReplaceTempView(name)
         out[name] = df
     return out

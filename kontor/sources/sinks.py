@@ -9,14 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 LEDGER_PARTITIONS = ("product", "month")
 DEFAULT_MAX_RECORDS_PER_FILE = 5_000_000
-# A report goes to one CSV file only up to this many rows; beyond, it is
-# written as ordered part files by many tasks.
-DEFAULT_SINGLE_FILE_MAX_ROWS = 1_000_000
+LEDGER_MODES = ("overwrite", "append", "replace_partitions")
 
 
 def write_ledger(
@@ -30,25 +27,26 @@ def write_ledger(
 ) -> None:
     """Write the ledger as Parquet, to a path or a managed table.
 
-    ``mode="overwrite"`` with the session's dynamic partition overwrite
-    replaces only the (product, month) partitions present in ``ledger``;
-    ``append`` adds rows, columns matched by name.
+    ``overwrite`` replaces the whole ledger, whatever the session's setting;
+    ``append`` adds rows; ``replace_partitions`` (paths only) replaces the
+    (product, month) partitions that ``ledger`` has and leaves the others.
 
     ``rebalance`` adds a REBALANCE hint on the partition columns: one exchange
     after which AQE splits oversized (hot month) partitions and merges small
     ones, so each (product, month) directory gets a few evenly sized files.
-    Without it, a ledger that arrives hash-partitioned by account (a shuffle
-    join to the dimension) writes one file per task and directory.
     """
     if (path is None) == (table is None):
         raise ValueError("give exactly one of path or table")
+    if mode not in LEDGER_MODES or (mode == "replace_partitions" and table):
+        raise ValueError(f"mode {mode!r} is none of {LEDGER_MODES}, or not for a table")
     if rebalance:
         ledger = ledger.hint("rebalance", *partition_by)
     writer = (
-        ledger.write.mode(mode)
+        ledger.write.mode("append" if mode == "append" else "overwrite")
         .format("parquet")
         .partitionBy(*partition_by)
         .option("maxRecordsPerFile", max_records_per_file)
+        .option("partitionOverwriteMode", "dynamic" if mode == "replace_partitions" else "static")
     )
     if table:
         writer.saveAsTable(table)
@@ -60,31 +58,12 @@ def write_report_csv(
     report: DataFrame,
     path: str,
     order_by: Sequence[str] = (),
-    single_file_max_rows: int = DEFAULT_SINGLE_FILE_MAX_ROWS,
+    single_file: bool = False,
     mode: str = "overwrite",
-) -> bool:
-    """Header CSV of a report, sorted by ``order_by``.
-
-    One file when the measured row count is at most ``single_file_max_rows``
-    (the sorted partitions are concatenated in order); otherwise many ordered
-    part files. Returns whether a single file was written.
-
-    The report is persisted (memory, spilling to disk) for the measurement, so
-    the count computes it once and the write reads those blocks instead of
-    recomputing the report; a lost executor's blocks are rebuilt from lineage.
-    """
-    staged = report.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        single = staged.count() <= single_file_max_rows
-        df = staged.orderBy(*order_by) if order_by else staged
-        if single:
-            df = df.coalesce(1)
-        df.write.mode(mode).option("header", True).csv(path)
-    finally:
-        staged.unpersist()
-    return single
-
-
-def register_view(df: DataFrame, name: str) -> DataFrame:
-    df.createOrReplaceTempView(name)
-    return df
+) -> None:
+    """Header CSV of a report, sorted by ``order_by``: ordered part files, or with
+    ``single_file`` one file written by one task (for reports known to be small)."""
+    df = report.orderBy(*order_by) if order_by else report
+    if single_file:
+        df = df.coalesce(1)
+    df.write.mode(mode).option("header", True).csv(path)

@@ -7,17 +7,17 @@ column; nothing is sampled. The same derivation is written in DuckDB SQL in
 
 | feed                         | derived from                                   |
 | ---------------------------- | ---------------------------------------------- |
-| accounts                     | customer, every segment but HOUSEHOLD           |
-| customers                    | customer x nation, every region but 4           |
-| pix_movements                | events (time moved from 2024-01 to 1996-01)     |
+| accounts                     | customer (HOUSEHOLD ones under other ids)       |
+| customers                    | customer x nation (region 4 under other ids)    |
+| pix_movements                | events, from 1996-01 on, spread over 12 months  |
 | transfer_ins / transfer_outs | lineitem x orders, return flag R goes out       |
 | investments                  | orders                                          |
-| nested investments           | investments, up to 64 per document              |
+| nested investments           | accounts x investments, one document an account |
 | investment_accounts_to_send  | customer, segment AUTOMOBILE                    |
 
-The two master-data gaps (accounts without HOUSEHOLD customers, customers
-without region 4) give events of unknown accounts and accounts of unknown
-customers, whose ledger rows keep a NULL country.
+Rows under other ids (offset by ``UNKNOWN_OFFSET``) give events of unknown accounts
+and accounts of unknown customers, whose ledger rows keep a NULL country. The moved
+accounts have no transactions: their documents have an empty array, or none at all.
 """
 
 from __future__ import annotations
@@ -33,8 +33,11 @@ from kontor.functions.columns import STATUS_COMPLETED, STATUS_FAILED, seconds_of
 CUSTOMER_ID_OFFSET = 1000000
 PIX_SHIFT_SECONDS = 883612800  # 10,227 days: 2024-01-01 -> 1996-01-01
 COMPLETION_LAG_MODULUS = 997  # completion delay in seconds = key % 997
+UNKNOWN_OFFSET = 1000000000
 ACCOUNTLESS_SEGMENT = "HOUSEHOLD"
 CUSTOMERLESS_REGION = 4
+PIX_MONTHS = 12
+PIX_MONTH_SECONDS = 2592000  # 30 days
 COHORT_SEGMENT = "AUTOMOBILE"
 PIX_IN_EVENT_TYPES = ("view", "signup")
 PIX_FAILED_EVENT_TYPE = "error"
@@ -44,12 +47,23 @@ INVESTMENT_IN_PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM")
 RAW_INVESTMENT_IN = "investment_transfer_in"
 RAW_INVESTMENT_OUT = "investment_transfer_out"
 STATUS_PENDING = "pending"
-NESTED_DOCUMENT_SIZE = 64
 NOT_COMPLETED_TEXT = "None"
 
 
+# The columns read here; with a schema given, opening a table takes no job.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_linenumber int, l_extendedprice double, l_returnflag string,"
+    " l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _completed_text(status: F.Column, requested: F.Column, key: F.Column, otherwise: F.Column):
@@ -60,14 +74,17 @@ def _completed_text(status: F.Column, requested: F.Column, key: F.Column, otherw
     ).otherwise(otherwise)
 
 
-@dataclass
+@dataclass(frozen=True)
 class Feeds:
-    accounts: DataFrame
-    customers: DataFrame
-    pix_movements: DataFrame
-    transfers: DataFrame  # both directions, raw direction in ``in_or_out``
-    investments: DataFrame
-    investment_accounts_to_send: DataFrame
+    """The feeds of a folder; each is opened when it is asked for."""
+
+    spark: SparkSession
+    sf_dir: str
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in _FEEDS:
+            raise AttributeError(name)
+        return _FEEDS[name](self.spark, self.sf_dir)
 
     @property
     def transfer_ins(self) -> DataFrame:
@@ -78,26 +95,33 @@ class Feeds:
         return self.transfers.where(F.col("in_or_out") == "non_pix_out").drop("in_or_out")
 
 
+def _moved(unknown: F.Column, key: F.Column) -> F.Column:
+    return key + F.when(unknown, F.lit(UNKNOWN_OFFSET)).otherwise(F.lit(0))
+
+
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
-    return c.where(F.col("c_mktsegment") != ACCOUNTLESS_SEGMENT).select(
-        F.col("c_custkey").alias("account_id"),
+    return c.select(
+        _moved(F.col("c_mktsegment") == ACCOUNTLESS_SEGMENT, F.col("c_custkey")).alias("account_id"),
         (F.col("c_custkey") + CUSTOMER_ID_OFFSET).alias("customer_id"),
     )
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    n = table(spark, sf_dir, "nation").where(F.col("n_regionkey") != CUSTOMERLESS_REGION)
+    n = table(spark, sf_dir, "nation")
     return c.join(n, c.c_nationkey == n.n_nationkey).select(
-        (F.col("c_custkey") + CUSTOMER_ID_OFFSET).alias("customer_id"),
+        _moved(F.col("n_regionkey") == CUSTOMERLESS_REGION, F.col("c_custkey") + CUSTOMER_ID_OFFSET).alias(
+            "customer_id"
+        ),
         F.col("n_name").alias("country_name"),
     )
 
 
 def pix_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
-    requested = seconds_of("ts") - F.lit(PIX_SHIFT_SECONDS)
+    month = F.col("event_id") % PIX_MONTHS
+    requested = seconds_of("ts") - F.lit(PIX_SHIFT_SECONDS) + month * F.lit(PIX_MONTH_SECONDS)
     status = (
         F.when(F.col("event_type") == PIX_FAILED_EVENT_TYPE, F.lit(STATUS_FAILED))
         .when(F.col("event_type") == PIX_PENDING_EVENT_TYPE, F.lit(STATUS_PENDING))
@@ -174,9 +198,8 @@ def investments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nested_investments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Investments as nested documents: account_id + array of text structs.
 
-    Documents hold the transactions of one account whose ids share
-    ``id div 64``: at most 64 per document since ids are unique, so no group
-    grows with the data. An account may span many documents.
+    One document per account, as the source has them; accounts without a
+    transaction have an empty array, or none (NULL) where their id is odd.
     """
     inv = investments(spark, sf_dir)
     txn = F.struct(
@@ -188,13 +211,12 @@ def nested_investments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("date").alias("investment_completed_at_timestamp"),
         F.col("type").alias("type"),
     )
-    return (
-        inv.groupBy(
-            F.col("account_id").cast("string").alias("account_id"),
-            F.floor(F.col("id") / NESTED_DOCUMENT_SIZE).alias("document"),
-        )
-        .agg(F.collect_list(txn).alias("transactions"))
-        .select("account_id", "transactions")
+    documents = inv.groupBy("account_id").agg(F.collect_list(txn).alias("transactions"))
+    owners = accounts(spark, sf_dir).select(F.col("account_id").alias("owner"))
+    empty = F.when(F.col("owner") % 2 == 0, F.array().cast(documents.schema["transactions"].dataType))
+    return owners.join(documents, F.col("owner") == F.col("account_id"), "full_outer").select(
+        F.coalesce("account_id", "owner").cast("string").alias("account_id"),
+        F.coalesce("transactions", empty).alias("transactions"),
     )
 
 
@@ -205,12 +227,15 @@ def investment_accounts_to_send(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_FEEDS = {
+    "accounts": accounts,
+    "customers": customers,
+    "pix_movements": pix_movements,
+    "transfers": transfers,
+    "investments": investments,
+    "investment_accounts_to_send": investment_accounts_to_send,
+}
+
+
 def load_feeds(spark: SparkSession, sf_dir: str) -> Feeds:
-    return Feeds(
-        accounts=accounts(spark, sf_dir),
-        customers=customers(spark, sf_dir),
-        pix_movements=pix_movements(spark, sf_dir),
-        transfers=transfers(spark, sf_dir),
-        investments=investments(spark, sf_dir),
-        investment_accounts_to_send=investment_accounts_to_send(spark, sf_dir),
-    )
+    return Feeds(spark, sf_dir)

@@ -3,9 +3,11 @@
 import csv
 import glob
 
+import pytest
 from test_sources_sinks import _csv_feeds
 
 from jobs import build_ledger, run_report
+from kontor.sources.files import register_feeds
 
 
 def test_build_then_reports(spark, scratch):
@@ -19,7 +21,7 @@ def test_build_then_reports(spark, scratch):
     out = f"{scratch}/idb"
     run_report.main(
         ["investments_daily_balance", "--ledger-path", ledger, "--interval", "2020-01-01", "2021-01-01",
-         "--cohort-table", "cohort_accounts", "--out", out, "--csv"]
+         "--cohort-table", "cohort_accounts", "--out", out, "--csv", "--single-file"]
     )
     (part,) = glob.glob(f"{out}/part-*.csv")
     rows = list(csv.DictReader(open(part)))
@@ -74,3 +76,53 @@ def test_jobs_through_a_catalog_table(spark, scratch):
     )
     got = {(r.account_id, r.month): r.account_monthly_balance for r in spark.read.parquet(out).collect()}
     assert got == {(1, "2020-04"): 110.5, (2, "2020-04"): -40.0}
+
+
+def test_kpis_per_month_and_chosen_metrics(spark, scratch):
+    _csv_feeds(scratch)
+    ledger = f"{scratch}/ledger"
+    build_ledger.main(["--feeds", scratch, "--ledger-path", ledger])
+    run_report.main(
+        ["kpis", "--ledger-path", ledger, "--by-month", "--metrics", "fail_rate", "p99", "--products", "pix", "--out", f"{scratch}/k"]
+    )
+    got = spark.read.parquet(f"{scratch}/k")
+    assert got.columns == ["month", "fail_rate", "p99"] and got.count() == 1
+    run_report.main(
+        ["account_monthly_balance", "--ledger-path", ledger, "--metrics", "total_amount", "--out", f"{scratch}/m"]
+    )
+    assert spark.read.parquet(f"{scratch}/m").columns == ["month", "account_id", "total_amount"]
+
+
+def test_sql_report_over_parquet_feeds(spark, scratch):
+    _csv_feeds(scratch)
+    for name, df in register_feeds(spark, scratch).items():
+        df.write.parquet(f"{scratch}/pq/{name}")
+    run_report.main(
+        ["account_monthly_balance_sql", "--feeds", f"{scratch}/pq", "--format", "parquet", "--out", f"{scratch}/sql"]
+    )
+    got = spark.read.parquet(f"{scratch}/sql").collect()
+    assert sorted((r.Customer, r.AccountMonthlyBalance) for r in got) == [(1, 110.5), (2, -40.0)]
+
+
+@pytest.mark.parametrize(
+    "argv", [["kpis", "--feeds", "x"], ["account_monthly_balance_sql", "--ledger-path", "x"], ["kpis"]]
+)
+def test_wrong_sources_are_refused(argv):
+    with pytest.raises(SystemExit):
+        run_report.main([*argv, "--out", "y"])
+
+
+def test_csv_preview_orders_numbers(spark, scratch, capsys):
+    _csv_feeds(scratch)
+    day = 86400
+    t = 1585699200
+    rows = "".join(f"{i},{a},5.0,{t + d * day},{t + d * day},completed,investment_transfer_in\n" for i, a, d in ((7, 10, 0), (8, 9, 8), (9, 9, 9)))
+    with open(f"{scratch}/investments/part-0.csv", "w") as fh:
+        fh.write("id,account_id,amount,investment_requested_at,investment_completed_at,status,type\n" + rows)
+    ledger = f"{scratch}/ledger"
+    build_ledger.main(["--feeds", scratch, "--ledger-path", ledger])
+    run_report.main(
+        ["investments_daily_balance", "--ledger-path", ledger, "--out", f"{scratch}/r", "--csv", "--preview", "3"]
+    )
+    shown = [line.split("|")[1:4] for line in capsys.readouterr().out.split("\n") if "|2020-04|" in line]
+    assert [(d.strip(), a.strip()) for d, _, a in shown] == [("9", "9"), ("10", "9"), ("1", "10")]

@@ -45,12 +45,12 @@ def test_sql_report_filter_reaches_scan(spark):
 def test_kpis_share_one_aggregation(spark):
     df = E.queries()["kpi_all"](spark, SF_SMALL)
     opt = _optimized(df)
-    assert opt.count("Aggregate [") == 1  # no hot account at this size: only the KPI aggregate
-    assert "percentile_approx" in opt
+    kpis = [line for line in opt.split("\n") if "Aggregate [" in line and "percentile_approx" in line]
+    assert len(kpis) == 1 and "total_amount" in kpis[0] and "total_orders" in kpis[0]
 
 
 def test_no_python_udfs_anywhere(spark):
-    for name, q in E.queries().items():
+    for name, q in E.ledger_queries().items():
         p = _plan(q(spark, SF_SMALL))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
@@ -117,3 +117,39 @@ def test_monthly_balance_shares_its_two_sums(spark):
     partial = next(l for l in _plan(out).split("\n") if "HashAggregate" in l and "partial_" in l)
     assert partial.count("partial_sum") == 2  # balance reuses the in and out sums
     assert [r.account_monthly_balance for r in out.collect()] == [6.0]
+
+
+def _jobs_while(spark, build):
+    """Spark jobs that building a query starts."""
+    sc, group = spark.sparkContext, "plan-build"
+    sc.setJobGroup(group, group)
+    try:
+        build()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    return len(sc.statusTracker().getJobIdsForGroup(group))
+
+
+def test_building_a_query_takes_few_jobs(spark):
+    q = E.ledger_queries()
+    for name in ("raw_union_all", "account_monthly_balance", "kpi_all", "unnest_investments", "txn_count_trailing"):
+        assert _jobs_while(spark, lambda name=name: q[name](spark, SF_SMALL)) == 0, name
+    assert _jobs_while(spark, lambda: q["product_daily_events"](spark, SF_SMALL)) <= 8  # two measurements
+
+
+def test_reports_without_country_read_no_dimension(spark):
+    for name in ("kpi_amounts", "account_monthly_balance", "txn_count_trailing"):
+        assert "c_custkey" not in _optimized(E.queries()[name](spark, SF_SMALL))
+
+
+def test_payments_read_the_transfers_once(spark):
+    for name in ("raw_union_all", "account_monthly_balance_sql"):
+        opt = _optimized(E.queries()[name](spark, SF_SMALL))
+        assert opt.count("l_shipdate") and opt.count("Join Inner") == 1, name
+
+
+def test_sequence_dimensions_pass_over_the_ledger_twice(spark):
+    out = E.queries()["txn_dimensions"](spark, SF_SMALL)
+    out.collect()
+    final = _plan(out).split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") <= 2 * 4 + 2  # four feeds' tables twice, customer and nation once

@@ -1,18 +1,26 @@
-"""Session helpers: pinned settings and the checkpoint folder rule."""
+"""Session helpers: only the time zone of a caller's session is touched."""
 
-from kontor.session import SESSION_DEFAULTS, checkpoint_dir, pin_session
+import pytest
 
+from kontor.session import pin_session
 
-def test_checkpoint_dir_uses_the_session_setting(spark):
-    first = checkpoint_dir(spark)
-    assert first and checkpoint_dir(spark) == first  # stable, no new folder per call
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:  # the configured shared folder is the one in use
-        assert configured.rstrip("/").split("/")[-1] in first
 
-
-def test_pin_session_sets_utc_and_aqe(spark):
+def test_pin_session_sets_only_utc(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     pin_session(spark)
-    for k, v in SESSION_DEFAULTS.items():
-        assert spark.conf.get(k) == v
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "dynamic"
+    spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_pin_session_raises_where_utc_cannot_be_set():
+    class Conf:
+        def set(self, key, value):
+            raise ValueError("locked")
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(ValueError):
+        pin_session(Session())

@@ -1,8 +1,9 @@
-"""Feed readers, the partitioned ledger sink, the report sink and streaming."""
+"""Feed readers, the partitioned ledger sink and the report sink."""
 
 import json
 import os
 
+import pytest
 from helpers import epoch
 from pyspark.sql import functions as F
 
@@ -14,10 +15,9 @@ from kontor.operators.normalize import (
     build_ledger,
 )
 from kontor.plans.reports import account_monthly_balance, investments_daily_balance
-from kontor.schemas import LEDGER_COLUMNS, PIX_MOVEMENTS
+from kontor.schemas import LEDGER_COLUMNS
 from kontor.sources.files import load_investments, read_nested_investments, register_feeds
 from kontor.sources.sinks import write_ledger, write_report_csv
-from kontor.streaming.ledger_stream import append_to_ledger, feed_stream, ledger_stream
 
 
 def _write(path, text):
@@ -96,9 +96,36 @@ def test_ledger_sink_partitioned_and_pruned(spark, scratch):
         (1, 50.0 + 50.0 * 0.0001),
         (2, 30.0 + 30.0 * 0.0001),
     ]
-    # a second overwrite of one partition leaves the others (dynamic overwrite)
-    write_ledger(ledger.where(F.col("product") == "pix"), path=out)
-    assert spark.read.parquet(out).count() == 6
+    # named: only the partitions at hand are replaced
+    write_ledger(ledger.where(F.col("product") == "pix").limit(1), path=out, mode="replace_partitions")
+    assert spark.read.parquet(out).count() == 5
+    write_ledger(ledger.where(F.col("product") == "pix"), path=out, mode="append")
+    assert spark.read.parquet(out).count() == 7
+
+
+@pytest.mark.parametrize("session_mode", ["static", "dynamic"])
+def test_rebuild_removes_what_is_gone(spark, scratch, session_mode):
+    """A full overwrite leaves no partition of the ledger before, by path and by table."""
+    _csv_feeds(scratch)
+    ledger = _ledger_from(register_feeds(spark, scratch))
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", session_mode)
+    spark.sql("DROP TABLE IF EXISTS rebuilt")
+    try:
+        for rows in (ledger, ledger.where(F.col("product") == "pix")):
+            write_ledger(rows, path=f"{scratch}/rebuilt")
+            write_ledger(rows, table="rebuilt")
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    by_path = spark.read.parquet(f"{scratch}/rebuilt").select(*LEDGER_COLUMNS)
+    by_table = spark.table("rebuilt").select(*LEDGER_COLUMNS)
+    assert by_path.count() == 2 and by_path.exceptAll(by_table).count() == 0 == by_table.exceptAll(by_path).count()
+
+
+def test_unknown_modes_are_refused(spark, scratch):
+    df = spark.range(1)
+    for kwargs in ({"path": scratch, "mode": "replace"}, {"table": "t", "mode": "replace_partitions"}, {}):
+        with pytest.raises(ValueError):
+            write_ledger(df, **kwargs)
 
 
 def test_ledger_sink_table_overwrite_then_append(spark, scratch):
@@ -135,55 +162,19 @@ def test_nested_json_array_file_and_lines(spark, scratch):
     assert sorted(tuple(r) for r in flat_l.collect()) == want
 
 
-def test_report_csv_single_file_and_parts(spark, scratch):
+def test_report_csv_parts_and_single_file(spark, scratch):
     df = spark.range(0, 50).select(
         (F.col("id") % 7).alias("account_id"), F.lit("2020-01").alias("month"), (F.col("id") % 28 + 1).alias("day")
     )
-    one = f"{scratch}/one"
-    assert write_report_csv(df, one, order_by=("account_id", "month", "day")) is True
-    parts = [p for p in os.listdir(one) if p.startswith("part-")]
-    assert len(parts) == 1
-    back = spark.read.option("header", True).csv(one)
-    assert back.count() == 50
-    many = f"{scratch}/many"
-    assert write_report_csv(df.repartition(4), many, single_file_max_rows=10) is False
+    one, many = f"{scratch}/one", f"{scratch}/many"
+    write_report_csv(df, one, order_by=("account_id", "month", "day"), single_file=True)
+    assert len([p for p in os.listdir(one) if p.startswith("part-")]) == 1
+    assert spark.read.option("header", True).csv(one).count() == 50
+    write_report_csv(df.repartition(4), many)
+    assert len([p for p in os.listdir(many) if p.startswith("part-")]) == 4
     assert spark.read.option("header", True).csv(many).count() == 50
 
 
-def test_streaming_append_is_exactly_once(spark, scratch):
-    t = epoch("2020-06-01")
-    src = f"{scratch}/pix_in"
-    _write(
-        f"{src}/a.csv",
-        "id,account_id,in_or_out,pix_amount,pix_requested_at,pix_completed_at,status\n"
-        f"1,1,pix_in,10.0,{t},{t + 1},completed\n",
-    )
-    accounts = spark.createDataFrame([(1, 101)], "account_id long, customer_id long")
-    customers = spark.createDataFrame([(101, "Brazil")], "customer_id long, country_name string")
-    out, ckpt = f"{scratch}/ledger", f"{scratch}/ckpt"
-
-    def run():
-        rows = ledger_stream(feed_stream(spark, src, PIX_MOVEMENTS), PIX_SPEC, accounts, customers)
-        q = append_to_ledger(rows, out, ckpt)
-        q.awaitTermination(120)
-
-    run()
-    assert spark.read.parquet(out).count() == 1
-    run()  # restart with no new file: nothing appended twice
-    assert spark.read.parquet(out).count() == 1
-    _write(
-        f"{src}/b.csv",
-        "id,account_id,in_or_out,pix_amount,pix_requested_at,pix_completed_at,status\n"
-        f"2,1,pix_out,4.0,{t + 60},None,failed\n3,9,pix_in,1.0,{t + 70},{t + 71},completed\n",
-    )
-    run()
-    got = spark.read.parquet(out)
-    assert got.count() == 3
-    rows = {r.txn_id: r for r in got.collect()}
-    assert rows[1].country_name == "Brazil" and rows[3].country_name is None
-    assert rows[2].in_or_out == "out" and rows[2].month == "2020-06"
-
-
 def test_ledger_write_rebalances_by_partition_columns(spark, scratch):
     _csv_feeds(scratch)
     ledger = _ledger_from(register_feeds(spark, scratch))
@@ -198,27 +189,6 @@ def test_ledger_write_rebalances_by_partition_columns(spark, scratch):
     assert spark.read.parquet(out).count() == 6
 
 
-def test_streaming_nested_investments(spark, scratch):
-    from kontor.operators.normalize import INVESTMENTS_SPEC
-    from kontor.streaming.ledger_stream import nested_investments_stream
-
-    src = f"{scratch}/inv"
-    doc = [{"account_id": "1", "transactions": [
-        {"transaction_id": "5", "status": "completed", "amount": "12.5", "investment_requested_at": "1591000000",
-         "investment_completed_at": "1591000002", "type": "investment_transfer_out"}]},
-        {"account_id": "2", "transactions": []}]
-    _write(f"{src}/a.json", json.dumps(doc))
-    accounts = spark.createDataFrame([(1, 101)], "account_id long, customer_id long")
-    customers = spark.createDataFrame([(101, "Brazil")], "customer_id long, country_name string")
-    rows = ledger_stream(nested_investments_stream(spark, src), INVESTMENTS_SPEC, accounts, customers)
-    q = append_to_ledger(rows, f"{scratch}/ledger", f"{scratch}/ckpt")
-    q.awaitTermination(120)
-    got = spark.read.parquet(f"{scratch}/ledger").collect()
-    assert [(r.txn_id, r.amount, r.in_or_out, r.product, r.country_name) for r in got] == [
-        (5, 12.5, "out", "investments", "Brazil")
-    ]
-
-
 def test_parquet_feeds_are_typed_by_name(spark, scratch):
     from pyspark.sql import functions as F
 
@@ -237,11 +207,42 @@ def test_parquet_feeds_are_typed_by_name(spark, scratch):
     assert df.select(F.sum("amount")).first()[0] == 3.5
 
 
-def test_csv_with_inferred_schema(spark, scratch):
-    from kontor.sources.files import read_feed_csv
+def test_csv_columns_are_taken_by_name(spark, scratch):
+    """Shuffled pix columns, and master data with more columns than the feed needs."""
+    _csv_feeds(scratch)
+    t = epoch("2020-04-01")
+    _write(
+        f"{scratch}/pix_movements/part-0.csv",
+        "id,account_id,pix_amount,pix_requested_at,pix_completed_at,status,in_or_out\n"
+        f"1,1,12.5,{t},{t + 2},completed,pix_in\n",
+    )
+    _write(
+        f"{scratch}/customers/part-0.csv",
+        "customer_id,first_name,last_name,customer_city,country_name,cpf\n101,Ana,Lima,7,Brazil,123\n",
+    )
+    _write(
+        f"{scratch}/accounts/part-0.csv",
+        "account_id,customer_id,created_at,status,account_branch,account_check_digit,account_number\n"
+        "1,101,2019-01-01,active,1,2,3\n2,102,2019-01-01,active,1,2,3\n",
+    )
+    _write(f"{scratch}/country/part-0.csv", "country,country_id\nBrazil,7\n")
+    feeds = register_feeds(spark, scratch, ["accounts", "customers", "pix_movements", "country"])
+    pix = feeds["pix_movements"].first()
+    assert (pix.in_or_out, pix.pix_amount, pix.pix_requested_at, pix.status) == ("pix_in", 12.5, t, "completed")
+    assert feeds["customers"].first().country_name == "Brazil"
+    assert feeds["accounts"].columns == ["account_id", "customer_id"]
+    assert spark.table("country").first().asDict() == {"country": "Brazil", "country_id": "7"}
+
+
+def test_missing_column_raises(spark, scratch):
+    _csv_feeds(scratch)
+    _write(f"{scratch}/customers/part-0.csv", "customer_id,country\n101,Brazil\n")
+    with pytest.raises(ValueError, match="country_name"):
+        register_feeds(spark, scratch, ["customers"])
+
 
+def test_misfit_values_read_as_null(spark, scratch):
     _csv_feeds(scratch)
-    df = read_feed_csv(spark, f"{scratch}/pix_movements")
-    types = dict(df.dtypes)
-    assert types["pix_amount"] == "double" and types["account_id"] == "int"
-    assert df.count() == 2
+    _write(f"{scratch}/accounts/part-0.csv", "account_id,customer_id\n1,x\n,102\n")
+    got = register_feeds(spark, scratch, ["accounts"])["accounts"].collect()
+    assert sorted(map(tuple, got), key=str) == [(1, None), (None, 102)]
