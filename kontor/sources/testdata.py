@@ -38,6 +38,7 @@ ACCOUNTLESS_SEGMENT = "HOUSEHOLD"
 CUSTOMERLESS_REGION = 4
 PIX_MONTHS = 12
 PIX_MONTH_SECONDS = 2592000  # 30 days
+PIX_FAILED_MONTH = 11  # nothing completes in the last month
 COHORT_SEGMENT = "AUTOMOBILE"
 PIX_IN_EVENT_TYPES = ("view", "signup")
 PIX_FAILED_EVENT_TYPE = "error"
@@ -123,7 +124,7 @@ def pix_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
     month = F.col("event_id") % PIX_MONTHS
     requested = seconds_of("ts") - F.lit(PIX_SHIFT_SECONDS) + month * F.lit(PIX_MONTH_SECONDS)
     status = (
-        F.when(F.col("event_type") == PIX_FAILED_EVENT_TYPE, F.lit(STATUS_FAILED))
+        F.when((F.col("event_type") == PIX_FAILED_EVENT_TYPE) | (month == PIX_FAILED_MONTH), F.lit(STATUS_FAILED))
         .when(F.col("event_type") == PIX_PENDING_EVENT_TYPE, F.lit(STATUS_PENDING))
         .otherwise(F.lit(STATUS_COMPLETED))
     )
