@@ -50,6 +50,8 @@ def register_feeds(
         schema, path = FEED_SCHEMAS.get(name), f"{root}/{name}"
         if fmt == "csv":
             df = read_feed_csv(spark, path, schema)
+        elif fmt == "json" and schema is not None:  # by name; a field that no row has is NULL
+            df = spark.read.schema(schema).json(path)
         else:
             stored = spark.read.format(fmt).load(path)
             df = stored if schema is None else _typed(stored, schema, path)

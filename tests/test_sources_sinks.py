@@ -246,3 +246,9 @@ def test_misfit_values_read_as_null(spark, scratch):
     _write(f"{scratch}/accounts/part-0.csv", "account_id,customer_id\n1,x\n,102\n")
     got = register_feeds(spark, scratch, ["accounts"])["accounts"].collect()
     assert sorted(map(tuple, got), key=str) == [(1, None), (None, 102)]
+
+
+def test_json_feeds_are_read_by_name(spark, scratch):
+    _write(f"{scratch}/j/accounts/a.json", '{"customer_id": 5, "account_id": 1, "more": true}\n{"account_id": 2}\n')
+    got = register_feeds(spark, f"{scratch}/j", ["accounts"], fmt="json")["accounts"].collect()
+    assert sorted(map(tuple, got)) == [(1, 5), (2, None)]
