@@ -171,15 +171,17 @@ def format_conversations(
     )
 
 
-def _loss_text(formatted: str, mask: list[bool], starts: list[int], ends: list[int]) -> str:
+def _loss_text(formatted: str, mask: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> str:
     """The text under the mask: the union of the tokens' parts, in order (tokens that
     share a character, as bytes of one, count it once)."""
-    out, done = [], 0
-    for kept, a, b in zip(mask, starts, ends):
-        if kept and b > done:
-            out.append(formatted[max(a, done) : b])
-            done = b
-    return unescape("".join(out))
+    low, high = starts[mask], np.maximum.accumulate(ends[mask])
+    if not len(low):
+        return ""
+    low = np.maximum(low, np.concatenate([[0], high[:-1]]))
+    new = np.concatenate([[True], low[1:] > high[:-1]])  # a part that does not adjoin the one before
+    first = np.nonzero(new)[0]
+    last = np.append(first[1:], len(low)) - 1
+    return unescape("".join(formatted[a:b] for a, b in zip(low[first].tolist(), high[last].tolist())))
 
 
 def _read_back(c: dict[str, list]) -> dict[str, list]:

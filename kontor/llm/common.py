@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +58,15 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def values(column: pa.Array) -> list:
+    """A column as Python values; lists of numbers or booleans as numpy arrays."""
+    if not pa.types.is_list(column.type) or pa.types.is_nested(column.type.value_type) or column.null_count:
+        return column.to_pylist()
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    ends = np.cumsum(column.value_lengths().to_numpy())
+    return np.split(flat, ends[:-1]) if len(ends) else []
+
+
 def per_row(
     df: DataFrame,
     inputs: list[str],
@@ -68,8 +78,8 @@ def per_row(
     """Replace the columns ``inputs`` by the columns ``outputs`` (a DDL string), or
     add them beside the inputs with ``keep_inputs``.
 
-    ``fn`` gets lists of the inputs' values and returns lists of the outputs'
-    values, one for each row. All other columns pass through Arrow untouched,
+    ``fn`` gets lists of the inputs' values (see ``values``) and returns lists of the
+    outputs' values, one for each row. All other columns pass through Arrow untouched,
     whatever their names; an output replaces a column of its name. A batch is
     worked off in slices, so that Python objects of few texts live at a time.
     """
@@ -88,9 +98,10 @@ def per_row(
         for batch in batches:
             for at in range(0, batch.num_rows, slice_rows):
                 part = batch.slice(at, slice_rows)
-                got = fn({c: part.column(n_kept + i).to_pylist() for i, c in enumerate(inputs)})
+                got = fn({c: values(part.column(n_kept + i)) for i, c in enumerate(inputs)})
                 new = [pa.array(got[f.name], f.type) for f in types]
                 yield pa.RecordBatch.from_arrays([*part.columns[:n_kept], *new], names=names)
+        pa.default_memory_pool().release_unused()  # workers live on between tasks
 
     columns = [F.col(f"`{f.name}`").alias(f"c{i}") for i, f in enumerate(sent)]
     return df.select(*columns).mapInArrow(work, schema)

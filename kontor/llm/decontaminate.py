@@ -34,7 +34,10 @@ MIN_SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, 1
 SLACK = 0.25
 MAX_BLOCK_BYTES = 16 << 20
-CACHE_WORDS = 500_000
+CACHE_WORDS = 100_000
+# Texts worked on at a time.
+GROUP_ROWS = 512
+GROUP_CHARS = 1 << 20
 
 _PUNCTUATION = re.compile(r"\W+")
 
@@ -60,7 +63,8 @@ def parts_of(words: list[str]) -> list[list[str]]:
 
 class _Ids(dict):
     """Raw word -> id in the benchmark's vocabulary, -1 for other words, -2 for mere
-    punctuation; remembers what it has normalised, up to ``CACHE_WORDS`` words."""
+    punctuation, -3 for the empty word (which ends a text here); remembers what it has
+    normalised, up to ``CACHE_WORDS`` words."""
 
     def __init__(self, vocabulary: dict[str, int]) -> None:
         super().__init__()
@@ -68,7 +72,7 @@ class _Ids(dict):
 
     def __missing__(self, raw: str) -> int:
         word = _PUNCTUATION.sub("", raw)
-        found = self.vocabulary.get(word, -1) if word else -2
+        found = self.vocabulary.get(word, -1) if word else -2 if raw else -3
         if len(self) >= CACHE_WORDS:
             self.clear()
         self[raw] = found
@@ -109,10 +113,15 @@ class Block:
             code, known = code * max(1, len(self.vocabulary)) + at, known & (at >= 0)
         return np.where(known, code, -1)
 
-    def ids(self, text: str | None, cache: _Ids) -> np.ndarray:
-        raw = (text or "").lower().split()
+    def ids(self, texts: list[str | None], cache: _Ids) -> tuple[np.ndarray, np.ndarray]:
+        """(word ids of the texts one after another, each ended by -3; places of the ends)."""
+        raw: list[str] = []
+        for text in texts:
+            raw += (text or "").lower().split()
+            raw.append("")
         ids = np.fromiter(map(cache.__getitem__, raw), np.int64, len(raw))
-        return ids[ids != -2]
+        ids = ids[ids != -2]
+        return ids, np.nonzero(ids == -3)[0]
 
     def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(places, indices into ``codes``) of the benchmark's n-grams in a text."""
@@ -134,11 +143,34 @@ class Block:
             for place in sorted(chosen):
                 self.seeds.setdefault(int(index[place]), []).append((p, place))
 
-    def leaks(self, ids: np.ndarray) -> list[dict]:
-        """The best alignment of each item that reaches the score, by item."""
+    def frequencies(self, ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Texts that hold each n-gram."""
+        places, index = self.hits(ids)
+        seen = np.unique(np.searchsorted(ends, places) * np.int64(len(self.codes)) + index)
+        return np.bincount(seen % len(self.codes), minlength=len(self.codes))
+
+    def find(self, ids: np.ndarray, ends: np.ndarray) -> list[list[dict]]:
+        """The leaks of each text."""
+        places, index = self.hits(ids)
+        wanted = np.zeros(len(self.codes), bool)
+        wanted[list(self.seeds)] = True
+        kept = wanted[index]
+        places, index = places[kept], index[kept]
+        text = np.searchsorted(ends, places)
+        out: list[list[dict]] = [[] for _ in ends]
+        cuts = np.nonzero(np.diff(text))[0] + 1
+        for at, grams in zip(np.split(places, cuts), np.split(index, cuts)):
+            if len(at):
+                t = int(np.searchsorted(ends, at[0]))
+                start = int(ends[t - 1]) + 1 if t else 0
+                out[t] = self.leaks(ids[start : ends[t]], (at - start).tolist(), grams.tolist())
+        return out
+
+    def leaks(self, ids: np.ndarray, places: list[int], grams: list[int]) -> list[dict]:
+        """The best alignment of each item that reaches the score, by item, from seeds at places."""
         windows: dict[int, list[list[int]]] = {}
-        for place, index in zip(*(a.tolist() for a in self.hits(ids))):
-            for p, at in self.seeds.get(index, ()):
+        for place, index in zip(places, grams):
+            for p, at in self.seeds[index]:
                 size = len(self.parts[p])
                 slack = int(size * SLACK) + 2
                 low, high = max(0, place - at - slack), min(len(ids), place - at + size + slack)
@@ -193,6 +225,19 @@ def align(part: np.ndarray, text: np.ndarray) -> tuple[float, int, int, int]:
     return float(score), matched, int(j), end
 
 
+def _groups(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """The texts in groups of about ``GROUP_CHARS``."""
+    group, chars = [], 0
+    for t in texts:
+        group.append(t)
+        chars += len(t or "")
+        if chars >= GROUP_CHARS:
+            yield group
+            group, chars = [], 0
+    if group:
+        yield group
+
+
 def _frequencies(docs: DataFrame, block: Block, text: str) -> np.ndarray:
     """Documents that hold each n-gram of the block, over all of ``docs``: counts of each
     task, at most one row for each n-gram, summed by Spark."""
@@ -202,8 +247,9 @@ def _frequencies(docs: DataFrame, block: Block, text: str) -> np.ndarray:
         b, cache = held.value, _Ids(held.value.vocabulary)
         total = np.zeros(len(b.codes), np.int64)
         for batch in batches:
-            for t in batch.column(0):
-                total[np.unique(b.hits(b.ids(t.as_py(), cache))[1])] += 1
+            for at in range(0, batch.num_rows, GROUP_ROWS):
+                for texts in _groups(batch.column(0).slice(at, GROUP_ROWS).to_pylist()):
+                    total += b.frequencies(*b.ids(texts, cache))
         at = np.nonzero(total)[0]
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["gram", "docs"])
 
@@ -255,7 +301,7 @@ def _finder(held, text: str, name: str):
     def find(c: dict[str, list]) -> dict[str, list]:
         block = held.value
         cache = block.__dict__.setdefault("cache", _Ids(block.vocabulary))  # one for each worker
-        return {name: [block.leaks(block.ids(t, cache)) for t in c[text]]}
+        return {name: [found for texts in _groups(c[text]) for found in block.find(*block.ids(texts, cache))]}
 
     return find
 

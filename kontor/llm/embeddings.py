@@ -112,19 +112,23 @@ def train(sample: np.ndarray, vectors: int, threshold: float) -> Index:
     return index
 
 
+def normalised(x: np.ndarray) -> np.ndarray:
+    """Rows of length one; scaled first, so that no square overflows or vanishes."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def _unit(column: pa.Array) -> np.ndarray:
     values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    x = values.reshape(len(column), -1)
-    return x / np.linalg.norm(x, axis=1, keepdims=True)
+    return normalised(values.reshape(len(column), -1))
 
 
 def _classes(rows: DataFrame, vec_id: str, embedding: str) -> tuple[DataFrame, DataFrame]:
     """(rows with vec_id and key, classes (key, rep, copies, embedding)): vectors that can
     be compared, those of one content under one key."""
     vector = F.col(f"`{embedding}`").cast("array<double>")
-    size2 = F.aggregate(vector, F.lit(0.0), lambda s, v: s + v * v)
-    # A null, NaN or infinite component makes the sum null, NaN or infinite.
-    usable = F.coalesce((size2 > 0) & (size2 < float("inf")) & ~F.isnan(size2), F.lit(False))
+    finite = F.forall(vector, lambda v: F.coalesce(F.abs(v) < float("inf"), F.lit(False)))  # NaN is above infinity
+    usable = F.coalesce(finite & F.exists(vector, lambda v: v != 0), F.lit(False))
     tagged = rows.select(
         F.col(f"`{vec_id}`").alias("vec_id"),
         F.when(usable & F.col(f"`{vec_id}`").isNotNull(), vector).alias("embedding"),
@@ -260,9 +264,7 @@ def near_duplicates(
     dims = classes.select(F.size("embedding")).first()[0]
     fit_rows = max(256, FIT_BYTES // (8 * dims))
     drawn = classes.orderBy(F.xxhash64(F.col("key.hash")), "key").limit(fit_rows).select("embedding").collect()
-    sample = np.array([r[0] for r in drawn])
-    sample /= np.linalg.norm(sample, axis=1, keepdims=True)
-    index = train(sample, total, threshold)
+    index = train(normalised(np.array([r[0] for r in drawn])), total, threshold)
     entries = stored(_encoded(classes, index))
 
     # Blocks of each list, members by queries: one row a list, at most MAX_LISTS.

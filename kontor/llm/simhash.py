@@ -31,7 +31,7 @@ SEED = 42
 SHINGLE_WORDS = 4
 MAX_DISTANCE = 4
 # Shingles whose bits are counted at a time.
-BLOCK = 1 << 16
+BLOCK = 1 << 13
 
 
 def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:

@@ -17,7 +17,7 @@ def plain(docs, items):
     block = D.Block.of(items)
     out = set()
     for i, text in docs:
-        ids = block.ids(text, D._Ids(block.vocabulary))
+        ids = block.ids([text], D._Ids(block.vocabulary))[0][:-1]
         for p, part in enumerate(block.parts):
             score, matched, _, _ = D.align(part, ids)
             if score >= D.MIN_SCORE * D.MATCH * len(part) and matched >= min(D.MIN_WORDS, len(part)):
@@ -61,6 +61,18 @@ def test_a_passage_in_most_documents_is_found_in_all(spark):
     assert {r.doc_id for r in got} == set(range(120))
 
 
+def test_groups_of_texts_change_nothing(spark, monkeypatch):
+    docs, items = case(np.random.default_rng(6))
+    one = D.contaminated(documents(spark, docs), bench(spark, items)).collect()
+    block = D.Block.of(items)
+    cache, texts = D._Ids(block.vocabulary), [t for _, t in docs]
+    counted = sum(block.frequencies(*block.ids([t], cache)) for t in texts)
+    assert (block.frequencies(*block.ids(texts, cache)) == counted).all()
+    block.choose_seeds(counted)
+    alone = [(i, leak["item_id"], leak["score"]) for i, t in docs for leak in block.find(*block.ids([t], cache))[0]]
+    assert sorted(alone) == sorted((r.doc_id, r.item_id, r.score) for r in one)
+
+
 def test_benchmark_in_several_blocks(spark, monkeypatch):
     docs, items = case(np.random.default_rng(5))
     one = {(r.doc_id, r.item_id) for r in D.contaminated(documents(spark, docs), bench(spark, items)).collect()}

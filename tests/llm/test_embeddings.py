@@ -14,6 +14,7 @@ def brute(rows, threshold):
         if i is not None and v is not None and len(v) == most and None not in v:
             x = np.array(v, np.float64)
             if np.isfinite(x).all() and (x != 0).any():
+                x = x / np.abs(x).max()
                 usable[k] = x / np.linalg.norm(x)
     keys = sorted(usable)
     x = np.array([usable[k] for k in keys]).reshape(len(keys), -1)
@@ -52,7 +53,7 @@ def test_links_equal_brute_force(spark, monkeypatch, blocks):
     centres = rng.standard_normal((40, 16))
     rows = [(int(i) + 10, list(centres[i % 40] + rng.standard_normal(16) * rng.choice([0.1, 0.25, 0.4]))) for i in range(500)]
     rows += [(5, rows[0][1]), (6, rows[0][1]), (7, rows[1][1]), (900, [2 * c for c in rows[2][1]])]
-    rows += [(901, None), (902, [0.0] * 16), (903, [float("nan")] * 16), (904, [None] * 16), (905, [1.0] * 3), (None, rows[3][1]), (906, [])]
+    rows += [(901, None), (902, [0.0] * 16), (903, [float("nan")] * 16), (907, [float("-inf")] + [1.0] * 15), (908, [1e-40] * 16), (909, [1e-41] * 16), (904, [None] * 16), (905, [1.0] * 3), (None, rows[3][1]), (906, [])]
     df, stored = table(spark, rows)
     want = brute(stored, E.THRESHOLD)
     got = as_rows(E.near_duplicates(df))
