@@ -69,14 +69,17 @@ def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
 
 
 def features(text: str | None, good: bytes, bad: bytes) -> tuple[float, float, float]:
-    """(d, ratio, log length): normalised size difference, compressed size over size, length."""
+    """(d, ratio, log length): normalised size difference, compressed size over size, length.
+
+    The ratio is that of the bad dictionary: a good text that a small dictionary holds
+    whole would else look like one that repeats itself."""
     by_good, by_bad = _compressor(good), _compressor(bad)
     g = b = n = 0
     for block in blocks(text):
         g += len(by_good.compress(block))
         b += len(by_bad.compress(block))
         n += len(block)
-    return ((b - g) / max(1, b + g), g / max(1, n), float(np.log1p(n)))
+    return ((b - g) / max(1, b + g), b / max(1, n), float(np.log1p(n)))
 
 
 def _terms(x: np.ndarray) -> np.ndarray:
