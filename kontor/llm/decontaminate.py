@@ -1,12 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Words are compared in lower case without punctuation. Items are cut into parts of
 at most ``PART_WORDS`` words. First the document frequency of every n-gram of the
-benchmark is counted over the whole corpus; of any ``STRETCH`` consecutive n-grams
-of a part the rarest is a seed, so a part always has seeds, also when its passage is
-in very many documents, and an unedited run of ``NGRAM + STRETCH - 1`` words always
-holds one. A document that holds a seed is aligned with its part around the hit;
-a local alignment that reaches ``MIN_SCORE`` of the part's full score is a leak.
+benchmark is counted over the whole corpus; every one that a document holds is a
+seed, however common, so an unedited run of ``NGRAM`` words always holds one. Where
+the words around the hits could reach the score (an upper bound, so nothing is lost),
+the document is aligned with the part; a local alignment that reaches ``MIN_SCORE`` of
+the part's full score is a leak.
 
 The benchmark is measured and worked off in blocks of at most ``MAX_BLOCK_BYTES`` of
 text, so what is sent to the executors is bounded at any size. Documents stay where
@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from kontor.llm.common import fresh, per_row, settle
 
 NGRAM = 3
-STRETCH = 4
 PART_WORDS = 200
 MIN_WORDS = 8
 MIN_SCORE = 0.5
@@ -87,7 +86,10 @@ class Block:
     items: list[int | None]
     parts: list[np.ndarray]
     codes: np.ndarray
-    seeds: dict[int, list[tuple[int, int]]] | None = None
+    # Of n-gram c the seeds [starts[c], starts[c + 1]): part and place in it.
+    starts: np.ndarray | None = None
+    seed_part: np.ndarray | None = None
+    seed_place: np.ndarray | None = None
 
     @staticmethod
     def of(rows: list[tuple[int | None, str | None]]) -> Block:
@@ -133,15 +135,15 @@ class Block:
         return places[real], index[real]
 
     def choose_seeds(self, frequency: np.ndarray) -> None:
-        """The rarest of any ``STRETCH`` consecutive n-grams of each part."""
-        self.seeds = {}
-        for p, part in enumerate(self.parts):
-            index = np.searchsorted(self.codes, self.grams(part))
-            rarity = frequency[index]
-            width = min(STRETCH, len(index))
-            chosen = {int(i + np.argmin(rarity[i : i + width])) for i in range(len(index) - width + 1)}
-            for place in sorted(chosen):
-                self.seeds.setdefault(int(index[place]), []).append((p, place))
+        """Every n-gram of each part that a text holds."""
+        sizes = [max(0, len(p) - NGRAM + 1) for p in self.parts]
+        index = np.searchsorted(self.codes, np.concatenate([self.grams(p) for p in self.parts]))
+        part = np.repeat(np.arange(len(sizes)), sizes)
+        place = np.concatenate([np.arange(n) for n in sizes])
+        order = np.argsort(index, kind="stable")
+        order = order[frequency[index[order]] > 0]
+        self.starts = np.searchsorted(index[order], np.arange(len(self.codes) + 1))
+        self.seed_part, self.seed_place = part[order], place[order]
 
     def frequencies(self, ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Texts that hold each n-gram."""
@@ -152,10 +154,6 @@ class Block:
     def find(self, ids: np.ndarray, ends: np.ndarray) -> list[list[dict]]:
         """The leaks of each text."""
         places, index = self.hits(ids)
-        wanted = np.zeros(len(self.codes), bool)
-        wanted[list(self.seeds)] = True
-        kept = wanted[index]
-        places, index = places[kept], index[kept]
         text = np.searchsorted(ends, places)
         out: list[list[dict]] = [[] for _ in ends]
         cuts = np.nonzero(np.diff(text))[0] + 1
@@ -163,42 +161,54 @@ class Block:
             if len(at):
                 t = int(np.searchsorted(ends, at[0]))
                 start = int(ends[t - 1]) + 1 if t else 0
-                out[t] = self.leaks(ids[start : ends[t]], (at - start).tolist(), grams.tolist())
+                out[t] = self.leaks(ids[start : ends[t]], at - start, grams)
         return out
 
-    def leaks(self, ids: np.ndarray, places: list[int], grams: list[int]) -> list[dict]:
-        """The best alignment of each item that reaches the score, by item, from seeds at places."""
-        windows: dict[int, list[list[int]]] = {}
-        for place, index in zip(places, grams):
-            for p, at in self.seeds[index]:
-                size = len(self.parts[p])
-                slack = int(size * SLACK) + 2
-                low, high = max(0, place - at - slack), min(len(ids), place - at + size + slack)
-                own = windows.setdefault(p, [])
-                if own and low <= own[-1][1]:  # places come in order
-                    own[-1][0], own[-1][1] = min(own[-1][0], low), max(own[-1][1], high)
-                else:
-                    own.append([low, high])
+    def windows(self, size: int, places: np.ndarray, grams: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(part, low, high) of the stretches of a text of ``size`` words around the seeds
+        at places; those of a part that overlap are one."""
+        many = self.starts[grams + 1] - self.starts[grams]
+        seed = np.repeat(self.starts[grams] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        part = self.seed_part[seed]
+        begin = np.repeat(places, many) - self.seed_place[seed]
+        order = np.lexsort((begin, part))
+        part, begin = part[order], begin[order]
+        length = np.array([len(p) for p in self.parts])[part]
+        slack = (length * SLACK).astype(np.int64) + 2
+        low, high = np.maximum(0, begin - slack), np.minimum(size, begin + length + slack)
+        first = np.ones(len(part), bool)
+        first[1:] = (part[1:] != part[:-1]) | (low[1:] > high[:-1])
+        at = np.nonzero(first)[0]
+        last = np.r_[at[1:], len(part)][: len(at)] - 1
+        return zip(part[at].tolist(), low[at].tolist(), high[last].tolist())
+
+    def leaks(self, ids: np.ndarray, places: np.ndarray, grams: np.ndarray) -> list[dict]:
+        """The best alignment of each item that reaches the score, by item, from n-grams at places."""
         best: dict[int | None, dict] = {}
-        for p, own in windows.items():
-            part = self.parts[p]
-            wanted = MIN_SCORE * MATCH * len(part)
-            for low, high in own:
-                inside = ids[low:high]
-                if MATCH * np.isin(inside, part).sum() < wanted:  # no alignment can reach it
-                    continue
-                score, matched, start, end = align(part, inside)
-                found = score / (MATCH * len(part))
-                if found >= MIN_SCORE and matched >= min(MIN_WORDS, len(part)):
-                    old = best.get(self.items[p])
-                    if old is None or found > old["score"]:
-                        best[self.items[p]] = {
-                            "item_id": self.items[p], "score": found, "words": matched,
-                            "start_word": low + start, "end_word": low + end,
-                        }
+        for p, low, high in self.windows(len(ids), places, grams):
+            part, inside = self.parts[p], ids[low:high]
+            if not reachable(part, inside):
+                continue
+            score, matched, start, end = align(part, inside)
+            found = score / (MATCH * len(part))
+            if found >= MIN_SCORE and matched >= min(MIN_WORDS, len(part)):
+                old = best.get(self.items[p])
+                if old is None or found > old["score"]:
+                    best[self.items[p]] = {
+                        "item_id": self.items[p], "score": found, "words": matched,
+                        "start_word": low + start, "end_word": low + end,
+                    }
         return [best[i] for i in sorted(best, key=lambda i: (i is None, i or 0))]
 
 
+def reachable(part: np.ndarray, text: np.ndarray) -> bool:
+    """Whether an alignment can reach ``MIN_SCORE``: it spans at most twice the part's
+    words, as more gaps than matches beyond half the part cost too much."""
+    held = np.cumsum(np.r_[0, np.isin(text, part)])
+    span = min(len(text), 2 * len(part))
+    return MATCH * (held[span:] - held[: len(held) - span]).max() >= MIN_SCORE * MATCH * len(part)
+
+
 def align(part: np.ndarray, text: np.ndarray) -> tuple[float, int, int, int]:
     """Smith-Waterman with linear gaps: (score, matched words, start, end) of the best
     local alignment in ``text``. A row is one vector step: the gaps along it are a

@@ -93,3 +93,19 @@ def test_odd_rows(spark):
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 5]
     assert D.contaminated(df, bench(spark, [])).collect() == []
     assert D.contaminated(documents(spark, []), bench(spark, items)).collect() == []
+
+
+def test_copies_with_every_few_words_changed(spark):
+    rng = np.random.default_rng(3)
+    items, docs = [], []
+    for k, n in enumerate((4, 5, 6)):
+        for beside in (False, True):
+            i = 2 * k + beside
+            text = [f"i{i}w{j}" for j in range(48)]
+            items.append((i, " ".join(text)))
+            edited = ["changed" if j % n == n - 1 else w for j, w in enumerate(text)]
+            docs.append((i, " ".join(words(rng, 30) + edited + words(rng, 30))))
+            if beside:
+                docs.append((100 + i, " ".join(words(rng, 30) + text)))
+    got = D.contaminated(documents(spark, docs), bench(spark, items)).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == plain(docs, items) == {(d, d % 100) for d, _ in docs}
