@@ -6,7 +6,10 @@ benchmark is counted over the whole corpus; every one that a document holds is a
 seed, however common, so an unedited run of ``NGRAM`` words always holds one. Where
 the words around the hits could reach the score (an upper bound, so nothing is lost),
 the document is aligned with the part; a local alignment that reaches ``MIN_SCORE`` of
-the part's full score is a leak.
+the part's full score is a leak. So is a passage of an item, however long the item:
+``PASSAGE_WORDS`` words in a row, or longer runs with ``PASSAGE_EDIT`` more words for
+each edit. Items of several parts also have parts across their cuts, so a passage of
+up to half a part lies whole in one.
 
 The benchmark is measured and worked off in blocks of at most ``MAX_BLOCK_BYTES`` of
 text, so what is sent to the executors is bounded at any size. Documents stay where
@@ -31,6 +34,8 @@ PART_WORDS = 200
 MIN_WORDS = 8
 MIN_SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, 1
+PASSAGE_WORDS = 13
+PASSAGE_EDIT = 3
 SLACK = 0.25
 MAX_BLOCK_BYTES = 16 << 20
 CACHE_WORDS = 100_000
@@ -52,12 +57,14 @@ def words_of(text: str | None) -> list[str]:
 
 
 def parts_of(words: list[str]) -> list[list[str]]:
-    """Equal parts of at most ``PART_WORDS`` words; nothing from fewer than ``MIN_WORDS``."""
+    """Equal parts of at most ``PART_WORDS`` words, then those from middle to middle of
+    neighbours; nothing from fewer than ``MIN_WORDS``."""
     if len(words) < MIN_WORDS:
         return []
     n = -(-len(words) // PART_WORDS)
     cuts = [len(words) * i // n for i in range(n + 1)]
-    return [words[a:b] for a, b in zip(cuts, cuts[1:])]
+    middles = [(a + b) // 2 for a, b in zip(cuts, cuts[1:])]
+    return [words[a:b] for ends in (cuts, middles) for a, b in zip(ends, ends[1:])]
 
 
 class _Ids(dict):
@@ -87,6 +94,7 @@ class Block:
     parts: list[np.ndarray]
     codes: np.ndarray
     # Of n-gram c the seeds [starts[c], starts[c + 1]): part and place in it.
+    lengths: np.ndarray | None = None
     starts: np.ndarray | None = None
     seed_part: np.ndarray | None = None
     seed_place: np.ndarray | None = None
@@ -136,7 +144,8 @@ class Block:
 
     def choose_seeds(self, frequency: np.ndarray) -> None:
         """Every n-gram of each part that a text holds."""
-        sizes = [max(0, len(p) - NGRAM + 1) for p in self.parts]
+        self.lengths = np.array([len(p) for p in self.parts])
+        sizes = np.maximum(0, self.lengths - NGRAM + 1)
         index = np.searchsorted(self.codes, np.concatenate([self.grams(p) for p in self.parts]))
         part = np.repeat(np.arange(len(sizes)), sizes)
         place = np.concatenate([np.arange(n) for n in sizes])
@@ -164,40 +173,37 @@ class Block:
                 out[t] = self.leaks(ids[start : ends[t]], at - start, grams)
         return out
 
-    def windows(self, size: int, places: np.ndarray, grams: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(part, low, high) of the stretches of a text of ``size`` words around the seeds
-        at places; those of a part that overlap are one."""
+    def windows(self, size: int, places: np.ndarray, grams: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(part, low, high, seeds) of the stretches of a text of ``size`` words around the
+        seeds at places; those of a part that overlap are one."""
         many = self.starts[grams + 1] - self.starts[grams]
         seed = np.repeat(self.starts[grams] - np.cumsum(many) + many, many) + np.arange(many.sum())
         part = self.seed_part[seed]
         begin = np.repeat(places, many) - self.seed_place[seed]
         order = np.lexsort((begin, part))
         part, begin = part[order], begin[order]
-        length = np.array([len(p) for p in self.parts])[part]
+        length = self.lengths[part]
         slack = (length * SLACK).astype(np.int64) + 2
         low, high = np.maximum(0, begin - slack), np.minimum(size, begin + length + slack)
         first = np.ones(len(part), bool)
         first[1:] = (part[1:] != part[:-1]) | (low[1:] > high[:-1])
         at = np.nonzero(first)[0]
-        last = np.r_[at[1:], len(part)][: len(at)] - 1
-        return zip(part[at].tolist(), low[at].tolist(), high[last].tolist())
+        past = np.r_[at[1:], len(part)][: len(at)]
+        return zip(part[at].tolist(), low[at].tolist(), high[past - 1].tolist(), (past - at).tolist())
 
     def leaks(self, ids: np.ndarray, places: np.ndarray, grams: np.ndarray) -> list[dict]:
         """The best alignment of each item that reaches the score, by item, from n-grams at places."""
         best: dict[int | None, dict] = {}
-        for p, low, high in self.windows(len(ids), places, grams):
+        for p, low, high, seeds in self.windows(len(ids), places, grams):
             part, inside = self.parts[p], ids[low:high]
-            if not reachable(part, inside):
-                continue
-            score, matched, start, end = align(part, inside)
-            found = score / (MATCH * len(part))
-            if found >= MIN_SCORE and matched >= min(MIN_WORDS, len(part)):
-                old = best.get(self.items[p])
-                if old is None or found > old["score"]:
-                    best[self.items[p]] = {
-                        "item_id": self.items[p], "score": found, "words": matched,
-                        "start_word": low + start, "end_word": low + end,
-                    }
+            found = leak_of(part, inside, seeds)
+            old = best.get(self.items[p])
+            if found and (old is None or found[0] > old["score"]):
+                score, matched, start, end = found
+                best[self.items[p]] = {
+                    "item_id": self.items[p], "score": score, "words": matched,
+                    "start_word": low + start, "end_word": low + end,
+                }
         return [best[i] for i in sorted(best, key=lambda i: (i is None, i or 0))]
 
 
@@ -209,26 +215,45 @@ def reachable(part: np.ndarray, text: np.ndarray) -> bool:
     return MATCH * (held[span:] - held[: len(held) - span]).max() >= MIN_SCORE * MATCH * len(part)
 
 
-def align(part: np.ndarray, text: np.ndarray) -> tuple[float, int, int, int]:
+def leak_of(part: np.ndarray, text: np.ndarray, seeds: int) -> tuple[float, int, int, int] | None:
+    """(share of the part's full score, matched words, start, end) of the leak in a text
+    that holds so many seeds of the part: the whole part, edited or not, else a passage."""
+    full = MATCH * len(part)
+    if reachable(part, text):
+        score, matched, start, end = align(part, text)
+        if score >= MIN_SCORE * full and matched >= min(MIN_WORDS, len(part)):
+            return score / full, matched, start, end
+    # A passage has PASSAGE_EDIT words more for each edit, which parts it into one run more.
+    if seeds >= PASSAGE_WORDS - NGRAM + 1:
+        score, matched, start, end = align(part, text, 1, -PASSAGE_EDIT, PASSAGE_EDIT)
+        if score >= PASSAGE_WORDS:
+            edits = (matched - score) / PASSAGE_EDIT
+            return (MATCH * matched - GAP * edits) / full, matched, start, end
+    return None
+
+
+def align(
+    part: np.ndarray, text: np.ndarray, match: int = MATCH, mismatch: int = MISMATCH, gap: int = GAP
+) -> tuple[float, int, int, int]:
     """Smith-Waterman with linear gaps: (score, matched words, start, end) of the best
     local alignment in ``text``. A row is one vector step: the gaps along it are a
     running maximum."""
     n, m = len(part), len(text)
-    slope = GAP * np.arange(m + 1)
+    slope = gap * np.arange(m + 1)
     h = np.zeros((n + 1, m + 1), np.int32)
     for i in range(1, n + 1):
         row = np.zeros(m + 1, np.int32)
-        pair = np.where(text == part[i - 1], MATCH, MISMATCH)
-        row[1:] = np.maximum(0, np.maximum(h[i - 1, :-1] + pair, h[i - 1, 1:] - GAP))
+        pair = np.where(text == part[i - 1], match, mismatch)
+        row[1:] = np.maximum(0, np.maximum(h[i - 1, :-1] + pair, h[i - 1, 1:] - gap))
         h[i] = np.maximum.accumulate(row + slope) - slope
     i, j = np.unravel_index(int(h.argmax()), h.shape)
     score, end, matched = int(h[i, j]), int(j), 0
     while i and j and h[i, j] > 0:
         same = part[i - 1] == text[j - 1]
-        if h[i, j] == h[i - 1, j - 1] + (MATCH if same else MISMATCH):
+        if h[i, j] == h[i - 1, j - 1] + (match if same else mismatch):
             matched += bool(same)
             i, j = i - 1, j - 1
-        elif h[i, j] == h[i - 1, j] - GAP:
+        elif h[i, j] == h[i - 1, j] - gap:
             i -= 1
         else:
             j -= 1

@@ -109,3 +109,23 @@ def test_copies_with_every_few_words_changed(spark):
                 docs.append((100 + i, " ".join(words(rng, 30) + text)))
     got = D.contaminated(documents(spark, docs), bench(spark, items)).collect()
     assert {(r.doc_id, r.item_id) for r in got} == plain(docs, items) == {(d, d % 100) for d, _ in docs}
+
+
+def leaks_of(items, texts):
+    """The item ids that each text holds."""
+    block = D.Block.of(items)
+    ids, ends = block.ids(texts, D._Ids(block.vocabulary))
+    block.choose_seeds(block.frequencies(ids, ends))
+    return [[leak["item_id"] for leak in found] for found in block.find(ids, ends)]
+
+
+def test_passages_of_long_items():
+    rng = np.random.default_rng(4)
+    long = {n: [f"l{n}w{j}" for j in range(n)] for n in (59, 200, 390)}
+    items = [(n, " ".join(text)) for n, text in long.items()]
+    edited = [w if j != 12 else "changed" for j, w in enumerate(long[59][20:45])]
+    passages = [long[59][20:45], long[200][60:150], long[200][:13], long[390][185:205], edited]
+    texts = [" ".join(words(rng, 40) + p + words(rng, 40)) for p in passages]
+    assert leaks_of(items, texts) == [[59], [200], [200], [390], [59]]
+    # Fewer words, and scattered ones, are no passage.
+    assert leaks_of(items, [" ".join(long[200][:12]), " ".join(long[200][j] for j in range(200) if j % 8 < 3)]) == [[], []]
