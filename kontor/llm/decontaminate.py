@@ -1,13 +1,15 @@
 """Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Words are compared in lower case without punctuation. Items are cut into parts of
-at most ``PART_WORDS`` words. First the document frequency of every n-gram of the
+Words are compared in lower case without punctuation; in scripts without spaces between
+words each character is one. Items are cut into parts of at most ``PART_WORDS`` words.
+Items of fewer than ``MIN_WORDS`` words are leaks only as whole word sequences; of fewer
+than ``LEAST_WORDS`` they match nothing. First the document frequency of every n-gram of the
 benchmark is counted over the whole corpus; every one that a document holds is a
 seed, however common, so an unedited run of ``NGRAM`` words always holds one. Where
 the words around the hits could reach the score (an upper bound, so nothing is lost),
 the document is aligned with the part; a local alignment that reaches ``MIN_SCORE`` of
 the part's full score is a leak. So is a passage of an item, however long the item:
-``PASSAGE_WORDS`` words in a row, or longer runs with ``PASSAGE_EDIT`` more words for
+``PASSAGE_WORDS`` words in a row (twice as many characters without spaces), or longer runs with ``PASSAGE_EDIT`` more words for
 each edit. Items of several parts also have parts across their cuts, so a passage of
 up to half a part lies whole in one.
 
@@ -32,6 +34,7 @@ from kontor.llm.common import fresh, per_row, settle
 NGRAM = 3
 PART_WORDS = 200
 MIN_WORDS = 8
+LEAST_WORDS = 4
 MIN_SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, 1
 PASSAGE_WORDS = 13
@@ -44,22 +47,32 @@ GROUP_ROWS = 512
 GROUP_CHARS = 1 << 20
 
 _PUNCTUATION = re.compile(r"\W+")
+# Thai, Lao, Tibetan, Burmese, Khmer, kana, Bopomofo, Han.
+_UNSPACED = re.compile(
+    "([\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u312f\u31f0-\u31ff\u3400-\u4dbf"
+    "\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff])"
+)
 
 LEAKS = (
     "array<struct<item_id: bigint, score: double, words: int, start_word: int, end_word: int>>"
 )
 
 
+def _raw_words(text: str | None) -> list[str]:
+    text = (text or "").lower()
+    return (text if text.isascii() else _UNSPACED.sub(r" \1 ", text)).split()
+
+
 def words_of(text: str | None) -> list[str]:
-    """The words compared: cut at white space, lower case, without punctuation; words
-    of punctuation alone don't count."""
-    return [w for w in (_PUNCTUATION.sub("", x) for x in (text or "").lower().split()) if w]
+    """The words compared: cut at white space and around characters of scripts without it,
+    lower case, without punctuation; words of punctuation alone don't count."""
+    return [w for w in (_PUNCTUATION.sub("", x) for x in _raw_words(text)) if w]
 
 
 def parts_of(words: list[str]) -> list[list[str]]:
     """Equal parts of at most ``PART_WORDS`` words, then those from middle to middle of
-    neighbours; nothing from fewer than ``MIN_WORDS``."""
-    if len(words) < MIN_WORDS:
+    neighbours; nothing from fewer than ``LEAST_WORDS``."""
+    if len(words) < LEAST_WORDS:
         return []
     n = -(-len(words) // PART_WORDS)
     cuts = [len(words) * i // n for i in range(n + 1)]
@@ -92,6 +105,7 @@ class Block:
     vocabulary: dict[str, int]
     items: list[int | None]
     parts: list[np.ndarray]
+    passages: list[int]
     codes: np.ndarray
     # Of n-gram c the seeds [starts[c], starts[c + 1]): part and place in it.
     lengths: np.ndarray | None = None
@@ -102,12 +116,14 @@ class Block:
     @staticmethod
     def of(rows: list[tuple[int | None, str | None]]) -> Block:
         vocabulary: dict[str, int] = {}
-        items, parts = [], []
+        items, parts, passages = [], [], []
         for item, text in sorted({(i, t or "") for i, t in rows}, key=lambda r: (r[0] is None, r[0] or 0, r[1])):
             for part in parts_of(words_of(text)):
                 items.append(item)
+                single = sum(_UNSPACED.fullmatch(w) is not None for w in part)
+                passages.append(PASSAGE_WORDS * (2 if 2 * single > len(part) else 1))
                 parts.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in part], np.int64))
-        block = Block(vocabulary, items, parts, np.zeros(0, np.int64))
+        block = Block(vocabulary, items, parts, passages, np.zeros(0, np.int64))
         if parts:
             block.codes = np.unique(np.concatenate([block.grams(p) for p in parts]))
         return block
@@ -127,7 +143,7 @@ class Block:
         """(word ids of the texts one after another, each ended by -3; places of the ends)."""
         raw: list[str] = []
         for text in texts:
-            raw += (text or "").lower().split()
+            raw += _raw_words(text)
             raw.append("")
         ids = np.fromiter(map(cache.__getitem__, raw), np.int64, len(raw))
         ids = ids[ids != -2]
@@ -196,7 +212,7 @@ class Block:
         best: dict[int | None, dict] = {}
         for p, low, high, seeds in self.windows(len(ids), places, grams):
             part, inside = self.parts[p], ids[low:high]
-            found = leak_of(part, inside, seeds)
+            found = leak_of(part, inside, seeds, self.passages[p])
             old = best.get(self.items[p])
             if found and (old is None or found[0] > old["score"]):
                 score, matched, start, end = found
@@ -207,26 +223,30 @@ class Block:
         return [best[i] for i in sorted(best, key=lambda i: (i is None, i or 0))]
 
 
-def reachable(part: np.ndarray, text: np.ndarray) -> bool:
-    """Whether an alignment can reach ``MIN_SCORE``: it spans at most twice the part's
+def reachable(part: np.ndarray, text: np.ndarray, least: float) -> bool:
+    """Whether an alignment can reach a score of at least ``MIN_SCORE`` of the full: it spans at most twice the part's
     words, as more gaps than matches beyond half the part cost too much."""
     held = np.cumsum(np.r_[0, np.isin(text, part)])
     span = min(len(text), 2 * len(part))
-    return MATCH * (held[span:] - held[: len(held) - span]).max() >= MIN_SCORE * MATCH * len(part)
+    return MATCH * (held[span:] - held[: len(held) - span]).max() >= least
 
 
-def leak_of(part: np.ndarray, text: np.ndarray, seeds: int) -> tuple[float, int, int, int] | None:
+def leak_of(
+    part: np.ndarray, text: np.ndarray, seeds: int, passage: int = PASSAGE_WORDS
+) -> tuple[float, int, int, int] | None:
     """(share of the part's full score, matched words, start, end) of the leak in a text
-    that holds so many seeds of the part: the whole part, edited or not, else a passage."""
+    that holds so many seeds of the part: the whole part, edited or not (as it is below
+    ``MIN_WORDS``), else a passage of at least so many words."""
     full = MATCH * len(part)
-    if reachable(part, text):
+    least = full * (MIN_SCORE if len(part) >= MIN_WORDS else 1)
+    if reachable(part, text, least):
         score, matched, start, end = align(part, text)
-        if score >= MIN_SCORE * full and matched >= min(MIN_WORDS, len(part)):
+        if score >= least and matched >= min(MIN_WORDS, len(part)):
             return score / full, matched, start, end
     # A passage has PASSAGE_EDIT words more for each edit, which parts it into one run more.
-    if seeds >= PASSAGE_WORDS - NGRAM + 1:
+    if seeds >= passage - NGRAM + 1:
         score, matched, start, end = align(part, text, 1, -PASSAGE_EDIT, PASSAGE_EDIT)
-        if score >= PASSAGE_WORDS:
+        if score >= passage:
             edits = (matched - score) / PASSAGE_EDIT
             return (MATCH * matched - GAP * edits) / full, matched, start, end
     return None
@@ -315,7 +335,7 @@ def with_leaks(
     """``docs`` with the array ``name`` of the items that each text holds: item_id, score
     (share of the full alignment score), matching words, first and past-the-last word.
 
-    Null and empty texts, and items of fewer than ``MIN_WORDS`` words, match nothing; a
+    Null and empty texts, and items of fewer than ``LEAST_WORDS`` words, match nothing; a
     repeated item counts once, several texts of one item_id are one item with the best
     score. Without benchmark all arrays are empty; without documents there are no rows.
     """

@@ -129,3 +129,14 @@ def test_passages_of_long_items():
     assert leaks_of(items, texts) == [[59], [200], [200], [390], [59]]
     # Fewer words, and scattered ones, are no passage.
     assert leaks_of(items, [" ".join(long[200][:12]), " ".join(long[200][j] for j in range(200) if j % 8 < 3)]) == [[], []]
+
+
+def test_short_items_and_texts_without_spaces():
+    line = "月が昇り静かな湖の上を白い鳥が渡って行った。"
+    other = "海辺の町では朝から市が立ち人々が集まる"
+    items = [(1, "who wrote the old song?"), (2, line), (3, "天空为什么是蓝色"), (4, "名前は何")]
+    texts = [
+        "So: who wrote, the old song and why", "who wrote the new old song", "前文" + line[:10] + line[11:] + other,
+        "问题:天空为什么是蓝色的", "君の名前は何ですか", other, "名前は彼何",
+    ]
+    assert leaks_of(items, texts) == [[1], [], [2], [3], [4], [], []]
