@@ -2,15 +2,17 @@
 
 Base spans are the strict formats (with their checks: octets, Luhn, digit counts);
 they are always selected. Around them generators propose looser, overlapping
-candidates: obfuscated or non-ASCII mail addresses, numbers with any separators as
-phones or cards, spaced or hexadecimal addresses. Gradient boosted trees judge each
+candidates: obfuscated or non-ASCII mail addresses, numbers with any separators and
+the neighbouring groups of digits inside them as phones or cards, spaced or hexadecimal
+addresses. Gradient boosted trees judge each
 candidate by its format and its context; per kind, the lowest calibrated probability
 that reaches ``PRECISION`` on held-back rows is the threshold. Of overlapping
 candidates the most probable is selected; none that meets a base span.
 
 The trees learn from the corpus itself, without labels: from a bounded sample of
 documents, base spans and loosened copies of them in their own context are positive,
-candidates that fail their kind's check and spoiled copies are negative. Without any
+candidates that fail their kind's check, spoiled copies and candidates that cut a
+loosened copy or reach into the number beside it are negative. Without any
 base span in the sample nothing is added.
 """
 
@@ -33,10 +35,16 @@ FIT_ROWS = 20_000
 PRECISION = 0.98
 MIN_HELD_BACK = 10
 CONTEXT = 24
+# Wrong cuts of one example that are learnt from.
+CUTS = 4
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DIGIT = re.compile(r"[0-9]")
+_GROUP = re.compile(r"[0-9]+")
+# A digit beside a span, behind separators of numbers.
+_DIGIT_BEFORE = re.compile(r"[0-9][ ().\-/+]{0,3}\Z")
+_DIGIT_AFTER = re.compile(r"[ ().\-/+]{0,3}[0-9]")
 # The first digit of a run starts a match if any digit of it does.
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
@@ -111,6 +119,23 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
+def _numbers(text: str, begin: int, end: int) -> Iterator[Span]:
+    """Every run of neighbouring groups of digits that has as many as a phone or a card."""
+    groups = [m.span() for m in _GROUP.finditer(text, begin, end)]
+    for i, (first, _) in enumerate(groups):
+        start = first - (first > 0 and text[first - 1] in "+(")
+        start -= start > 0 and text[start - 1] == "+"
+        n = 0
+        for a, b in groups[i:]:
+            n += b - a
+            if n > 19:
+                break
+            if 7 <= n <= 15:
+                yield ("phone", start, b)
+            if n >= 13:
+                yield ("card", first, b)
+
+
 def candidates(text: str) -> list[Span]:
     """Loose spans of every kind; they overlap each other and the base spans."""
     out: set[Span] = set()
@@ -120,13 +145,7 @@ def candidates(text: str) -> list[Span]:
         out |= {("email", *m.span()) for m in _OBFUSCATED.finditer(text)}
     if _DIGIT.search(text):
         for m in _NUMBER.finditer(text):
-            n = len(_digits(m[0]))
-            start = m.start() - (m.start() > 0 and text[m.start() - 1] in "+(")
-            start -= start > 0 and text[start - 1] == "+"
-            if 7 <= n <= 15:
-                out.add(("phone", start, m.end()))
-            if 13 <= n <= 19:
-                out.add(("card", *m.span()))
+            out.update(_numbers(text, m.start(), m.end()))
         out |= {("ip", *m.span()) for m in _SPACED_IP.finditer(text)}
         if ":" in text:
             out |= {("ip", *m.span()) for m in _HEX_IP.finditer(text)}
@@ -165,6 +184,8 @@ def features(text: str, span: Span) -> list[float]:
         float(any(c in words[-3:] for c in CUES[kind])),
         float(any(c in words[-3:] for c in REJECTS)),
         float("=" in before[-3:] or '"' in before[-3:]),
+        float(bool(_DIGIT_BEFORE.search(before))),
+        float(bool(_DIGIT_AFTER.match(after))),
     ]
 
 
@@ -210,9 +231,30 @@ def examples(text: str) -> list[tuple[list[float], int]]:
             for form in forms:
                 made = text[low:a] + form + text[b:high]
                 out.append((features(made, (kind, a - low, a - low + len(form))), label))
+        if kind in ("card", "phone"):
+            for form in (text[a:b], *_loosened(kind, text[a:b])):
+                out += _beside(kind, text[low:a], form, base, text, text[b:high])
     return out
 
 
+def _beside(kind: str, before: str, form: str, base: list[Span], text: str, after: str) -> Iterator[tuple[list[float], int]]:
+    """A number alone, and before and behind another of its text or a date, with the
+    candidates that cut it wrong; its digits within a code."""
+    others = [text[a:b] for k, a, b in base if k != "email" and text[a:b] != form][:1]
+    for left, right in (("", ""), *[x for o in (*others, "2024-05-17") for x in ((o + " ", ""), ("", " " + o))]):
+        made, start = before + left + form + right + after, len(before) + len(left)
+        own = (kind, start, start + len(form))
+        yield features(made, own), 1
+        wrong = [s for s in candidates(made) if s != own and s[1] < own[2] and own[1] < s[2]]
+        # The same number of another kind's length is left to that kind.
+        wrong = [s for s in wrong if _digits(made[s[1] : s[2]]) != _digits(form)]
+        for s in wrong[:: -(-len(wrong) // CUTS) or 1]:
+            yield features(made, s), 0
+    for digits in (_digits(form), _digits(form)[-10:]):  # within a code of digits and letters
+        made, start = f"{before}5c9b{digits}e04d{after}", len(before) + 4
+        yield features(made, (kind, start, start + len(digits))), 0
+
+
 @dataclass(frozen=True)
 class Model:
     boosted: boosting.Boosted | None = None

@@ -84,3 +84,14 @@ def test_spans_and_redaction_of_odd_rows(spark):
 def test_overlapping_spans_are_masked_once():
     spans = [{"kind": "card", "start": 2, "end": 8}, {"kind": "phone", "start": 4, "end": 10}]
     assert pii._masked("ab12345678cd", spans) == "ab[CARD]cd"
+
+
+def test_neighbouring_numbers_do_not_hide_each_other(spark):
+    model = pii.fit(documents(spark, corpus()))
+    cards, phone = ("7536784127813050", "4845168114407329"), "+1 (826) 555-4081"
+    assert all(pii.luhn(c) for c in cards)
+    cases = [(f"paid with {cards[0]} {cards[1]} today", [("card", c) for c in cards])]
+    cases += [(f"call {phone} {x} now", [("phone", phone)]) for x in ("190.137.223.204", "2024-05-17")]
+    for text, want in cases:
+        got = {(s["kind"], text[s["start"] : s["end"]]) for s in model.spans(text)}
+        assert got >= set(want), (text, got)
