@@ -50,10 +50,11 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-_OBFUSCATED = re.compile(
-    r"(?i)[a-z0-9._%+-]+\s?(?:@|[(\[{]\s?at\s?[)\]}]|\sat\s)\s?[a-z0-9-]+"
-    r"(?:\s?(?:\.|[(\[{]\s?dot\s?[)\]}]|\sdot\s)\s?[a-z0-9-]+)+"
-)
+_AT = re.compile(r"(?i)\s?(?:@|[(\[{]\s?at\s?[)\]}]|\sat(?=\s))\s?")
+# A domain name has at most 127 labels.
+_LOOSE_DOMAIN = re.compile(r"(?i)[a-z0-9-]+(?:\s?(?:\.|[(\[{]\s?dot\s?[)\]}]|\sdot\s)\s?[a-z0-9-]+){1,126}")
+_BRACKETED_AT = re.compile(r"(?i)[(\[{]\s?at\s?[)\]}]")
+_SPELLED_DOT = re.compile(r"(?i)\bdot\b")
 _ANY_MAIL = re.compile(r"[^\s@<>\"'(),;:]+@[^\s@<>\"'(),;:]+")
 _NUMBER = re.compile(r"(?<![0-9])[0-9][0-9 ().\-/]{5,}[0-9]")
 _SPACED_IP = re.compile(r"(?<![0-9])[0-9]{1,3}(?:\s?[.]\s?[0-9]{1,3}){3}(?![0-9])")
@@ -136,13 +137,23 @@ def _numbers(text: str, begin: int, end: int) -> Iterator[Span]:
                 yield ("card", first, b)
 
 
+def _loose_emails(text: str) -> Iterator[Span]:
+    """Every ``@``, bracketed or spaced "at" between local characters and a domain."""
+    for m in _AT.finditer(text):
+        start = m.start()
+        while start > 0 and text[start - 1] in _LOCAL:
+            start -= 1
+        domain = _LOOSE_DOMAIN.match(text, m.end()) if start < m.start() else None
+        if domain:
+            yield ("email", start, domain.end())
+
+
 def candidates(text: str) -> list[Span]:
     """Loose spans of every kind; they overlap each other and the base spans."""
     out: set[Span] = set()
     if "@" in text:
         out |= {("email", *m.span()) for m in _ANY_MAIL.finditer(text)}
-    if "dot" in text.lower():
-        out |= {("email", *m.span()) for m in _OBFUSCATED.finditer(text)}
+    out.update(_loose_emails(text))
     if _DIGIT.search(text):
         for m in _NUMBER.finditer(text):
             out.update(_numbers(text, m.start(), m.end()))
@@ -186,15 +197,29 @@ def features(text: str, span: Span) -> list[float]:
         float("=" in before[-3:] or '"' in before[-3:]),
         float(bool(_DIGIT_BEFORE.search(before))),
         float(bool(_DIGIT_AFTER.match(after))),
+        float(bool(_BRACKETED_AT.search(body))),
+        float(bool(_SPELLED_DOT.search(body))),
+        float(any(not c.isalpha() for c in re.split(r"[\s@(\[{]", body, maxsplit=1)[0])),
     ]
 
 
+def _letters(mail: str) -> str:
+    """A mail address without its digits, which addresses of one corpus often share."""
+    return _DIGIT.sub("", mail)
+
+
 def _loosened(kind: str, body: str) -> list[str]:
     """Forms of a base span that the strict patterns miss."""
     d = _digits(body)
     if kind == "email":
         local, _, domain = body.partition("@")
-        return [f"{local} (at) {domain.replace('.', ' dot ')}", f"{local}[at]{domain}"]
+        spelled = domain.replace(".", " dot ")
+        return [
+            f"{local} (at) {spelled}", f"{local}[at]{domain}", f"{local} [at] {domain}", f"{local} (at) {domain}",
+            f"{local}@ {domain}", f"{local} at {spelled}", *(_letters(f) for f in (
+                f"{local}[at]{domain}", f"{local} [at] {domain}", f"{local} (at) {domain}", f"{local}@ {domain}",
+                f"{local} at {spelled}")),
+        ]
     if kind == "ip":
         return [body.replace(".", " . ")]
     if kind == "card":
@@ -206,7 +231,9 @@ def _spoiled(kind: str, body: str) -> list[str]:
     """Look-alikes that are no personal data: failed checks, dates, versions, codes."""
     d = _digits(body)
     if kind == "email":
-        return [body.replace("@", "@ ").replace(".", " "), "@" + body.partition("@")[0]]
+        local, _, domain = body.partition("@")
+        prose = [f"look at {domain}", f"us at {_letters(domain)}", "meet at noon. Then"]
+        return [body.replace("@", "@ ").replace(".", " "), "@" + local, *prose]
     if kind == "ip":
         return [re.sub(r"^[0-9]+", "999", body), re.sub(r"[0-9]+$", "0-2", body)]
     if kind == "card":

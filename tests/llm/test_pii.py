@@ -95,3 +95,16 @@ def test_neighbouring_numbers_do_not_hide_each_other(spark):
     for text, want in cases:
         got = {(s["kind"], text[s["start"] : s["end"]]) for s in model.spans(text)}
         assert got >= set(want), (text, got)
+
+
+def test_obfuscated_mail_without_the_word_dot(spark):
+    model = pii.fit(documents(spark, corpus()))
+    forms = [*pii._loosened("email", "john.smith7@example.com"), "john.smith7@ example.com", "john (at) example.com"]
+    for form in forms:
+        text = f"please write to {form} or wait"
+        assert ("email", 16, 16 + len(form)) in pii.candidates(text)
+        assert form in [text[s["start"] : s["end"]] for s in model.spans(text)], form
+    for clean in ("please look at example.com today", "we sat at home. Then we left", "meet us at noon. Bring food"):
+        assert model.spans(clean) == [], clean
+    for text in ("a" * 200_000 + " at", "a at " * 40_000, " at a." * 40_000, "x . at " * 20_000):
+        pii.candidates(text)
