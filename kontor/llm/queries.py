@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from kontor.llm import chat, decontaminate, embeddings, merkle, mixing, pii, quality, simhash, tokens, urls
+from kontor.llm import bpe, chat, decontaminate, embeddings, merkle, mixing, pii, quality, repair, simhash, tokens, urls, whitening
 from kontor.llm.common import table
 
 
@@ -163,6 +163,47 @@ FROM ruled
 """
 
 
+def op11_bpe(spark: SparkSession, d: str) -> DataFrame:
+    encoded = bpe.with_ids(table(spark, d, "documents").select("doc_id", "text"))
+    read = bpe.with_texts(encoded, text="decoded", keep_ids=True)
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return read.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(listed, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_whitening(spark: SparkSession, d: str) -> DataFrame:
+    vectors = table(spark, d, "embeddings").select("vec_id", "embedding")
+    return whitening.whitened_components(vectors).withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
+def faulty(conversations: DataFrame) -> DataFrame:
+    """Conversations with damage in known places, by the CRC-32 of id and turn: in one row of
+    20 each, the row is gone, its text is empty, its ends of sentences are missing, it is
+    there twice, or its role is user. Nulls become a space; ``gone`` marks what was dropped."""
+    space = F.lit(" ")
+    named = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")])
+    lot = F.crc32(named) % 20
+    text, role = F.coalesce("text", space), F.coalesce("role", space)
+    bare = F.translate(text, ".!?", "")
+    copies = F.when(lot == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return conversations.select(
+        "conv_id",
+        "turn",
+        F.when(lot == 4, F.lit("user")).otherwise(role).alias("role"),
+        F.when(lot == 1, F.lit("")).when(lot == 2, bare).otherwise(text).alias("text"),
+        (lot == 0).alias("gone"),
+        F.explode(copies).alias("copy"),
+    ).drop("copy")
+
+
+def op13_repair(spark: SparkSession, d: str) -> DataFrame:
+    return repair.audits(faulty(table(spark, d, "conversations")), gone=F.col("gone"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_merkle_audit": op1_merkle_audit,
@@ -175,6 +216,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_embeddings": op8_embeddings,
         "op9_decontaminate": op9_decontaminate,
         "op10_url_filter": op10_url_filter,
+        "op11_bpe": op11_bpe,
+        "op12_whitening": op12_whitening,
+        "op13_repair": op13_repair,
         "pipeline": corpus_pipeline.run,
     }
 

@@ -1,0 +1,92 @@
+import hashlib
+
+import public_tokenizers
+import pytest
+from helpers_llm import clashing, documents
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from kontor.llm import bpe
+from kontor.llm.queries import op11_bpe
+
+LIBRARY = Tokenizer.from_file(public_tokenizers.path(bpe.MODEL))
+PARTS = [
+    " ", "  ", "\n", "\r\n", "\t", "'", "'s", "'re", " 's", "!'s", "£'s", "''t", "é", "è ", "ß", "中文", "日本語", "😀",
+    "\x00", "\x1c", "\x85", " ", " ", " ", "　", "​", "<|endoftext|>", "<|endoftext", "a", "aa",
+    "the", " the", "ing", "0", "123", "½", "ⅷ", "--", "...", "_", "ﬁ", "é", "࢏", "\U00010940", "x" * 60, "= " * 30,
+]
+
+
+def wanted(text):
+    return LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(PARTS), max_size=30).map("".join) | st.text(max_size=80))
+def test_ids_and_texts_equal_the_library(text):
+    text = text.encode("utf-8", "ignore").decode()
+    ids = bpe.codec().encode(text)
+    assert ids.tolist() == wanted(text)
+    assert bpe.codec().decode(ids) == LIBRARY.decode(ids.tolist(), skip_special_tokens=False) == text
+
+
+def test_every_code_point_between_neighbours():
+    own = bpe.codec()
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 8192):
+        texts = [f"a{chr(c)}b {chr(c)}1{chr(c)}'s" for c in points[at : at + 8192]]
+        found = [own.encode(t).tolist() for t in texts]
+        assert found == [e.ids for e in LIBRARY.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_no_token_holds_a_forced_pair_and_cuts_are_forced():
+    own = bpe.codec()
+    for token in own.id_of:
+        assert not any(own.forced[a << 8 | b] for a, b in zip(token, token[1:]))
+    assert (own.cuts <= own.forced).all() and own.cuts.any()
+
+
+@pytest.mark.parametrize("text", ["a" * 100_000, " " * 50_000, "ab" * 50_000, "中" * 20_000, "word, " * 30_000])
+def test_long_texts_and_small_windows(text, monkeypatch):
+    assert bpe.codec().encode(text).tolist() == wanted(text)
+    monkeypatch.setattr(bpe, "WINDOW", 1000)
+    monkeypatch.setattr(bpe, "MAX_KNOWN", 3)
+    assert bpe.Codec(public_tokenizers.path(bpe.MODEL)).encode(text).tolist() == wanted(text)
+
+
+def test_decoding_of_odd_ids():
+    own = bpe.codec()
+    half = own.encode("é€")[:1].tolist()
+    for ids in ([], half, [50256, 64, 50256], [220, 220]):
+        assert own.decode(ids) == LIBRARY.decode(ids, skip_special_tokens=False)
+    assert own.decode(None) == "" and own.decode([10**6, 64]) == own.decode([64])
+
+
+def test_models_with_other_rules_are_refused():
+    with pytest.raises(ValueError):
+        bpe.Codec(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def test_query(spark, scratch):
+    texts = ["hello world", "hello world", None, "", "é<|endoftext|>é", "word " * 20_000, "\x00"]
+    documents(spark, [(i if i else None, t) for i, t in enumerate(texts)]).write.parquet(f"{scratch}/documents.parquet")
+
+    def sha(s):
+        return hashlib.sha256(s.encode()).hexdigest()
+
+    ids = {i if i else None: wanted(t or "") for i, t in enumerate(texts)}
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in op11_bpe(spark, scratch).collect()}
+    assert got == {
+        i if i else None: (len(ids[i or None]), sha(",".join(map(str, ids[i or None]))), sha(t or "")) for i, t in enumerate(texts)
+    }
+
+
+def test_other_columns_stay(spark):
+    df = clashing(documents(spark, [(1, "a b"), (1, "a b"), (2, None)]))
+    out = bpe.with_texts(bpe.with_ids(df, ids="block"), ids="block", text="score")
+    assert set(out.columns) == set(df.columns) - {"text", "block"}
+    assert sorted((r.doc_id, r.score) for r in out.collect()) == [(1, "a b"), (1, "a b"), (2, "")]
+    assert bpe.with_ids(documents(spark, [])).collect() == []
+    nulls = spark.createDataFrame([(1, None), (2, [64, None, 65])], "k int, ids array<int>")
+    assert {r.k: r.text for r in bpe.with_texts(nulls).collect()} == {1: "", 2: bpe.codec().decode([64, 65])}
