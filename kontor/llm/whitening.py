@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from kontor.llm.common import fresh, per_row
+from kontor.llm.common import fresh, per_row, values
 
 GRID = 1024
 SHIFT = 100_000
@@ -60,12 +60,13 @@ def gridded(vector: Column) -> Column:
     return F.transform(vector, lambda c: F.floor(F.lit(float(GRID)) * c.cast("double")).cast("bigint") + SHIFT)
 
 
-def whole(lists: list, d: int) -> np.ndarray:
+def whole(rows: list[np.ndarray], d: int) -> np.ndarray:
     """Rows of x; a vector shorter than d counts as ending in zeros."""
-    zero = SHIFT
-    out = np.full((len(lists), d), zero, np.int64)
-    for i, x in enumerate(lists):
-        out[i, : len(x)] = x
+    if rows and all(len(r) == d for r in rows):
+        return np.concatenate(rows).reshape(len(rows), d)
+    out = np.full((len(rows), d), SHIFT, np.int64)
+    for i, r in enumerate(rows):
+        out[i, : len(r)] = r
     return out
 
 
@@ -101,7 +102,7 @@ def _partials(df: DataFrame, fn: Callable[[Iterator[list]], Iterator[dict]], sch
     target = to_arrow_schema(StructType.fromDDL(schema))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists = (b.column(0).slice(at, BLOCK).to_pylist() for b in batches for at in range(0, b.num_rows, BLOCK))
+        lists = (values(b.column(0).slice(at, BLOCK)) for b in batches for at in range(0, b.num_rows, BLOCK))
         rows = list(fn(lists))
         if rows:
             yield pa.RecordBatch.from_pydict({k: [r[k] for r in rows] for k in target.names}, schema=target)
@@ -116,9 +117,7 @@ def sums(x: DataFrame) -> tuple[int, tuple[int, ...]]:
         n, total = 0, []
         for rows in lists:
             n += len(rows)
-            for r in rows:
-                if len(r) > len(total):
-                    total += [0] * (len(r) - len(total))
+            total += [0] * (max(map(len, rows), default=0) - len(total))
             block = whole(rows, len(total)) - SHIFT
             small = int(np.abs(block).max(initial=0)) < 1 << 40
             part = block.sum(axis=0).tolist() if small else block.astype(object).sum(axis=0).tolist()
@@ -178,12 +177,12 @@ def fit(x: DataFrame, components: int = COMPONENTS) -> Fit | None:
     if not d:
         return Fit(n, totals, np.zeros((0, 0)), np.zeros(0), 0.0)
     v = covariance(n, d, pair_squares(x, n, totals))
-    values, vectors = np.linalg.eigh(v)
-    order = np.argsort(-values, kind="stable")[:components]
-    values = values[order]
+    found, vectors = np.linalg.eigh(v)
+    order = np.argsort(-found, kind="stable")[:components]
+    found = found[order]
     # An eigenvalue below the rounding of the largest is a zero.
-    values = np.where(values > d * np.finfo(float).eps * max(float(values[0]), 0.0), values, 0.0)
-    return Fit(n, totals, np.ascontiguousarray(vectors[:, order]), values, float(np.trace(v)))
+    found = np.where(found > d * np.finfo(float).eps * max(float(found[0]), 0.0), found, 0.0)
+    return Fit(n, totals, np.ascontiguousarray(vectors[:, order]), found, float(np.trace(v)))
 
 
 def whiten(df: DataFrame, vector: str = "embedding", components: int = COMPONENTS) -> tuple[DataFrame, Fit | None]:
