@@ -3,26 +3,31 @@
 A plain ``Window.partitionBy("account_id")`` sends every row of an account to one
 task. Here no window ever runs over transactions:
 
-1. the rows are counted per (keys, instant): partial sums on the map side, so a
-   burst of one account, or a single second with very many rows, collapses before
-   the shuffle. The same aggregate keeps the instant's first row in the total
-   order (instant, then the tie-breakers);
-2. running counts over the instants, in two steps: within a day (at most 86,400
-   instants, instants being whole seconds) and over the days of an account. Both
-   window partitions are bounded by the calendar, whatever the account's rows;
+1. the rows are counted per (keys, instant) by hash aggregates over fixed-width values
+   with partial sums on the map side, so a burst of one account, or a single second with
+   very many rows, collapses before the shuffle. The aggregate also finds the least
+   transaction id of an instant, which names its first row;
+2. running counts over the instants, in two steps: within a stretch of 2^24 seconds (``STRETCH_BITS``)
+   and over the stretches of an account. Both window partitions are bounded by the
+   calendar, whatever the account's rows; they and the stretches' totals share one
+   exchange;
 3. one join on (keys, instant) gives each row its numbers. Its small side has one
    row per key, so AQE can split the partition of an instant that holds very many
    rows.
 
 Everything a row needs is a function of its instant: the ever count is the
 running count, a trailing count is the difference of two running counts (the
-other end of the frame is a probe point that takes part in the running count
-with no rows), and the previous row's instant is the row's own instant unless
-the row is the first of its instant. Among equal copies of the first row exactly
-one is first: copies are counted and laid out again, never ordered.
+other end of the frame is a point that takes part in the running count with no
+rows), and the previous row's instant is the row's own instant unless the row is
+the first of its instant. The further tie-breakers are looked at only where an id
+stands twice in an instant: those rows, found before any join, are counted and laid
+out again, never ordered, and exactly one copy is first. Where there are none, AQE
+drops that branch.
 
-Results equal the plain windows (``kontor.functions.windows``), ties and NULL
-instants (ordered first, peers of each other) included.
+Keys and instants that are NULL are given stand-ins beside a mask of what was NULL, so
+that all joins and groups are plain equalities on one partitioning. Results equal the
+plain windows (``kontor.functions.windows``), ties and NULL instants (ordered first,
+peers of each other) included.
 """
 
 from __future__ import annotations
@@ -32,6 +37,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from kontor.functions.columns import SECONDS_PER_DAY, try_long
 from kontor.functions.windows import ACCOUNT_KEYS, TIE_BREAKERS
@@ -48,99 +54,122 @@ DIMENSION_COLUMNS = [
 INSTANT = "txn_requested_at"
 
 
-def _day(instant: Column) -> Column:
-    """Day number; NULL instants are one day of their own, before every other."""
-    return F.floor(instant / F.lit(SECONDS_PER_DAY))
+# A stretch has 2^24 seconds (194 days): a window partition holds as many instants at most.
+STRETCH_BITS = 24
+# Stands for a NULL instant: below every real one.
+NO_INSTANT = -(1 << 62)
 
 
-def _instants(df: DataFrame, keys: Sequence[str], with_first: bool) -> DataFrame:
-    """(keys, _t, _n[, _first]): rows of each instant, and the first in the total order."""
-    aggregates = [F.count(F.lit(1)).alias("_n")]
-    if with_first:  # a struct compares column by column, NULL first
-        aggregates.append(F.min(F.struct(*TIE_BREAKERS)).alias("_first"))
-    return df.groupBy(*keys, F.col(INSTANT).cast("bigint").alias("_t")).agg(*aggregates)
+def _ordered(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    """Numbers before texts: sorting then compares few texts."""
+    return sorted(keys, key=lambda k: not isinstance(df.schema[k].dataType, NumericType))
 
 
-def _running(
-    instants: DataFrame, keys: Sequence[str], windows: dict[str, int]
-) -> DataFrame:
+def _names(keys: Sequence[str]) -> list[str]:
+    return [*[f"_k{i}" for i in range(len(keys))], "_nulls"]
+
+
+def _place(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """Keys, NULL mask and instant of a row as values that are never NULL."""
+
+    def stand_in(name: str) -> Column:
+        kind = df.schema[name].dataType
+        if isinstance(kind, NumericType):
+            return F.coalesce(F.col(name), F.lit(0).cast(kind))
+        return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+    mask = reduce(lambda a, b: a + b, [F.when(F.col(k).isNull(), 1 << i).otherwise(0) for i, k in enumerate(keys)])
+    columns = [*[stand_in(k) for k in keys], mask]
+    instant = F.coalesce(F.col(INSTANT).cast("bigint"), F.lit(NO_INSTANT))
+    return [c.alias(n) for c, n in zip([*columns, instant], [*_names(keys), "_t"])]
+
+
+def _instants(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, _t, _n): rows of each instant."""
+    return df.groupBy(*_place(df, keys)).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _first_of_instants(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, _t, _n, _id, _without, _most): rows of each instant, its least id, how many
+    rows have no id, and how often the commonest id stands there."""
+    own = TIE_BREAKERS[0]
+    by_id = df.groupBy(*_place(df, keys), F.col(own).alias("_id")).agg(F.count(F.lit(1)).alias("_c"))
+    return by_id.groupBy(*_names(keys), "_t").agg(
+        F.sum("_c").alias("_n"),
+        F.min("_id").alias("_id"),
+        F.sum(F.when(F.col("_id").isNull(), F.col("_c")).otherwise(0)).alias("_without"),
+        F.coalesce(F.max("_c"), F.lit(0)).alias("_most"),
+    )
+
+
+def _running(instants: DataFrame, keys: Sequence[str], windows: dict[str, int]) -> DataFrame:
     """``instants`` with ``_ever`` (rows up to the instant), ``_prev`` (the instant before)
     and one column per trailing window."""
-    keys = list(keys)
-    data = instants.select("*", F.col("_t").alias("_at"), F.lit(None).cast("string").alias("_window"))
-    probes = [
-        instants.where(F.col("_t").isNotNull()).select(
-            *keys, "_t", (F.col("_t") - F.lit(int(s) + 1)).alias("_at"), F.lit(name).alias("_window")
-        )
-        for name, s in windows.items()
-    ]
-    points = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), probes, data)
-    points = points.withColumn("_day", _day(F.col("_at")))
-    rows = F.coalesce(F.col("_n"), F.lit(0))
-    own_instant = F.when(F.col("_window").isNull(), F.col("_at"))
-
-    # The days read ``_first`` too (into a column that is always NULL), so that both uses
-    # of the instants need the same columns and share one exchange: one pass less.
-    every = [F.count(c).alias(f"_seen{c}") for c in points.columns if c == "_first"]
-    days = points.groupBy(*keys, "_day").agg(F.sum(rows).alias("_rows"), F.max(own_instant).alias("_last"), *every)
-    earlier = (
-        Window.partitionBy(*keys).orderBy(F.col("_day").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    by = _names(keys)
+    t = F.col("_t")
+    # Kind 0 is the instant, the others the last second before a trailing frame.
+    ends = [t, *[t - F.lit(int(s) + 1) for s in windows.values()]]
+    kinds = [F.struct(e.alias("_at"), F.lit(i).alias("_kind")) for i, e in enumerate(ends)]
+    kept = [c for c in instants.columns if c not in (*by, "_t")]
+    points = instants.select("*", F.inline(F.array(*kinds))) if windows else instants.withColumns(
+        {"_at": t, "_kind": F.lit(0)}
     )
-    days = days.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.col("_day").alias("_k_day"),
+    points = points.withColumn("_stretch", F.shiftright("_at", STRETCH_BITS)).repartition(*by, "_stretch")
+    here = F.col("_kind") == 0
+    rows = F.when(here, F.col("_n")).otherwise(0)
+    own_instant = F.when(here, F.col("_at"))
+
+    # The totals read every column (into one that is always 0), so that both uses of the
+    # points need the same columns and share one exchange.
+    seen = reduce(lambda a, b: a + b, [F.count(c) for c in [*kept, "_t"]])
+    totals = points.groupBy(*by, "_stretch").agg(
+        F.sum(rows).alias("_rows"), F.max(own_instant).alias("_last"), seen.alias("_seen")
+    )
+    earlier = Window.partitionBy(*by).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(
+        *by,
+        "_stretch",
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_rows_before"),
         F.max("_last").over(earlier).alias("_last_before"),
-        *[F.when(F.col(c) < 0, F.lit(0)).alias("_seen") for c in days.columns if c.startswith("_seen")],
+        F.when(F.col("_seen") < 0, F.lit(0)).alias("_never"),
     )
-    # Within the day: at equal places the data point comes before the probes.
-    order = Window.partitionBy(*keys, "_day").orderBy("_at", F.col("_window").asc_nulls_first())
+    # At equal places the instant comes before the ends of frames.
+    order = Window.partitionBy(*by, "_stretch").orderBy("_at", "_kind")
     placed = points.select(
         "*",
         F.sum(rows).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_so_far"),
-        F.max(own_instant).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("_prev_in_day"),
-    )
-    same_day = reduce(
-        lambda a, b: a & b,
-        [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys],
-        F.col("_day").eqNullSafe(F.col("_k_day")),
+        F.max(own_instant).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("_prev_here"),
     )
-    counted = placed.join(days, same_day).select(
-        *[c for c in placed.columns if c not in ("_so_far", "_prev_in_day")],
+    counted = placed.join(totals, [*by, "_stretch"]).select(
+        *by,
+        "_t",
+        *kept,
+        "_kind",
         (F.col("_rows_before") + F.col("_so_far")).alias("_ever"),
-        F.coalesce("_prev_in_day", "_last_before", *[c for c in days.columns if c == "_seen"]).alias("_prev"),
+        F.coalesce("_prev_here", "_last_before", "_never").alias("_prev"),
     )
     if not windows:
-        return counted.drop("_at", "_window", "_day")
-    # The probes' counts come back to their instant: one row per (keys, instant).
-    is_data = F.col("_window").isNull()
-    kept = [c for c in instants.columns if c not in keys and c != "_t"]
-    back = counted.groupBy(*keys, "_t").agg(
-        *[F.max(F.when(is_data, F.col(c))).alias(c) for c in [*kept, "_ever", "_prev"]],
-        *[F.max(F.when(F.col("_window") == name, F.col("_ever"))).alias(f"_before_{name}") for name in windows],
+        return counted.drop("_kind")
+    # What was counted at the frames' ends comes back to its instant: one row each.
+    at = [F.max(F.when(F.col("_kind") == i, F.col("_ever"))) for i in range(len(windows) + 1)]
+    # Grouped by more than the rows are joined on: the join then has an exchange of its own on
+    # both sides, which AQE needs to split a crowded instant.
+    back = counted.groupBy(*by, "_t", F.shiftright("_t", STRETCH_BITS).alias("_own")).agg(
+        *[c.alias(f"_ever{i}") for i, c in enumerate(at)]
     )
     return back.select(
-        *keys,
-        "_t",
-        *kept,
-        "_ever",
-        "_prev",
-        *[(F.col("_ever") - F.coalesce(f"_before_{name}", F.lit(0))).alias(name) for name in windows],
+        *by, "_t", *[(F.col("_ever0") - F.col(f"_ever{i}")).alias(n) for i, n in enumerate(windows, 1)]
     )
 
 
 def _with_instants(df: DataFrame, instants: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Each row with the columns of its (keys, instant)."""
-    side = instants.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        *[c for c in instants.columns if c not in keys],
-    )
-    same = reduce(
-        lambda a, b: a & b,
-        [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys],
-        F.col(INSTANT).cast("bigint").eqNullSafe(F.col("_t")),
-    )
-    return df.join(side, same).drop(*[f"_k_{k}" for k in keys])
+    by = [*_names(keys), "_t"]
+    side = instants.withColumnsRenamed({c: f"_of{c}" for c in by})
+    # The instant is the first key: it tells most rows apart when the join sorts them.
+    pairs = list(zip(_place(df, keys), by))[::-1]
+    same = reduce(lambda a, b: a & b, [c == F.col(f"_of{n}") for c, n in pairs])
+    return df.join(side, same).drop(*[f"_of{c}" for c in by])
 
 
 def sequence_columns(df: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS) -> DataFrame:
@@ -151,26 +180,39 @@ def sequence_columns(df: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS) -> DataF
     * last_txn_date: request instant of the previous row in the total order
       (instant, then the tie-breaker columns); NULL on the first row.
     """
-    keys = list(keys)
-    out = [*df.columns, "count_txns_orders_per_account_ever", "last_txn_date"]
-    rows = _with_instants(df, _running(_instants(df, keys, with_first=True), keys, {}), keys).withColumnRenamed(
-        "_ever", "count_txns_orders_per_account_ever"
+    keys = _ordered(df, keys)
+    ever, last = "count_txns_orders_per_account_ever", "last_txn_date"
+    out = [*df.columns, ever, last]
+    kind = df.schema[INSTANT].dataType
+    instants = _first_of_instants(df, keys)
+    numbers = _running(instants, keys, {}).select(
+        *_names(keys), "_t", "_id", "_without", "_most", F.col("_ever").alias(ever),
+        F.when(F.col("_prev") > NO_INSTANT, F.col("_prev")).cast(kind).alias("_prev"),
+    )
+    own = F.col(TIE_BREAKERS[0])
+    # NULL ids come first; a row of the least id is the instant's first if it is the only one.
+    least = F.when(F.col("_without") > 0, own.isNull()).otherwise(own == F.col("_id"))
+    rows = _with_instants(df, numbers, keys)
+    single = rows.where((F.col("_most") == 1) | ~least).withColumn(
+        last, F.when(least, F.col("_prev")).otherwise(F.col(INSTANT))
+    )
+    # Rows of the least id where an id stands more than once: the other tie-breakers decide,
+    # and among equal rows one of them is the first. These instants are a stage of their own:
+    # where AQE finds it empty, it drops all that follows.
+    doubtful = instants.where("_most > 1").select(*_names(keys), "_t", "_id", "_without")
+    doubtful = doubtful.repartition(F.length(F.col("_id").cast("string")), *_names(keys), "_t")
+    equal = _with_instants(df, doubtful, keys).where(least).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    rank = Window.partitionBy(*keys, INSTANT).orderBy(
+        *[F.col(c).asc_nulls_first() for c in (*TIE_BREAKERS, *sorted(set(df.columns) - {*keys, INSTANT, *TIE_BREAKERS}))]
+    )
+    ranked = equal.withColumn("_rank", F.row_number().over(rank)).withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))
     )
-    # Nothing is below the first, so "equal" can be said as "not above": no equality that
-    # the optimizer would add to the join keys, which gives both branches one exchange.
-    first = (F.col("_n") > 1) & (F.struct(*TIE_BREAKERS) <= F.col("_first"))
-    instant = F.col(INSTANT)
-    before = F.col("_prev").cast(df.schema[INSTANT].dataType)
-    single = rows.where(~first).withColumn("last_txn_date", F.when(F.col("_n") == 1, before).otherwise(instant))
-    # Rows equal to the first of a shared instant: one of them is the first.
-    equal = rows.where(first).groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    rank = Window.partitionBy(*keys, INSTANT).orderBy(*[c for c in df.columns if c not in (*keys, INSTANT)])
-    tied = (
-        equal.withColumn("_rank", F.row_number().over(rank))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
-        .withColumn(
-            "last_txn_date", F.when((F.col("_rank") == 1) & (F.col("_copy") == 1), before).otherwise(instant)
-        )
+    # The condition holds for all of them; it reads the columns that the rows above read, so
+    # that both joins share the exchange of the instants.
+    known = _with_instants(ranked, numbers, keys).where(least & (F.col("_copies") <= F.col("_most")))
+    tied = known.withColumn(
+        last, F.when((F.col("_rank") == 1) & (F.col("_copy") == 1), F.col("_prev")).otherwise(F.col(INSTANT))
     )
     return single.select(*out).unionByName(tied.select(*out))
 
@@ -213,9 +255,9 @@ def txn_dimensions(df: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS) -> DataFra
 def trailing_counts(df: DataFrame, windows: dict[str, int], keys: Sequence[str] = ACCOUNT_KEYS) -> DataFrame:
     """For each ``name -> seconds``: count of the account's rows with request
     instant in [t - seconds, t] (rows without instant count each other)."""
-    keys = list(keys)
-    instants = _running(_instants(df, keys, with_first=False), keys, windows)
-    return _with_instants(df, instants, keys).select(*df.columns, *windows)
+    keys = _ordered(df, keys)
+    counts = _running(_instants(df, keys), keys, windows)
+    return _with_instants(df, counts, keys).select(*df.columns, *windows)
 
 
 def trailing_count(
