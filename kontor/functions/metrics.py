@@ -157,6 +157,9 @@ METRICS: dict[str, Callable[[], Column]] = {
     "balance": daily_balance,
 }
 
+# Percentiles that can be counted exactly (``kontor.operators.percentiles``), as decimal texts.
+RANKS = {"p99": "0.99", "p90": "0.90"}
+
 # The KPI set of the monthly series, in report order (12 metrics).
 KPI_METRICS = [
     "total_amount",

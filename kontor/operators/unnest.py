@@ -1,10 +1,10 @@
 """Unnesting of nested investment documents into the flat investments feed.
 
-One input row is an account with an array of transaction structs whose
-leaves are text. ``explode`` (not ``explode_outer``) emits one row per array
-element, so documents with an empty or NULL array emit nothing. Untrusted
-text is typed with ``try_cast``: a malformed number becomes NULL instead of
-failing the job under ANSI mode.
+An account's document holds its transactions as an array of structs of texts. ``inline``
+gives a row for each element (none for an empty or missing array), and the columns and
+types of the feed follow from its schema: a leaf of the document of the same name, the
+account of the document, and for the id the document's name of it. Texts that are no
+number become NULL instead of failing the job under ANSI mode.
 """
 
 from __future__ import annotations
@@ -12,15 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kontor.schemas import INVESTMENTS
+
+# Columns that the documents call otherwise.
+NAME_IN_DOCUMENT = {"id": "transaction_id"}
+
 
 def unnest_investments(nested: DataFrame) -> DataFrame:
-    t = "transaction"
-    return nested.select("account_id", F.explode("transactions").alias(t)).select(
-        F.col(f"{t}.transaction_id").try_cast("bigint").alias("id"),
-        F.col("account_id").try_cast("bigint").alias("account_id"),
-        F.col(f"{t}.amount").try_cast("double").alias("amount"),
-        F.col(f"{t}.investment_requested_at").try_cast("int").alias("investment_requested_at"),
-        F.col(f"{t}.investment_completed_at").cast("string").alias("investment_completed_at"),
-        F.col(f"{t}.status").cast("string").alias("status"),
-        F.col(f"{t}.type").cast("string").alias("type"),
+    rows = nested.select("account_id", F.inline("transactions"))
+    return rows.select(
+        *[F.col(NAME_IN_DOCUMENT.get(f.name, f.name)).try_cast(f.dataType).alias(f.name) for f in INVESTMENTS.fields]
     )

@@ -6,6 +6,9 @@ Nothing here runs at import time: callers pass a ``SparkSession`` in, or ask
 
 from __future__ import annotations
 
+import re
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Settings of the sessions made here: AQE re-plans joins from runtime sizes,
@@ -49,3 +52,16 @@ def pin_session(spark: SparkSession) -> SparkSession:
     UTC. Raises where the session refuses it."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as the session's ``spark.checkpoint.dir``
+    names it; it is the context's checkpoint folder too. Where that is unset, a session
+    that runs in this one process gets a scratch folder, any other an error."""
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc.getCheckpointDir() is None and not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="kontor-shared-"))
+    return configured or sc.getCheckpointDir()
