@@ -21,6 +21,7 @@ spanning set of links for each block, never all pairs.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -133,10 +134,6 @@ def _classes(rows: DataFrame, vec_id: str, embedding: str) -> tuple[DataFrame, D
         F.col(f"`{vec_id}`").alias("vec_id"),
         F.when(usable & F.col(f"`{vec_id}`").isNotNull(), vector).alias("embedding"),
     )
-    sizes = tagged.where("embedding IS NOT NULL").groupBy(F.size("embedding").alias("n")).count()
-    top = sizes.orderBy(F.desc("count"), "n").first()
-    dims = top["n"] if top else 0
-    tagged = tagged.withColumn("embedding", F.when(F.size("embedding") == dims, F.col("embedding")))
     classes = (
         tagged.where("embedding IS NOT NULL")
         .groupBy("embedding")
@@ -241,27 +238,8 @@ def _matcher(held, threshold: float):
     return match
 
 
-def near_duplicates(
-    rows: DataFrame, threshold: float = THRESHOLD, vec_id: str = "vec_id", embedding: str = "embedding"
-) -> DataFrame:
-    """(vec_id, n_links, component_id, kept), one row for each row of ``rows``.
-
-    Cosines are taken in double precision. ``n_links`` counts the other rows linked
-    directly, ``component_id`` is the smallest vec_id that links reach. Vectors that are
-    null, zero, hold a null or non-finite component or have another length than most,
-    and rows without vec_id, link with nothing: no links, their own component. A vec_id
-    that names several vectors is several rows; each is linked for itself. Equal vectors
-    are linked with each other. No rows give no rows; other columns are ignored.
-    """
-    tagged, classes = _classes(rows, vec_id, embedding)
-    classes = stored(classes)
-    total = classes.count()
-    if not total:
-        alone = F.col(f"`{vec_id}`")
-        return rows.select(
-            alone.alias("vec_id"), F.lit(0).cast("bigint").alias("n_links"), alone.alias("component_id"), alone.isNotNull().alias("kept")
-        )
-    dims = classes.select(F.size("embedding")).first()[0]
+def _linked(classes: DataFrame, dims: int, total: int, threshold: float) -> DataFrame:
+    """Links (``FOUND``) among ``total`` classes of vectors of length ``dims``."""
     fit_rows = max(256, FIT_BYTES // (8 * dims))
     drawn = classes.orderBy(F.xxhash64(F.col("key.hash")), "key").limit(fit_rows).select("embedding").collect()
     index = train(normalised(np.array([r[0] for r in drawn])), total, threshold)
@@ -289,10 +267,31 @@ def near_duplicates(
     )
     asking = asking.toDF(*asking.columns)  # columns of its own beside those of ``own``
     cells = ["list", "mb", "qb"]
-    held = rows.sparkSession.sparkContext.broadcast(index)
-    found = settle(
+    held = classes.sparkSession.sparkContext.broadcast(index)
+    return settle(
         asking.groupBy(*cells).cogroup(own.groupBy(*cells)).applyInArrow(_matcher(held, threshold), FOUND)
     )
+
+
+def near_duplicates(
+    rows: DataFrame, threshold: float = THRESHOLD, vec_id: str = "vec_id", embedding: str = "embedding"
+) -> DataFrame:
+    """(vec_id, n_links, component_id, kept), one row for each row of ``rows``.
+
+    Cosines are taken in double precision. ``n_links`` counts the other rows linked
+    directly, ``component_id`` is the smallest vec_id that links reach. Vectors that are
+    null, zero, or hold a null or non-finite component, and rows without vec_id, link with
+    nothing: no links, their own component. Vectors of different lengths have no cosine;
+    those of each length are compared with one another, by an index of their own. A vec_id
+    that names several vectors is several rows; each is linked for itself. Equal vectors
+    are linked with each other. No rows give no rows; other columns are ignored.
+    """
+    tagged, classes = _classes(rows, vec_id, embedding)
+    classes = stored(classes)
+    # One row for each length that vectors have.
+    lengths = classes.groupBy(F.size("embedding").alias("n")).count().orderBy("n").collect()
+    several = [_linked(classes.where(F.size("embedding") == r.n), r.n, r["count"], threshold) for r in lengths if r["count"] > 1]
+    found = reduce(DataFrame.unionByName, several) if several else rows.sparkSession.createDataFrame([], FOUND)
     node, to = F.struct("rep", "hash"), F.struct(F.col("to_rep").alias("rep"), F.col("to_hash").alias("hash"))
     components = connected_components(found.select(node.alias("a"), to.alias("b")))
     links = found.groupBy("rep", "hash").agg(F.sum("links").alias("links"))

@@ -19,7 +19,8 @@ base span in the sample nothing is added.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -242,14 +243,39 @@ def _spoiled(kind: str, body: str) -> list[str]:
     return [f"20{d[-2:]}-0{d[-3]}-1{d[-4]}", f"{d[:2]}/{d[2:4]}/{d[4:8]}", f"{d[-8:]}", f"{d[-7:-4]}.{d[-4:]}"]
 
 
+class Taken:
+    """Places of a text that spans cover: disjoint intervals in order, found by bisection."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]] = ()) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for a, b in sorted(spans):
+            if self.ends and a < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def meets(self, a: int, b: int) -> bool:
+        """Whether a character of [a, b) is covered."""
+        i = bisect_right(self.ends, a)
+        return i < len(self.starts) and self.starts[i] < b
+
+    def add(self, a: int, b: int) -> None:
+        """Cover [a, b), which meets nothing yet."""
+        i = bisect_right(self.ends, a)
+        self.starts.insert(i, a)
+        self.ends.insert(i, b)
+
+
 def examples(text: str) -> list[tuple[list[float], int]]:
     """Labelled candidates of one text (see the module's head)."""
     base = base_spans(text)
-    known, out = set(base), []
+    known, out, strict = set(base), [], Taken((a, b) for _, a, b in base)
     for span in candidates(text):
         if span in known:
             out.append((features(text, span), 1))
-        elif not any(a < span[2] and span[1] < b for _, a, b in base):
+        elif not strict.meets(span[1], span[2]):
             if _refuted(span[0], text[span[1] : span[2]]):
                 out.append((features(text, span), 0))
     for kind, a, b in base:
@@ -294,12 +320,14 @@ class Model:
         chosen = [(*s, True) for s in base]
         if self.thresholds:
             loose = [s for s in candidates(text) if s[0] in self.thresholds]
-            loose = [s for s in loose if not any(a < s[2] and s[1] < b for _, a, b in base)]
+            strict, added = Taken((a, b) for _, a, b in base), Taken()
+            loose = [s for s in loose if not strict.meets(s[1], s[2])]
             if loose:
                 p = self.boosted.probability(np.array([features(text, s) for s in loose]))
                 for i in sorted(range(len(loose)), key=lambda i: (-p[i], loose[i])):
                     kind, a, b = loose[i]
-                    if p[i] >= self.thresholds[kind] and not any(x < b and a < y for _, x, y, _ in chosen[len(base) :]):
+                    if p[i] >= self.thresholds[kind] and not added.meets(a, b):
+                        added.add(a, b)
                         chosen.append((kind, a, b, False))
         chosen.sort(key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
         return [dict(zip(("kind", "start", "end", "base"), s)) for s in chosen]

@@ -34,10 +34,9 @@ def test_ids_and_texts_equal_the_library(text):
 def test_every_code_point_between_neighbours():
     own = bpe.codec()
     points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
-    for at in range(0, len(points), 65536):
-        texts = [f"a{chr(c)}b {chr(c)}1{chr(c)}'s" for c in points[at : at + 65536]]
-        found = [own.encode(t).tolist() for t in texts]
-        assert found == [e.ids for e in LIBRARY.encode_batch(texts, add_special_tokens=False)]
+    for at in range(0, len(points), 256):
+        text = "".join(f"a{chr(c)}b {chr(c)}1{chr(c)}'s\n" for c in points[at : at + 256])
+        assert own.encode(text).tolist() == wanted(text)
 
 
 def test_no_token_holds_a_forced_pair_and_cuts_are_forced():

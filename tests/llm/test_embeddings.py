@@ -82,3 +82,17 @@ def test_nothing_to_compare(spark):
     assert as_rows(E.near_duplicates(df)) == [("1", 0, "1"), ("2", 0, "2")]
     df, _ = table(spark, [(4, [1.0, 2.0])])
     assert as_rows(E.near_duplicates(df)) == [("4", 0, "4")]
+
+
+def test_each_length_is_compared_with_itself(spark):
+    rows = [
+        (1, [1.0, 0.0, 0.0]), (2, [1.0, 0.1, 0.0]), (3, [0.0, 0.0, 1.0]),
+        (4, [1.0, 2.0]), (5, [1.0, 2.0]), (6, [2.0, 4.1]), (7, [-1.0, 2.0]),
+        (8, [1.0]), (9, [3.0]), (10, [-1.0]), (11, [1.0, 0.0, 0.0, 0.0]), (12, []),
+    ]
+    df = spark.createDataFrame([(i, v) for i, v in rows], "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in E.near_duplicates(df).collect()}
+    assert got == {
+        1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (2, 4), 5: (2, 4), 6: (2, 4), 7: (0, 7),
+        8: (1, 8), 9: (1, 8), 10: (0, 10), 11: (0, 11), 12: (0, 12),
+    }

@@ -108,3 +108,42 @@ def test_obfuscated_mail_without_the_word_dot(spark):
         assert model.spans(clean) == [], clean
     for text in ("a" * 200_000 + " at", "a at " * 40_000, " at a." * 40_000, "x . at " * 20_000):
         pii.candidates(text)
+
+
+def test_selection_takes_linear_time_on_logs():
+    """Lines with an address, a date and numbers: many candidates, all in one text."""
+    import time
+
+    import numpy as np
+
+    class Coin:
+        def probability(self, x):
+            return np.random.default_rng(0).random(len(x))
+
+    model = pii.Model(Coin(), dict.fromkeys(pii.KINDS, 0.3))
+
+    def seconds(n):
+        text = "".join(f"10.0.3.{i % 250} [17/May/2024:10:05:{i % 60}] 4155550{i % 1000:03d}12 ref 4485 1234 {i}\n" for i in range(n))
+        start = time.process_time()
+        found = model.spans(text)
+        taken = [(s["start"], s["end"]) for s in found if not s["base"]]
+        assert len(taken) > n and all(b <= c for (_, b), (c, _) in zip(sorted(taken), sorted(taken)[1:]))
+        return time.process_time() - start
+
+    seconds(500)
+    assert seconds(8000) < 40 * seconds(1000)  # 8 times the text; a quadratic selection took 64 times
+
+
+def test_taken_places_equal_a_scan():
+    import random
+
+    rnd = random.Random(1)
+    for _ in range(300):
+        spans = [(a, a + rnd.randint(1, 6)) for a in (rnd.randint(0, 30) for _ in range(rnd.randint(0, 6)))]
+        taken = pii.Taken(spans)
+        for a, b in ((a, a + rnd.randint(1, 5)) for a in (rnd.randint(0, 35) for _ in range(10))):
+            meets = any(x < b and a < y for x, y in spans)
+            assert taken.meets(a, b) == meets
+            if not meets:
+                taken.add(a, b)
+                spans.append((a, b))
