@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -11,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kontor.session import shared_folder
+
 # Characters that separate words: space and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -19,20 +20,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir`` of
-    the session. Only where that is unset (local tests) a scratch folder is
-    registered in its place."""
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="kontor-shared-"))
-    return configured or sc.getCheckpointDir()
-
-
 def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage with a reliable checkpoint."""
-    shared_dir(df.sparkSession)
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
@@ -40,7 +30,7 @@ def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back (columnar,
     so a later pass reads only the columns it needs)."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
