@@ -2,20 +2,21 @@
 
 Words are compared in lower case without punctuation; in scripts without spaces between
 words each character is one. Items are cut into parts of at most ``PART_WORDS`` words.
-Items of fewer than ``MIN_WORDS`` words are leaks only as whole word sequences; of fewer
-than ``LEAST_WORDS`` they match nothing. First the document frequency of every n-gram of the
-benchmark is counted over the whole corpus; every one that a document holds is a
-seed, however common, so an unedited run of ``NGRAM`` words always holds one. Where
-the words around the hits could reach the score (an upper bound, so nothing is lost),
-the document is aligned with the part; a local alignment that reaches ``MIN_SCORE`` of
-the part's full score is a leak. So is a passage of an item, however long the item:
-``PASSAGE_WORDS`` words in a row (twice as many characters without spaces), or longer runs with ``PASSAGE_EDIT`` more words for
-each edit. Items of several parts also have parts across their cuts, so a passage of
-up to half a part lies whole in one.
+Items of fewer than ``MIN_WORDS`` words are leaks only as whole word sequences. Every
+n-gram of a part is a seed, however common: an edited copy may hold no rare one, but an
+unedited run of ``NGRAM`` words always holds one. What common seeds cost is bounded: where
+a text's seeds are many, parts of whose words it holds too few are left out at once, the
+others are worked off ``EXPANSION`` seeds at a time. Where the words around the hits could
+reach the score (an upper bound, so nothing is lost), the document is aligned with the
+part; a local alignment that reaches ``MIN_SCORE`` of the part's full score is a leak. So
+is a passage of an item, however long the item: ``PASSAGE_WORDS`` words in a row (twice as
+many characters without spaces), or longer runs with ``PASSAGE_EDIT`` more words for each
+edit. Items of several parts also have parts across their cuts, so a passage of up to half
+a part lies whole in one.
 
 The benchmark is measured and worked off in blocks of at most ``MAX_BLOCK_BYTES`` of
 text, so what is sent to the executors is bounded at any size. Documents stay where
-they are: no document text is shuffled.
+they are and are read once a block: no document text is shuffled.
 """
 
 from __future__ import annotations
@@ -34,7 +35,6 @@ from kontor.llm.common import fresh, per_row, settle
 NGRAM = 3
 PART_WORDS = 200
 MIN_WORDS = 8
-LEAST_WORDS = 4
 MIN_SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, 1
 PASSAGE_WORDS = 13
@@ -42,6 +42,8 @@ PASSAGE_EDIT = 3
 SLACK = 0.25
 MAX_BLOCK_BYTES = 16 << 20
 CACHE_WORDS = 100_000
+# Seeds of a text laid out at a time.
+EXPANSION = 1 << 18
 # Texts worked on at a time.
 GROUP_ROWS = 512
 GROUP_CHARS = 1 << 20
@@ -71,8 +73,8 @@ def words_of(text: str | None) -> list[str]:
 
 def parts_of(words: list[str]) -> list[list[str]]:
     """Equal parts of at most ``PART_WORDS`` words, then those from middle to middle of
-    neighbours; nothing from fewer than ``LEAST_WORDS``."""
-    if len(words) < LEAST_WORDS:
+    neighbours."""
+    if not words:
         return []
     n = -(-len(words) // PART_WORDS)
     cuts = [len(words) * i // n for i in range(n + 1)]
@@ -106,35 +108,58 @@ class Block:
     items: list[int | None]
     parts: list[np.ndarray]
     passages: list[int]
-    codes: np.ndarray
-    # Of n-gram c the seeds [starts[c], starts[c + 1]): part and place in it.
-    lengths: np.ndarray | None = None
-    starts: np.ndarray | None = None
-    seed_part: np.ndarray | None = None
-    seed_place: np.ndarray | None = None
+    # Items below NGRAM words, by length: the codes of their words in order, the items of each.
+    short: dict[int, tuple[np.ndarray, list[list[int | None]]]]
 
     @staticmethod
     def of(rows: list[tuple[int | None, str | None]]) -> Block:
-        vocabulary: dict[str, int] = {}
-        items, parts, passages = [], [], []
+        block = Block({}, [], [], [], {})
+        short: list[tuple[int | None, np.ndarray]] = []
         for item, text in sorted({(i, t or "") for i, t in rows}, key=lambda r: (r[0] is None, r[0] or 0, r[1])):
             for part in parts_of(words_of(text)):
-                items.append(item)
+                ids = np.array([block.vocabulary.setdefault(w, len(block.vocabulary)) for w in part], np.int64)
+                if len(ids) < NGRAM:
+                    short.append((item, ids))
+                    continue
                 single = sum(_UNSPACED.fullmatch(w) is not None for w in part)
-                passages.append(PASSAGE_WORDS * (2 if 2 * single > len(part) else 1))
-                parts.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in part], np.int64))
-        block = Block(vocabulary, items, parts, passages, np.zeros(0, np.int64))
-        if parts:
-            block.codes = np.unique(np.concatenate([block.grams(p) for p in parts]))
+                block.items.append(item)
+                block.passages.append(PASSAGE_WORDS * (2 if 2 * single > len(part) else 1))
+                block.parts.append(ids)
+        for n in range(1, NGRAM):
+            own: dict[int, list[int | None]] = {}
+            for item, ids in short:
+                if len(ids) == n:
+                    own.setdefault(int(block.grams(ids, n)[0]), []).append(item)
+            if own:
+                block.short[n] = np.array(sorted(own)), [own[c] for c in sorted(own)]
+        block.lay_seeds()
         return block
 
-    def grams(self, ids: np.ndarray) -> np.ndarray:
+    def lay_seeds(self) -> None:
+        """The n-grams' codes in order, and of n-gram c the seeds [starts[c], starts[c + 1]):
+        part and place in it, by part."""
+        none = [np.zeros(0, np.int64)]
+        self.lengths = np.array([len(p) for p in self.parts], np.int64)
+        sizes = self.lengths - NGRAM + 1
+        self.words = np.concatenate([*none, *self.parts])
+        self.codes, index = np.unique(np.concatenate([*none, *map(self.grams, self.parts)]), return_inverse=True)
+        part = np.repeat(np.arange(len(sizes)), sizes)
+        place = np.arange(len(part)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        order = np.argsort(index, kind="stable")
+        self.starts = np.searchsorted(index[order], np.arange(len(self.codes) + 1))
+        self.seed_part, self.seed_place = part[order], place[order]
+        self.seed_key = index[order] * len(self.parts) + self.seed_part
+        # Matching words that a leak of the part has at least.
+        full = [len(p) / 2 if len(p) >= MIN_WORDS else len(p) for p in self.parts]
+        self.needed = np.minimum(full, self.passages) if full else np.zeros(0)
+
+    def grams(self, ids: np.ndarray, size: int = NGRAM) -> np.ndarray:
         """The code of the n-gram at each place; -1 where a word is not in the vocabulary."""
-        n = len(ids) - NGRAM + 1
+        n = len(ids) - size + 1
         if n <= 0:
             return np.zeros(0, np.int64)
         code, known = np.zeros(n, np.int64), np.ones(n, bool)
-        for k in range(NGRAM):
+        for k in range(size):
             at = ids[k : k + n]
             code, known = code * max(1, len(self.vocabulary)) + at, known & (at >= 0)
         return np.where(known, code, -1)
@@ -151,76 +176,110 @@ class Block:
 
     def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(places, indices into ``codes``) of the benchmark's n-grams in a text."""
-        grams = self.grams(ids)
-        places = np.nonzero(grams >= 0)[0]
-        index = np.searchsorted(self.codes, grams[places])
-        index = np.minimum(index, len(self.codes) - 1)
-        real = self.codes[index] == grams[places]
-        return places[real], index[real]
-
-    def choose_seeds(self, frequency: np.ndarray) -> None:
-        """Every n-gram of each part that a text holds."""
-        self.lengths = np.array([len(p) for p in self.parts])
-        sizes = np.maximum(0, self.lengths - NGRAM + 1)
-        index = np.searchsorted(self.codes, np.concatenate([self.grams(p) for p in self.parts]))
-        part = np.repeat(np.arange(len(sizes)), sizes)
-        place = np.concatenate([np.arange(n) for n in sizes])
-        order = np.argsort(index, kind="stable")
-        order = order[frequency[index[order]] > 0]
-        self.starts = np.searchsorted(index[order], np.arange(len(self.codes) + 1))
-        self.seed_part, self.seed_place = part[order], place[order]
-
-    def frequencies(self, ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Texts that hold each n-gram."""
-        places, index = self.hits(ids)
-        seen = np.unique(np.searchsorted(ends, places) * np.int64(len(self.codes)) + index)
-        return np.bincount(seen % len(self.codes), minlength=len(self.codes))
+        return _found(self.codes, self.grams(ids))
 
     def find(self, ids: np.ndarray, ends: np.ndarray) -> list[list[dict]]:
-        """The leaks of each text."""
+        """The leaks of each text: the best of each item, by item."""
+        best: list[dict[int | None, dict]] = [{} for _ in ends]
+        for n, (codes, items) in self.short.items():
+            places, index = _found(codes, self.grams(ids, n))
+            text = np.searchsorted(ends, places)
+            _, first = np.unique(text * len(codes) + index, return_index=True)
+            for t, at, code in zip(text[first].tolist(), places[first].tolist(), index[first].tolist()):
+                start = at - (int(ends[t - 1]) + 1 if t else 0)
+                for item in items[code]:
+                    best[t][item] = _leak(item, 1.0, n, start, start + n)
         places, index = self.hits(ids)
         text = np.searchsorted(ends, places)
-        out: list[list[dict]] = [[] for _ in ends]
         cuts = np.nonzero(np.diff(text))[0] + 1
         for at, grams in zip(np.split(places, cuts), np.split(index, cuts)):
             if len(at):
                 t = int(np.searchsorted(ends, at[0]))
                 start = int(ends[t - 1]) + 1 if t else 0
-                out[t] = self.leaks(ids[start : ends[t]], at - start, grams)
-        return out
-
-    def windows(self, size: int, places: np.ndarray, grams: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-        """(part, low, high, seeds) of the stretches of a text of ``size`` words around the
-        seeds at places; those of a part that overlap are one."""
-        many = self.starts[grams + 1] - self.starts[grams]
-        seed = np.repeat(self.starts[grams] - np.cumsum(many) + many, many) + np.arange(many.sum())
-        part = self.seed_part[seed]
-        begin = np.repeat(places, many) - self.seed_place[seed]
-        order = np.lexsort((begin, part))
-        part, begin = part[order], begin[order]
-        length = self.lengths[part]
-        slack = (length * SLACK).astype(np.int64) + 2
-        low, high = np.maximum(0, begin - slack), np.minimum(size, begin + length + slack)
-        first = np.ones(len(part), bool)
-        first[1:] = (part[1:] != part[:-1]) | (low[1:] > high[:-1])
-        at = np.nonzero(first)[0]
-        past = np.r_[at[1:], len(part)][: len(at)]
-        return zip(part[at].tolist(), low[at].tolist(), high[past - 1].tolist(), (past - at).tolist())
-
-    def leaks(self, ids: np.ndarray, places: np.ndarray, grams: np.ndarray) -> list[dict]:
-        """The best alignment of each item that reaches the score, by item, from n-grams at places."""
-        best: dict[int | None, dict] = {}
-        for p, low, high, seeds in self.windows(len(ids), places, grams):
-            part, inside = self.parts[p], ids[low:high]
-            found = leak_of(part, inside, seeds, self.passages[p])
-            old = best.get(self.items[p])
-            if found and (old is None or found[0] > old["score"]):
-                score, matched, start, end = found
-                best[self.items[p]] = {
-                    "item_id": self.items[p], "score": score, "words": matched,
-                    "start_word": low + start, "end_word": low + end,
-                }
-        return [best[i] for i in sorted(best, key=lambda i: (i is None, i or 0))]
+                self.align_all(ids[start : ends[t]], at - start, grams, best[t])
+        return [[own[i] for i in sorted(own, key=lambda i: (i is None, i or 0))] for own in best]
+
+    def seeds(self, ids: np.ndarray, places: np.ndarray, grams: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """(part, place in it, place in the text) of the seeds for n-grams at places of a text,
+        in runs of parts: about ``EXPANSION`` at a time, more only where one part has more."""
+        live = None
+        if (self.starts[grams + 1] - self.starts[grams]).sum() > len(self.words):
+            held = np.zeros(len(self.vocabulary), bool)
+            held[ids[ids >= 0]] = True
+            live = np.add.reduceat(held[self.words], np.cumsum(self.lengths) - self.lengths, dtype=np.int64) >= self.needed
+        n = len(self.parts)
+        ranges = [(0, n)]
+        while ranges:
+            a, b = ranges.pop()
+            low, high = (np.searchsorted(self.seed_key, grams * n + p) for p in (a, b))
+            many = high - low
+            total = int(many.sum())
+            if total > EXPANSION and b - a > 1:
+                ranges += [((a + b) // 2, b), (a, (a + b) // 2)]
+            elif total:
+                seed = np.repeat(low - np.cumsum(many) + many, many) + np.arange(total)
+                of, inside, at = self.seed_part[seed], self.seed_place[seed], np.repeat(places, many)
+                yield (of, inside, at) if live is None else tuple(x[live[of]] for x in (of, inside, at))
+
+    def windows(
+        self, ids: np.ndarray, places: np.ndarray, grams: np.ndarray
+    ) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(part, lows, highs, seeds) of the stretches of a text around the seeds at places.
+        Those of a part that overlap are one; where it is long, stretches of four times the
+        part that overlap by half: no leak is longer than twice the part, so each lies whole in one."""
+        for part, inside, at in self.seeds(ids, places, grams):
+            order = np.lexsort((at - inside, part))
+            part, at, begin = part[order], at[order], (at - inside)[order]
+            length = self.lengths[part]
+            slack = (length * SLACK).astype(np.int64) + 2
+            low, high = np.maximum(0, begin - slack), np.minimum(len(ids), begin + length + slack)
+            for of in np.split(np.arange(len(part)), np.nonzero(np.diff(part))[0] + 1):
+                if not len(of):
+                    continue
+                p, step = int(part[of[0]]), 2 * int(length[of[0]])
+                first = np.r_[True, low[of[1:]] > high[of[:-1]]]
+                lows, highs = low[of[first]], high[of[np.r_[first[1:], True]]]
+                cuts = np.maximum(1, -(-(highs - lows) // step) - 1)
+                lows = np.repeat(lows - step * (np.cumsum(cuts) - cuts), cuts) + step * np.arange(cuts.sum())
+                highs = np.minimum(np.repeat(highs, cuts), lows + 2 * step)
+                own = np.sort(at[of])
+                yield p, lows, highs, np.searchsorted(own, highs - NGRAM, "right") - np.searchsorted(own, lows)
+
+    def align_all(
+        self, ids: np.ndarray, places: np.ndarray, grams: np.ndarray, best: dict[int | None, dict]
+    ) -> None:
+        """Put the alignments that are leaks of a text with n-grams at places into ``best``."""
+        for p, lows, highs, seeds in self.windows(ids, places, grams):
+            part, passage, item = self.parts[p], self.passages[p], self.items[p]
+            near = np.nonzero(seeds)[0]
+            if len(near) * 1000 > len(ids):  # as ``reachable``, for all stretches at once
+                held = np.cumsum(np.r_[0, np.isin(ids, part)])
+                near = near[held[highs[near]] - held[lows[near]] >= self.needed[p]]
+            if len(near) > len(part):  # a word matches no more often than the part holds it
+                most = np.zeros(len(near), np.int64)
+                for word, count in zip(*np.unique(part, return_counts=True)):
+                    own = np.nonzero(ids == word)[0]
+                    most += np.minimum(count, np.searchsorted(own, highs[near]) - np.searchsorted(own, lows[near]))
+                near = near[most >= self.needed[p]]
+            lows, highs, seeds = lows[near], highs[near], seeds[near]
+            for low, high, count in zip(lows.tolist(), highs.tolist(), seeds.tolist()):
+                found = leak_of(part, ids[low:high], count, passage)
+                old = best.get(item)
+                if found and (old is None or found[0] > old["score"]):
+                    score, matched, start, end = found
+                    best[item] = _leak(item, score, matched, low + start, low + end)
+
+
+def _found(codes: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, indices into ``codes``, which are in order) of the grams that are codes."""
+    places = np.nonzero(grams >= 0)[0] if len(codes) else np.zeros(0, np.int64)
+    index = np.minimum(np.searchsorted(codes, grams[places]), len(codes) - 1)
+    real = codes[index] == grams[places]
+    return places[real], index[real]
+
+
+def _leak(item: int | None, score: float, matched: int, start: int, end: int) -> dict:
+    return {"item_id": item, "score": score, "words": matched, "start_word": start, "end_word": end}
 
 
 def reachable(part: np.ndarray, text: np.ndarray, least: float) -> bool:
@@ -293,28 +352,6 @@ def _groups(texts: list[str | None]) -> Iterator[list[str | None]]:
         yield group
 
 
-def _frequencies(docs: DataFrame, block: Block, text: str) -> np.ndarray:
-    """Documents that hold each n-gram of the block, over all of ``docs``: counts of each
-    task, at most one row for each n-gram, summed by Spark."""
-    held = docs.sparkSession.sparkContext.broadcast(block)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        b, cache = held.value, _Ids(held.value.vocabulary)
-        total = np.zeros(len(b.codes), np.int64)
-        for batch in batches:
-            for at in range(0, batch.num_rows, GROUP_ROWS):
-                for texts in _groups(batch.column(0).slice(at, GROUP_ROWS).to_pylist()):
-                    total += b.frequencies(*b.ids(texts, cache))
-        at = np.nonzero(total)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["gram", "docs"])
-
-    counted = docs.select(F.col(f"`{text}`")).mapInArrow(count, "gram bigint, docs bigint")
-    out = np.zeros(len(block.codes), np.int64)
-    for r in counted.groupBy("gram").agg(F.sum("docs").alias("docs")).collect():  # at most one row an n-gram
-        out[r["gram"]] = r["docs"]
-    return out
-
-
 def _blocks(benchmark: DataFrame) -> Iterator[Block]:
     """The benchmark in blocks of about ``MAX_BLOCK_BYTES`` of text, dealt by hash of the text."""
     rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").distinct()
@@ -325,7 +362,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[Block]:
     for i in range(count):
         own = rows.where(F.pmod(F.xxhash64("text"), F.lit(count)) == i) if count > 1 else rows
         block = Block.of([(r["item_id"], r["text"]) for r in own.collect()])
-        if block.parts:
+        if block.parts or block.short:
             yield block
 
 
@@ -335,14 +372,13 @@ def with_leaks(
     """``docs`` with the array ``name`` of the items that each text holds: item_id, score
     (share of the full alignment score), matching words, first and past-the-last word.
 
-    Null and empty texts, and items of fewer than ``LEAST_WORDS`` words, match nothing; a
-    repeated item counts once, several texts of one item_id are one item with the best
+    Null and empty texts and items match nothing; an item of one or few words is held
+    wherever they stand in a row (keep such items out of ``benchmark`` where they are mere answers); a repeated item counts once, several texts of one item_id are one item with the best
     score. Without benchmark all arrays are empty; without documents there are no rows.
     """
     out = docs
     columns = []
     for i, block in enumerate(_blocks(benchmark)):
-        block.choose_seeds(_frequencies(docs, block, text))
         held = docs.sparkSession.sparkContext.broadcast(block)
         own = fresh(out, f"{name}_{i}")
         out = per_row(out, [text], _finder(held, text, own), f"`{own}` {LEAKS}", keep_inputs=True)

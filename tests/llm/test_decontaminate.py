@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 from helpers_llm import clashing, documents
 
@@ -65,10 +67,7 @@ def test_groups_of_texts_change_nothing(spark, monkeypatch):
     docs, items = case(np.random.default_rng(6))
     one = D.contaminated(documents(spark, docs), bench(spark, items)).collect()
     block = D.Block.of(items)
-    cache, texts = D._Ids(block.vocabulary), [t for _, t in docs]
-    counted = sum(block.frequencies(*block.ids([t], cache)) for t in texts)
-    assert (block.frequencies(*block.ids(texts, cache)) == counted).all()
-    block.choose_seeds(counted)
+    cache = D._Ids(block.vocabulary)
     alone = [(i, leak["item_id"], leak["score"]) for i, t in docs for leak in block.find(*block.ids([t], cache))[0]]
     assert sorted(alone) == sorted((r.doc_id, r.item_id, r.score) for r in one)
 
@@ -88,9 +87,9 @@ def test_odd_rows(spark):
     items = [(7, " ".join(long)), (7, " ".join(long)), (None, None), (8, ""), (9, "w1 w2 w3")]
     df = clashing(documents(spark, docs))
     got = sorted(str((r.doc_id, r.item_id)) for r in D.contaminated(df, bench(spark, items)).collect())
-    assert got == ["(3, 7)", "(3, 7)", "(None, 7)"]
+    assert got == ["(3, 7)", "(3, 7)", "(5, 9)", "(None, 7)"]
     kept = D.keep_uncontaminated(df, bench(spark, items))
-    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 5]
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2]
     assert D.contaminated(df, bench(spark, [])).collect() == []
     assert D.contaminated(documents(spark, []), bench(spark, items)).collect() == []
 
@@ -114,9 +113,8 @@ def test_copies_with_every_few_words_changed(spark):
 def leaks_of(items, texts):
     """The item ids that each text holds."""
     block = D.Block.of(items)
-    ids, ends = block.ids(texts, D._Ids(block.vocabulary))
-    block.choose_seeds(block.frequencies(ids, ends))
-    return [[leak["item_id"] for leak in found] for found in block.find(ids, ends)]
+    found = block.find(*block.ids(texts, D._Ids(block.vocabulary)))
+    return [[leak["item_id"] for leak in own] for own in found]
 
 
 def test_passages_of_long_items():
@@ -140,3 +138,46 @@ def test_short_items_and_texts_without_spaces():
         "问题:天空为什么是蓝色的", "君の名前は何ですか", other, "名前は彼何",
     ]
     assert leaks_of(items, texts) == [[1], [], [2], [3], [4], [], []]
+
+
+def test_items_of_one_to_three_words():
+    items = [(1, "Ja"), (2, "so so"), (3, "so so"), (4, "one two three"), (None, "ja!"), (5, "?"), (1, "quite other")]
+    texts = ["one two, three", "so, so so what", "Ja so", None, "two three one", "so quite other ja", "one jax", "?"]
+    assert leaks_of(items, texts) == [[4], [2, 3], [1, None], [], [], [1, None], [], []]
+    block = D.Block.of(items)
+    leak = block.find(*block.ids(["a b", "c so so"], D._Ids(block.vocabulary)))[1][0]
+    assert (leak["item_id"], leak["start_word"], leak["end_word"], leak["score"]) == (2, 1, 3, 1.0)
+
+
+def test_a_phrase_that_thousands_of_items_share():
+    rng = np.random.default_rng(7)
+    stem = ["what", "is", "the"]
+    many = [(i, " ".join([*stem, *(f"i{i}w{j}" for j in range(15))])) for i in range(3000)]
+    text = [w for _ in range(1000) for w in [*stem, *words(rng, 14)]]
+    text[9000:9000] = many[17][1].split()
+    text[3000:3000] = [w if j % 5 else "x" for j, w in enumerate(many[2999][1].split())]
+    start = time.process_time()
+    assert leaks_of(many, [" ".join(text)]) == [[17, 2999]]
+    assert time.process_time() - start < 10
+    # Items of common words: no part can be left out by its words alone.
+    close = [(i, " ".join([*stem, *words(rng, 15)])) for i in range(300)]
+    text[5000:5000] = close[123][1].split()
+    start = time.process_time()
+    assert 123 in leaks_of(close, [" ".join(text)])[0]
+    assert time.process_time() - start < 20
+
+
+def test_seeds_laid_out_in_runs_change_nothing(monkeypatch):
+    docs, items = case(np.random.default_rng(11))
+    whole = leaks_of(items, [t for _, t in docs])
+    monkeypatch.setattr(D, "EXPANSION", 3)
+    assert leaks_of(items, [t for _, t in docs]) == whole
+
+
+def test_a_long_text_of_one_item_over_and_over():
+    item = [f"i{j}" for j in range(150)]
+    start = time.process_time()
+    block = D.Block.of([(1, " ".join(item))])
+    (leak,) = block.find(*block.ids([" ".join(item * 400)], D._Ids(block.vocabulary)))[0]
+    assert (leak["score"], leak["words"], leak["end_word"] - leak["start_word"]) == (1.0, 150, 150)
+    assert time.process_time() - start < 20
