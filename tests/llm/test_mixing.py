@@ -69,3 +69,60 @@ def test_empty_tables(spark):
     assert mixing.mix(documents(spark, [])).collect() == []
     got = mixing.mix(documents(spark, [(1, None), (2, "")])).collect()
     assert sorted((r.doc_id, r.size, r.taken) for r in got) == [(1, 0, 0), (2, 0, 0)]
+
+
+def uneven(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"d{i}w{j}" for j in range(int(rng.integers(0, 400)))), "ab"[i % 3 == 0]) for i in range(200)]
+    rows += [(900, "  t\tu ", "c"), (900, "  t\tu ", "c"), (None, "v", None), (None, "v", None), (3, None, "a"), (3, "", "a")]
+    return rows, clashing(documents(spark, rows)).drop("size")
+
+
+def test_the_mix_adds_up_to_what_is_taken(spark):
+    rows, df = uneven(spark)
+    parts = mixing.mixed_documents(df).toPandas()
+    plain = mixing.mix(df).toPandas()
+    key = lambda f: sorted(map(str, f[["doc_id", "source", "size", "target", "taken", "shards"]].itertuples(index=False)))
+    assert len(parts) == len(rows) and key(parts) == key(plain)
+    assert sorted(map(str, parts["text"])) == sorted(str(t) for _, t, _ in rows)
+    slots = {}
+    for r in parts.itertuples():
+        assert sum(p["past_word"] - p["first_word"] for p in r.pieces) == r.taken
+        assert len({p["shard"] for p in r.pieces}) == r.shards
+        for p in r.pieces:
+            assert 0 <= p["first_word"] < p["past_word"] <= r.size
+            slots.setdefault((str(r.source), p["slot"]), []).append((p["shard"], p["past_word"] - p["first_word"]))
+    for held in slots.values():  # a slot is one block, in one shard
+        assert len({s for s, _ in held}) == 1 and sum(n for _, n in held) <= mixing.BLOCK_WORDS
+    assert sum(n for held in slots.values() for _, n in held) == plain.taken.sum()
+
+
+def test_texts_of_the_shards(spark):
+    rows, df = uneven(spark)
+    got = mixing.mixed_texts(df).collect()
+    words = {}
+    for i, text, _ in rows:
+        words.setdefault(i, set()).add(tuple((text or "").split()))
+    for r in got:
+        cut = r.text.split(" ")
+        assert any(list(w[r.first_word : r.first_word + len(cut)]) == cut for w in words[r.doc_id])
+    assert sum(len(r.text.split()) for r in got) == sum(r.taken for r in mixing.mix(df).collect())
+    assert mixing.mixed_texts(documents(spark, [(1, None, "a"), (2, " ", "a")])).collect() == []
+
+
+def test_slots_of_a_source_are_spread_over_the_shards_as_drawn(spark):
+    t = spark.createDataFrame([("a", 4000, 8000), ("b", 900, 2000)], "source string, blocks bigint, slots bigint")
+    slots = mixing.mixed_slots(t, slots_per_shard=1000).toPandas()
+    counts = slots.groupby(["source", "shard"]).size().unstack(0)
+    assert len(counts) == 10
+    for source, n in (("a", 8000), ("b", 2000)):  # ten equally likely shards: chi-square with 9 degrees
+        assert ((counts[source] - n / 10) ** 2 / (n / 10)).sum() < 33
+
+
+def test_targets_of_thousands_of_sources(spark):
+    rng = np.random.default_rng(9)
+    sizes = {f"s{i:05d}": int(x) for i, x in enumerate(rng.pareto(0.7, 3000) * 10)}
+    df = spark.createDataFrame([(i, s, n) for i, (s, n) in enumerate(sizes.items())], "doc_id bigint, source string, size bigint")
+    got = {r.source: r.target for r in mixing.source_targets(df).collect()}
+    want = water_fill(sizes)
+    assert got.keys() == want.keys() and np.allclose([got[s] for s in want], list(want.values()))

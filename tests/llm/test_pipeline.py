@@ -20,7 +20,7 @@ def con():
 
 
 def test_queries_are_registered():
-    assert {n.split("_")[0] for n in registered.queries()} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in registered.queries()} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
     assert set(registered.queries()) <= set(entry.queries())
     assert set(registered.oracle_sql()) <= set(entry.oracle_sql())
 
@@ -55,3 +55,5 @@ def test_every_stage_takes_effect(spark, con):
     mixed = corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL).collect()
     assert sorted(r.doc_id for r in mixed) == sorted(rows)
     assert all(0 <= r.taken <= mixing.MAX_REPEATS * r["size"] for r in mixed)
+    assert {r.doc_id: r.text for r in mixed} == rows
+    assert all(sum(p.past_word - p.first_word for p in r.pieces) == r.taken for r in mixed)
