@@ -4,7 +4,8 @@
 2. near_duplicates: of each group of SimHash near-duplicates one document stays;
 3. decontaminate: documents that hold a benchmark item, whole or edited, go;
 4. pii: personal data in the texts is replaced by its kind;
-5. mix: each document with the words that the mix of sources takes of it.
+5. mix: each document with the words that the mix of sources takes of it, its places in
+   the output shards (shard, slot, first and past-the-last word) and its text.
 
 A stage gets the session, the documents that the stage before kept and the folder of
 the other tables (labels, benchmark). ``run`` writes what a stage returns to the shared
@@ -36,7 +37,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs)
+    return mixing.mixed_documents(docs)
 
 
 STAGES = [
@@ -52,7 +53,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in turn over the documents of ``sf_dir``; returns the rows of the last."""
+    """The stages in turn over the documents of ``sf_dir``; returns the rows of the last.
+
+    Null and empty texts count as good text of no words: the fingerprint stage keeps one of
+    them, which the mix takes nothing of. Of equal rows, and of rows of near-equal texts,
+    one stays; a null doc_id is a document like others. Without documents there are no rows,
+    without labels no document is rejected, without a benchmark none is contaminated.
+    """
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir))
