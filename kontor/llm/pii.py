@@ -10,7 +10,7 @@ that reaches ``PRECISION`` on held-back rows is the threshold. Of overlapping
 candidates the most probable is selected; none that meets a base span.
 
 The trees learn from the corpus itself, without labels: from a bounded sample of
-documents, base spans and loosened copies of them in their own context are positive,
+documents, drawn for each kind from those that show its signs, base spans and loosened copies of them in their own context are positive,
 candidates that fail their kind's check, spoiled copies and candidates that cut a
 loosened copy or reach into the number beside it are negative. Without any
 base span in the sample nothing is added.
@@ -22,9 +22,10 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kontor.llm import boosting
@@ -32,10 +33,12 @@ from kontor.llm.common import fresh, per_row
 
 KINDS = ("email", "ip", "card", "phone")
 FIT_DOCS = 10_000
-FIT_ROWS = 20_000
+FIT_ROWS = 40_000
 PRECISION = 0.98
 MIN_HELD_BACK = 10
 CONTEXT = 24
+# Signs that a text may hold a base span of each kind, in the order of KINDS.
+SIGNS = ("[A-Za-z0-9._%+-]@[A-Za-z0-9-]", r"[0-9](\.[0-9]+){3}", r"[0-9]([ -]?[0-9]){15}", r"\+[0-9][ ().0-9-]+[0-9]")
 # Wrong cuts of one example that are learnt from.
 CUTS = 4
 
@@ -215,7 +218,11 @@ def _loosened(kind: str, body: str) -> list[str]:
     if kind == "email":
         local, _, domain = body.partition("@")
         spelled = domain.replace(".", " dot ")
+        # Names of letters alone, at a domain of two labels.
+        word, short = re.sub("[^A-Za-z]", "", local) or "x", ".".join(domain.split(".")[-2:])
+        plain = [f"{w}{at}{short}" for w in (word, f"{word[:3]}.{word}") for at in ("[at]", " [at] ", " (at) ")]
         return [
+            *plain,
             f"{local} (at) {spelled}", f"{local}[at]{domain}", f"{local} [at] {domain}", f"{local} (at) {domain}",
             f"{local}@ {domain}", f"{local} at {spelled}", *(_letters(f) for f in (
                 f"{local}[at]{domain}", f"{local} [at] {domain}", f"{local} (at) {domain}", f"{local}@ {domain}",
@@ -333,32 +340,45 @@ class Model:
         return [dict(zip(("kind", "start", "end", "base"), s)) for s in chosen]
 
 
+def _signs(body: Column) -> list[Column]:
+    """Whether a text may hold base spans of each kind; the last is true of every text."""
+    return [F.coalesce(body.rlike(sign), F.lit(False)) for sign in SIGNS] + [F.lit(True)]
+
+
 def fit(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", fit_docs: int = FIT_DOCS) -> Model:
-    """Trees and thresholds from about ``fit_docs`` documents, drawn by hash of id and
-    text, and at most ``FIT_ROWS`` labelled candidates of them."""
-    total = docs.count()
-    share = min(1.0, fit_docs / max(1, total))
+    """Trees and thresholds from about ``fit_docs`` documents, drawn by hash of id and text:
+    an equal part for each kind from those that show its signs, and one from all. Of each
+    kind at most ``FIT_ROWS`` / 4 labelled candidates are used, so that no kind, source or
+    size of the table leaves another without examples."""
     body = F.col(f"`{text}`")
-    drawn = docs.select(body.alias("text"), F.xxhash64(F.col(f"`{doc_id}`"), F.length(body)).alias("draw")).where(
-        F.pmod("draw", F.lit(1 << 20)) < int(share * (1 << 20))
-    )
+    signs = _signs(body)
+    sizes = docs.agg(*[F.count(F.when(s, 1)).alias(f"n{i}") for i, s in enumerate(signs)]).first()
+    # A group's draws are the hashes below its share of their range.
+    shares = [min(1.0, fit_docs / len(signs) / max(1, n)) for n in sizes]
+    limits = [min(int(share * 2**64) - 2**63, 2**63 - 1) for share in shares]
+    tagged = docs.select(body.alias("text"), F.xxhash64(F.col(f"`{doc_id}`"), F.length(body)).alias("draw"))
+    wanted = [s & (F.col("draw") <= F.lit(limit)) for s, limit in zip(_signs(F.col("text")), limits)]
+    drawn = tagged.where(reduce(Column.__or__, wanted))
 
     def label(c: dict[str, list]) -> dict[str, list]:
         return {"found": [[{"x": x, "y": y} for x, y in examples(t or "")] for t in c["text"]]}
 
+    by_kind = Window.partitionBy("kind").orderBy(F.xxhash64("draw", "i"), "draw", "i", "f.x")
     rows = (
         per_row(drawn, ["text"], label, "found array<struct<x: array<double>, y: int>>")
         .select("draw", F.posexplode("found").alias("i", "f"))
-        .orderBy(F.xxhash64("draw", "i"), "draw", "i", "f.x")
-        .limit(FIT_ROWS)
-        .select("f.x", "f.y")
+        .withColumn("kind", F.array_position(F.slice("f.x", 1, len(KINDS)), F.lit(1.0)))
+        .withColumn("place", F.row_number().over(by_kind))
+        .where(F.col("place") <= FIT_ROWS // len(KINDS))
+        .select("place", "kind", "f.x", "f.y")
         .collect()
     )
+    rows.sort(key=lambda r: (r["place"], r["kind"]))
     y = np.array([r["y"] for r in rows], float)
     if not 0 < y.sum() < len(y):
         return Model()
     x = np.array([r["x"] for r in rows])
-    back = np.arange(len(y)) % 3 == 0
+    back = np.array([r["place"] % 3 == 0 for r in rows])
     if not (0 < y[back].sum() < back.sum() and 0 < y[~back].sum() < (~back).sum()):
         return Model()
     model = boosting.calibrated(boosting.fit(x[~back], y[~back]), x[back], y[back])

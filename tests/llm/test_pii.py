@@ -147,3 +147,32 @@ def test_taken_places_equal_a_scan():
             if not meets:
                 taken.add(a, b)
                 spans.append((a, b))
+
+
+def test_a_rare_kind_is_learnt_beside_a_common_one(spark):
+    """Cards in 40 of 4,000 documents, addresses in all of them, a sample of 200 documents."""
+    rare = {i for i, _ in corpus(4000)[::100]}
+    rows = [(i, t if i in rare else f"node 10.{i % 250}.3.{i % 99} up at 10.1.{i % 200}.7, load {i}") for i, t in corpus(4000)]
+    model = pii.fit(documents(spark, rows), fit_docs=200)
+    assert {"card", "email", "ip", "phone"} <= set(model.thresholds)
+    text = "card no 7536.7841.2781.3050 was used"
+    assert ("card", "7536.7841.2781.3050") in {(s["kind"], text[s["start"] : s["end"]]) for s in model.spans(text)}
+
+
+def test_recall_of_planted_forms_by_kind(spark):
+    """Loose forms of other values than the fit saw, and look-alikes, in new texts."""
+    model = pii.fit(documents(spark, corpus()))
+    hits = {k: [] for k in pii.KINDS}
+    for i in range(60):
+        d = f"{(i * 7919 + 13) % 10**9:09d}"
+        card = "4485" + d + f"{i:02d}"
+        card = next(card + str(k) for k in range(10) if pii.luhn(card + str(k)))
+        values = {
+            "email": f"jo.{'abcdefghij'[i % 10]}n{i}@site{i % 7}.org", "ip": f"192.168.{i}.{250 - i}",
+            "card": card, "phone": f"+1 (415) 55{i % 10}-{d[:4]}",
+        }
+        for kind, value in values.items():
+            for form in pii._loosened(kind, value):
+                text = f"please note that {form} belongs to them"
+                hits[kind].append(form in [text[s["start"] : s["end"]] for s in model.spans(text) if s["kind"] == kind])
+    assert all(sum(h) >= 0.9 * len(h) for h in hits.values()), {k: sum(h) / len(h) for k, h in hits.items()}
