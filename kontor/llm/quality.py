@@ -11,7 +11,7 @@ the outermost ones. Both classes weigh the same in the fit: the score is the
 probability of label 1 where both labels are equally common.
 
 Only the fit is bounded (``docs_per_class`` texts of at most ``max_fit_bytes`` for
-each class and use, drawn by hash from all labelled rows); every text is scored whole.
+each class and use, together at most ``max_group_bytes``, drawn by hash from all labelled rows); every text is scored whole.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kontor.llm.common import fresh, per_row
@@ -32,6 +32,8 @@ DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
 DOCS_PER_CLASS = 1500
 MAX_FIT_BYTES = 1 << 17
+# For each class and use: texts in hash order up to this many bytes.
+MAX_GROUP_BYTES = 16 << 20
 FOLDS = 3
 HELD_OUT_FOLD = 1
 DICTIONARY_FOLD = 0
@@ -130,11 +132,13 @@ def fit(
     labels: DataFrame,
     docs_per_class: int = DOCS_PER_CLASS,
     max_fit_bytes: int = MAX_FIT_BYTES,
+    max_group_bytes: int = MAX_GROUP_BYTES,
 ) -> Model:
     """Fit on the labelled rows outside the held-out fold.
 
     A doc_id labelled both 0 and 1, or whose label or text is null, teaches nothing.
-    At most 4 * ``docs_per_class`` texts of up to ``max_fit_bytes`` reach the driver.
+    At most 4 * ``docs_per_class`` texts of up to ``max_fit_bytes``, and 4 *
+    ``max_group_bytes`` in all, reach the driver.
     """
     f = fold(F.col("doc_id"))
     clean = (
@@ -158,13 +162,19 @@ def fit(
                 .limit(docs_per_class)
             )
             chosen = part if chosen is None else chosen.unionByName(part)
-    # At most 4 * docs_per_class ids: a broadcast of bounded size.
+    # At most 4 * docs_per_class ids: a broadcast and windows of bounded size.
+    of_use = Window.partitionBy("quality", "teaches").orderBy(F.xxhash64("doc_id"), "doc_id")
     rows = (
         texts.join(F.broadcast(chosen), "doc_id")
         .groupBy("doc_id", "quality", "teaches")
         .agg(F.min("text").alias("text"))
+        .withColumn("bytes", F.sum(F.octet_length("text")).over(of_use))
+        .where(F.col("bytes") <= max_group_bytes)
+        .select("doc_id", "quality", "teaches", "text")
         .collect()
     )
+    if len({r["quality"] for r in rows}) < 2:
+        return Model(b"", b"")
     rows.sort(key=lambda r: r["doc_id"])
     taught = {q: [r["text"] for r in rows if r["quality"] == q and r["teaches"]] for q in (0, 1)}
     if not all(taught.values()):  # too few labels to hold some back from the dictionaries

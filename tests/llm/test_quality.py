@@ -65,3 +65,13 @@ def test_keep_good_keeps_columns_and_clean_rows(spark):
 
 def test_few_texts_make_a_raw_dictionary():
     assert quality.train_dictionary(["abc"]) == b"abc"
+
+
+def test_the_fit_is_bounded_in_bytes(spark):
+    rows, labels = corpus()
+    docs, labelled = documents(spark, rows), spark.createDataFrame(labels, LABELS)
+    whole = quality.fit(docs, labelled)
+    assert quality.fit(docs, labelled, max_group_bytes=1 << 30) == whole
+    less = quality.fit(docs, labelled, max_group_bytes=8_000)
+    assert less.weights and len(less.good) < len(whole.good) + len(whole.bad) and less != whole
+    assert quality.fit(docs, labelled, max_group_bytes=1) == quality.Model(b"", b"")
