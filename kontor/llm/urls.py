@@ -6,11 +6,12 @@ one row per block, built by one aggregation, so it grows with the list and no
 task ever holds it whole. A page's URL is looked up in its block; the few that
 pass (every listed URL and about one in a thousand others) meet the list itself
 in an exact hash join, which removes the false positives. Pages that fail the
-filter never reach that join.
+filter, or have no URL, never reach that join.
 
-Only DataFrame functions are used. Repeated URLs of one host or page cost the
-same as others: the filter lookup joins on the block, the exact join runs over
-different URLs only.
+Only DataFrame functions are used. The filter is broadcast up to a checked size,
+so pages are not shuffled for the look-up. The sides that pages meet in a join
+hold each block or URL once, so where one listed URL is that of very many pages
+AQE may split its partition.
 """
 
 from __future__ import annotations
@@ -127,8 +128,8 @@ def blocks_for(listed: int) -> int:
     return max(1, -(-listed * BITS_PER_URL // BLOCK_BITS))
 
 
-def possible_hits(urls: DataFrame, listed: DataFrame, blocks: int) -> DataFrame:
-    """Rows of ``urls`` (column ``url``) that pass the filter of ``listed``."""
+def with_possible_hit(urls: DataFrame, listed: DataFrame, blocks: int, flag: str = "possible") -> DataFrame:
+    """``urls`` (column ``url``) with a flag: whether the URL passes the filter of ``listed``."""
     bloom = bloom_filter(listed, blocks)
     if blocks * BLOCK_BYTES <= MAX_BROADCAST_BYTES:
         bloom = F.broadcast(bloom)
@@ -136,7 +137,13 @@ def possible_hits(urls: DataFrame, listed: DataFrame, blocks: int) -> DataFrame:
     held = F.lit(True)
     for i, salt in enumerate(SALTS):
         held = held & (F.col(f"w{i}").bitwiseAND(_bit(key, salt)) != 0)
-    return urls.withColumn("block", _block(key, blocks)).join(bloom, "block").where(held).select(*urls.columns)
+    looked_up = urls.withColumn("block", _block(key, blocks)).join(bloom, "block", "left")
+    return looked_up.select(*urls.columns, F.coalesce(held, F.lit(False)).alias(flag))
+
+
+def possible_hits(urls: DataFrame, listed: DataFrame, blocks: int) -> DataFrame:
+    """Rows of ``urls`` (column ``url``) that pass the filter of ``listed``."""
+    return with_possible_hit(urls, listed, blocks).where("possible").select(*urls.columns)
 
 
 def judge(
@@ -159,11 +166,13 @@ def judge(
     rows = pages.select(
         F.col(f"`{page_id}`").alias("page_id"), F.col(f"`{url}`").alias("raw"), canonical(F.col(f"`{url}`")).alias("url")
     )
-    asked = rows.where(F.col("url").isNotNull()).select("url").distinct()
-    hits = possible_hits(asked, wanted, blocks).join(wanted, "url", "left_semi").withColumn("hit", F.lit(True))
+    known = with_possible_hit(rows.where(F.col("url").isNotNull()), wanted, blocks)
+    hits = wanted.withColumn("hit", F.lit(True))
+    found = known.where("possible").drop("possible").join(hits, "url", "left")
+    others = known.where(~F.col("possible")).drop("possible").unionByName(rows.where(F.col("url").isNull()))
     host, path = host_of(F.col("raw")), path_of(F.col("raw"))
     return (
-        rows.join(hits, "url", "left")
+        found.unionByName(others.withColumn("hit", F.lit(False)))
         .select(
             "page_id",
             host.alias("host"),

@@ -47,3 +47,25 @@ def test_filter_has_no_false_negative_and_few_false_positives(spark):
     assert urls.possible_hits(listed, listed, blocks).count() == 4000
     assert urls.possible_hits(others, listed, blocks).count() < 200
     assert urls.bloom_filter(listed, blocks).count() <= blocks
+
+
+def test_only_possible_hits_reach_the_list(spark):
+    listed = spark.createDataFrame([("hot.net/p",), ("x.net/p",)], "url string")
+    rows = [(i, "http://hot.net/p") for i in range(600)] + [(i, None) for i in range(600, 1200)]
+    rows += [(i, f"http://y{i}.net/") for i in range(1200, 1800)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string")
+    looked_up = urls.with_possible_hit(pages.select(urls.canonical(pages.url).alias("url")), listed, urls.blocks_for(2))
+    passed = [r.url for r in looked_up.where("possible").collect()]
+    assert passed.count("hot.net/p") == 600 and None not in passed and len(passed) < 650
+    got = urls.judge(pages, listed).collect()
+    assert sorted(r.page_id for r in got) == list(range(1800))
+    assert {r.page_id for r in got if r.listed} == set(range(600))
+
+
+def test_a_large_filter_gives_the_same_without_broadcast(spark, monkeypatch):
+    listed = spark.range(300).selectExpr("concat('h', id, '.net/p') AS url")
+    pages = spark.range(900).selectExpr("id AS page_id", "if(id % 7 = 0, null, concat('http://h', id % 500, '.net/p')) AS url")
+    want = sorted(map(str, urls.judge(pages, listed).collect()))
+    monkeypatch.setattr(urls, "MAX_BROADCAST_BYTES", 0)
+    assert sorted(map(str, urls.judge(pages, listed).collect())) == want
+    assert sum("listed=True" in r for r in want) == sum(i % 7 != 0 and i % 500 < 300 for i in range(900))
