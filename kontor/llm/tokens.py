@@ -14,9 +14,13 @@ and dropped when the table outgrows its bound, so memory is bounded by parameter
 
 A text is cut into chunks. The state map of a chunk is what it does to an entry state:
 from the first place that no piece spans on, it is constant (one exit state, one
-count); only the head before it depends on the entry. Maps compose associatively; the
-scan over chunks hands each head its entry state, in as many rounds as the longest run
-of chunks without such a place. Within a round all chunks step together as vectors.
+count). A chunk without such a place has a map over the few states that may enter it:
+those that reading the characters before it from each of several places leads to, and
+what the maps before it lead to. Maps compose associatively; a prefix scan composes
+them by doubling, in as many rounds as the logarithm of the longest run of such chunks,
+and gives each chunk its entry state. Where a state enters that a map does not have,
+the maps are widened and scanned again, so guesses never touch the result. Within a
+round all chunks step together as vectors.
 """
 
 from __future__ import annotations
@@ -36,6 +40,8 @@ CHUNK = 256
 # Characters worked on at a time; states and remembered pairs before they are dropped.
 BATCH_CHARS = 1 << 21
 MAX_STATES = 300_000
+# Entry states of a chunk's map before only those that are sure to enter are added.
+MAX_ENTRIES = 64
 # A transition holds the next state above the annotation, which is kept off zero.
 SHIFT, BIAS = 8, 128
 # A transition's key is the state above the class; keys are spread by a multiplication.
@@ -212,6 +218,70 @@ class Transducer:
         out_state[order], out_count[order] = now, count
         return out_state, out_count
 
+    def entry_guesses(self, text: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in ``begins``, state) of states that may enter there: those that the
+        characters before lead to when a token begins at any of the places in reach."""
+        reach = max(map(len, self.scores), default=1)
+        starts = (begins[:, None] - reach - np.arange(reach)).clip(0).ravel()
+        rows = np.repeat(np.arange(len(begins)), reach)
+        return rows, self.run(text, starts, begins[rows], np.zeros(len(rows), np.int64))[0]
+
+    def scan(
+        self, text: np.ndarray, begins: np.ndarray, ends: np.ndarray, through: np.ndarray, exits: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """(exit state, count) of the chunks ``through``, none of which has a constant map.
+        ``exits`` holds the exit states of the chunks before their runs."""
+        n = len(through)
+        heads = np.concatenate([[True], np.diff(through) > 1])  # a run's first chunk
+        first = np.maximum.accumulate(np.where(heads, np.arange(n), 0))
+        known = exits[through[heads] - 1]
+        rows, states = self.entry_guesses(text, begins[through])
+        rows, states = rows[~heads[rows]], states[~heads[rows]]  # what enters a run's head is known
+        entry = np.unique(np.concatenate([rows, np.nonzero(heads)[0]]) << 32 | np.concatenate([states, known]))
+        out, size = self._maps(text, begins, ends, through, entry)
+        while True:
+            row = entry >> 32
+            place = np.arange(len(entry)) - np.searchsorted(row, row)  # of an entry in its chunk's map
+            width = int(place.max()) + 1
+            # Where each entry's exit stands in the next chunk's map; ``width`` where it doesn't.
+            wanted = (row + 1) << 32 | out
+            at = np.minimum(np.searchsorted(entry, wanted), len(entry) - 1)
+            maps = np.full((n, width + 1), width)
+            maps[row, place] = np.where(entry[at] == wanted, place[at], width)
+            # Compose: after the round of d, a map holds its chunk and up to 2d - 1 before it.
+            composed, d, longest = maps.copy(), 1, int((np.arange(n) - first).max()) + 1
+            while d < longest:
+                late = np.nonzero(np.arange(n) - first >= d)[0]
+                composed[late] = composed[late[:, None], composed[late - d]]
+                d *= 2
+            start = np.searchsorted(row, first)  # a run's one known entry is the only one of its head
+            entered = np.zeros(n, np.int64)
+            inner = np.nonzero(~heads)[0]
+            entered[inner] = composed[inner - 1, place[start[inner]]]
+            lost = np.nonzero(entered == width)[0]
+            own = np.searchsorted(row, np.arange(n)) + np.where(entered == width, 0, entered)
+            if not len(lost):
+                return out[own], size[own]
+            # Widen: the state that enters a run's first lost chunk, and what the maps before lead to.
+            broken = lost[np.unique(first[lost], return_index=True)[1]]
+            more = [broken << 32 | out[own[broken - 1]]]
+            if width < MAX_ENTRIES:
+                is_lost = np.zeros(n + 1, bool)
+                is_lost[lost] = True
+                more.append(wanted[is_lost[row + 1]])
+            new = np.setdiff1d(np.concatenate(more), entry)
+            new_out, new_size = self._maps(text, begins, ends, through, new)
+            both = np.concatenate([entry, new])
+            order = np.argsort(both, kind="stable")
+            entry, out, size = both[order], np.concatenate([out, new_out])[order], np.concatenate([size, new_size])[order]
+
+    def _maps(
+        self, text: np.ndarray, begins: np.ndarray, ends: np.ndarray, through: np.ndarray, entry: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """(exit state, count) of entries (place in ``through`` above the state)."""
+        chunk = through[entry >> 32]
+        return self.run(text, begins[chunk], ends[chunk], entry & 0xFFFFFFFF)
+
     def count(self, texts: list[str]) -> list[int]:
         """Tokens of each text. A text begins with a space mark, spaces are space marks."""
         if len(self.states) > MAX_STATES:
@@ -234,20 +304,14 @@ class Transducer:
         fixed = np.append(places, len(text))[np.searchsorted(places, begins)]  # the first free place of each chunk
         constant = fixed < ends
         exits, counts = np.zeros(len(begins), np.int64), np.zeros(len(begins), np.int64)
-        known = constant.copy()
         exits[constant], counts[constant] = self.run(
             text, fixed[constant], ends[constant], np.zeros(int(constant.sum()), np.int64)
         )
-        heads = np.nonzero(fixed > begins)[0]
-        while len(heads):
-            ready = known[heads - 1]
-            own = heads[ready]
-            state, n = self.run(text, begins[own], np.minimum(fixed[own], ends[own]), exits[own - 1])
-            counts[own] += n
-            through = ~constant[own]
-            exits[own[through]] = state[through]
-            known[own] = True
-            heads = heads[~ready]
+        through = np.nonzero(~constant)[0]
+        if len(through):
+            exits[through], counts[through] = self.scan(text, begins, ends, through, exits)
+        heads = np.nonzero(constant & (fixed > begins))[0]
+        counts[heads] += self.run(text, begins[heads], fixed[heads], exits[heads - 1])[1]
         sums = np.add.reduceat(counts, np.searchsorted(begins, first))
         out = [0] * len(texts)
         for i, n in zip(used, sums.tolist()):
