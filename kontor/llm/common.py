@@ -14,6 +14,11 @@ from kontor.session import shared_folder
 
 # Characters that separate words: space and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
+# A side that is proven to have at most this size may be broadcast.
+MAX_BROADCAST_BYTES = 32 << 20
+# Rows of a key from which ``join_spread`` leaves them where they are, and the most such keys.
+HOT_ROWS = 10_000
+MAX_HOT_KEYS = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +40,21 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def join_spread(many: DataFrame, one: DataFrame, key: str) -> DataFrame:
+    """Inner join on ``key`` of ``many`` with ``one``, which has one row of a few fixed-width
+    columns for each key. A key of very many rows is not brought together: its row of
+    ``one`` is broadcast. There are at most ``MAX_HOT_KEYS`` such keys, whatever the size
+    of ``many``, since each holds at least that share of its rows. Both sides are read
+    several times. Null keys match nothing."""
+    least = max(HOT_ROWS, -(-many.count() // MAX_HOT_KEYS))
+    hot = settle(many.groupBy(key).count().where(F.col("count") >= least).select(key))
+    if not hot.count():
+        return many.join(one, key)
+    hot = F.broadcast(hot)
+    crowded = many.join(F.broadcast(one.join(hot, key, "left_semi")), key)
+    return crowded.unionByName(many.join(hot, key, "left_anti").join(one, key))
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text as bigint; null counts as empty."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")

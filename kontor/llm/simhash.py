@@ -12,18 +12,24 @@ is small enough: no link is lost, none is false.
 Equal fingerprints are joined first, so a group of copies is one entry. The
 number of segments follows the number of fingerprints (it balances probes
 against the chance matches they fetch) and never changes the result.
+
+Where very many fingerprints share a segment's value (a family of near copies), the
+ones stored there and those that probe there are cut into blocks by hash; each pair of
+blocks is compared whole and returns a spanning set of its links, not all of them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations, repeat
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kontor.llm.common import fresh, per_row, settle
+from kontor.llm.common import MAX_BROADCAST_BYTES, fresh, join_spread, per_row, settle
 from kontor.llm.components import connected_components
 
 BITS = 64
@@ -32,6 +38,12 @@ SHINGLE_WORDS = 4
 MAX_DISTANCE = 4
 # Shingles whose bits are counted at a time.
 BLOCK = 1 << 13
+# Fingerprints stored under one value of a segment beyond which they are worked off in
+# blocks, and fingerprints of a block.
+CROWD = 256
+CROWD_BLOCK = 1024
+# Bytes of a crowded cell as a row.
+CELL_BYTES = 40
 
 
 def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
@@ -101,9 +113,59 @@ def _probes(masks: Column, part: Column, value: Column) -> Column:
     return F.transform(masks, lambda mask: F.struct(part, value.bitwiseXOR(mask).alias("value")))
 
 
+def _spanning(xs: np.ndarray, ys: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that join what the links between two blocks of fingerprints join, at most
+    one for each fingerprint."""
+    differ = (xs[:, None] ^ ys[None, :]).view(np.uint64)  # bits of signed numbers are those of their size
+    near = np.bitwise_count(differ) <= distance
+    i, j = np.nonzero(near & (xs[:, None] != ys[None, :]))
+    j += len(xs)
+    every = np.concatenate([xs, ys])
+    label = np.arange(len(every))
+    while True:
+        new = label.copy()
+        np.minimum.at(new, i, label[j])
+        np.minimum.at(new, j, new[i])
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    tied = every[label] != every
+    return every[tied], every[label[tied]]
+
+
+def _crowded_links(asked: DataFrame, index: DataFrame, crowded: DataFrame, distance: int) -> DataFrame:
+    """Spanning links (x, y) of the cells ``crowded`` (part, value, stored)."""
+    cell = ["part", "value"]
+
+    def blocks(name: str, count: str) -> Column:
+        parts = F.ceil(F.col(count) / F.lit(CROWD_BLOCK)).cast("int")
+        return F.pmod(F.xxhash64(name), parts).cast("int")
+
+    here = asked.join(crowded, cell)
+    sized = here.groupBy(*cell).agg(F.count(F.lit(1)).alias("asking"))
+    probes = here.join(sized, cell).withColumn("xb", blocks("x", "asking"))
+    stored = index.join(crowded, cell).withColumn("yb", blocks("y", "stored"))
+    last = F.ceil(F.col("stored") / F.lit(CROWD_BLOCK)).cast("int") - 1
+    probe_blocks = probes.groupBy(*cell, "xb", "stored").agg(F.collect_list("x").alias("xs"))
+    spread = probe_blocks.select(*cell, "xs", F.explode(F.sequence(F.lit(0), last)).alias("yb"))
+    stored_blocks = stored.groupBy(*cell, "yb").agg(F.collect_list("y").alias("ys"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                xs, ys = (batch.column(k)[row].values.to_numpy() for k in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in _spanning(xs, ys, distance)], names=["x", "y"])
+
+    units = spread.join(stored_blocks, [*cell, "yb"]).select("xs", "ys")
+    return units.mapInArrow(work, "x bigint, y bigint")
+
+
 def linked_fingerprints(fingerprints: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
-    """``fingerprints``: one bigint column of different values. Returns the pairs
-    (x, y) that differ in 1 to ``distance`` bits, each once, as the links of a graph."""
+    """``fingerprints``: one bigint column of different values. Returns pairs (x, y),
+    each once, as the links of a graph with the same components as that of all pairs
+    that differ in 1 to ``distance`` bits: those pairs themselves, but for segment values
+    that more than ``CROWD`` fingerprints share a spanning set for each pair of blocks."""
     fp = fingerprints.select(F.col(fingerprints.columns[0]).alias("fp"))
     parts = choose_segments(distance, fp.count())
     # A set number of partitions: each fingerprint becomes dozens of probes.
@@ -116,19 +178,32 @@ def linked_fingerprints(fingerprints: DataFrame, distance: int = MAX_DISTANCE) -
         asked_at.append(_probes(masks, tag, value))
     index = fp.select(F.col("fp").alias("y"), F.inline(F.array(*stored_at)))
     asked = fp.select(F.col("fp").alias("x"), F.inline(F.concat(*asked_at)))
+    crowded = settle(
+        index.groupBy("part", "value").agg(F.count(F.lit(1)).alias("stored")).where(F.col("stored") > CROWD)
+    )
+    cells = crowded.count()
     near = F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= distance
-    return asked.join(index, ["part", "value"]).where((F.col("x") < F.col("y")) & near).select("x", "y").distinct()
+    apart = (F.col("x") < F.col("y")) & near
+    if not cells:
+        return asked.join(index, ["part", "value"]).where(apart).select("x", "y").distinct()
+    if cells * CELL_BYTES <= MAX_BROADCAST_BYTES:
+        crowded = F.broadcast(crowded)
+    others = index.join(crowded, ["part", "value"], "left_anti")
+    links = asked.join(others, ["part", "value"]).where(apart).select("x", "y")
+    return links.unionByName(_crowded_links(asked, index, crowded, distance)).distinct()
 
 
 def _classes(prints: DataFrame, distance: int) -> DataFrame:
-    """(fingerprint, component_id) of rows with doc_id and fingerprint."""
-    smallest = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"))
+    """(fingerprint, component, component_id) of rows with doc_id and fingerprint."""
+    smallest = settle(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")))
     linked = connected_components(linked_fingerprints(smallest.select("fingerprint"), distance))
-    named = smallest.join(linked, F.col("fingerprint") == F.col("node"), "left").select(
-        "fingerprint", F.coalesce("component", "fingerprint").alias("component"), "first_id"
+    named = settle(
+        smallest.join(linked, F.col("fingerprint") == F.col("node"), "left").select(
+            "fingerprint", F.coalesce("component", "fingerprint").alias("component"), "first_id"
+        )
     )
     ids = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    return named.join(ids, "component").select("fingerprint", "component", "component_id")
+    return settle(join_spread(named.drop("first_id"), ids, "component"))
 
 
 def near_duplicates(
@@ -150,7 +225,7 @@ def near_duplicates(
     """
     slim = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     prints = settle(with_fingerprint(slim, "text", words))
-    return prints.join(_classes(prints, distance), "fingerprint").select(
+    return join_spread(prints, _classes(prints, distance), "fingerprint").select(
         "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
     )
 
@@ -165,9 +240,11 @@ def keep_first(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = MAX_
     )
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "content")
     first = (
-        prints.join(_classes(prints, distance), "fingerprint")
-        .groupBy("component")
+        prints.groupBy("fingerprint")
         .agg(F.min(order).alias("first"))
+        .join(_classes(prints, distance), "fingerprint")
+        .groupBy("component")
+        .agg(F.min("first").alias("first"))
         .select(F.col("first.doc_id").alias("_id"), F.col("first.content").alias("_content"))
     )
     rows = prints.groupBy(F.col("doc_id").alias("_id"), F.col("content").alias("_content")).count()

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 import xxhash
 from helpers_llm import clashing, documents
 from hypothesis import given, settings
@@ -82,6 +83,45 @@ def test_near_duplicates_equal_brute_force(spark):
     assert sorted((str(r.doc_id), r.fingerprint, str(r.component_id)) for r in got) == want
 
 
+def family(size, base=0x8123456789ABCDEF, first=4):
+    """Different fingerprints, each with at most two bits other than ``base``."""
+    flips = [1 << a | 1 << b for a in range(first, 64) for b in range(first, a + 1)]
+    return [base, *[base ^ f for f in flips[: size - 1]]]
+
+
+@pytest.mark.parametrize("crowd, block", [(256, 1024), (8, 16), (8, 1024)])
+def test_families_give_links_in_the_order_of_their_size(spark, monkeypatch, crowd, block):
+    monkeypatch.setattr(simhash, "CROWD", crowd)
+    monkeypatch.setattr(simhash, "CROWD_BLOCK", block)
+    rng = np.random.default_rng(3)
+    prints = family(460) + [int(x) for x in rng.integers(0, 2**63, 80)] + family(60, base=0, first=20)
+    prints += [prints[-1] ^ 0xF0000, prints[-1] ^ 0xFF0000]  # a chain out of the family
+    prints = list(dict.fromkeys(prints))
+    signed = [p - 2**64 if p >= 2**63 else p for p in prints]
+    links = simhash.linked_fingerprints(spark.createDataFrame([(p,) for p in signed], "f bigint")).collect()
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "x bigint, y bigint")).collect()}
+    want = plain_components(prints, list(range(len(prints))))
+    least: dict = {}
+    for p, c in zip(signed, want):
+        least.setdefault(c, []).append(p)
+    for members in least.values():
+        assert {got.get(p, p) for p in members} == {min(members)} if len(members) > 1 else members[0] not in got
+    if crowd == 8 and block == 1024:  # no more than one pair a fingerprint and crowded cell, few others
+        all_pairs = sum((a ^ b).bit_count() <= 4 for i, a in enumerate(prints) for b in prints[:i])
+        assert all_pairs > 100_000 and len(links) < 20 * len(prints)
+
+
+def test_a_common_fingerprint_stays_spread(spark, monkeypatch):
+    from kontor.llm import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    rows = [(i, "the same text in many documents of all") for i in range(9, 60)] + [(i, None) for i in range(100, 120)]
+    rows += [(i, f"number {i} stands alone here with {i * i} and {i * 7}") for i in range(200, 230)]
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(documents(spark, rows)).collect()}
+    want = plain_components([plain_fingerprint(t) for _, t in rows], [i for i, _ in rows])
+    assert got == {i: c for (i, _), c in zip(rows, want)}
+
+
 def test_no_documents(spark):
     empty = documents(spark, [])
     assert simhash.near_duplicates(empty).collect() == []
