@@ -6,23 +6,23 @@ task. Here no window ever runs over transactions:
 1. the rows are counted per (keys, instant) by hash aggregates over fixed-width values
    with partial sums on the map side, so a burst of one account, or a single second with
    very many rows, collapses before the shuffle. The aggregate also finds the least
-   transaction id of an instant, which names its first row;
+   transaction id of an instant, which names its first row, and whether several rows may
+   have it;
 2. running counts over the instants, in two steps: within a stretch of 2^24 seconds (``STRETCH_BITS``)
    and over the stretches of an account. Both window partitions are bounded by the
    calendar, whatever the account's rows; they and the stretches' totals share one
-   exchange;
+   exchange. Trailing counts need no totals: a stretch also holds the instants before it
+   that its frames can reach;
 3. one join on (keys, instant) gives each row its numbers. Its small side has one
    row per key, so AQE can split the partition of an instant that holds very many
    rows.
 
 Everything a row needs is a function of its instant: the ever count is the
-running count, a trailing count is the difference of two running counts (the
-other end of the frame is a point that takes part in the running count with no
-rows), and the previous row's instant is the row's own instant unless the row is
-the first of its instant. The further tie-breakers are looked at only where an id
-stands twice in an instant: those rows, found before any join, are counted and laid
-out again, never ordered, and exactly one copy is first. Where there are none, AQE
-drops that branch.
+running count, a trailing count is the difference of two running counts, and the previous
+row's instant is the row's own instant unless the row is the first of its instant. The
+further tie-breakers are looked at only where the least id may stand twice in an instant:
+those rows, found before any join, are counted and laid out again, never ordered, and
+exactly one copy is first. Where there are none, AQE drops that branch.
 
 Keys and instants that are NULL are given stand-ins beside a mask of what was NULL, so
 that all joins and groups are plain equalities on one partitioning. Results equal the
@@ -69,6 +69,13 @@ def _names(keys: Sequence[str]) -> list[str]:
     return [*[f"_k{i}" for i in range(len(keys))], "_nulls"]
 
 
+def _reads(columns: Sequence[str]) -> Column:
+    """0 in every row, after a look at all of ``columns``. Two uses of the same rows share
+    their exchange only where both need the same columns of it; a count would not do, as that
+    of a column that is never NULL reads nothing."""
+    return F.pmod(F.xxhash64(*columns), F.lit(1))
+
+
 def _place(df: DataFrame, keys: Sequence[str]) -> list[Column]:
     """Keys, NULL mask and instant of a row as values that are never NULL."""
 
@@ -86,82 +93,81 @@ def _place(df: DataFrame, keys: Sequence[str]) -> list[Column]:
 
 def _instants(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, _t, _n): rows of each instant."""
-    return df.groupBy(*_place(df, keys)).agg(F.count(F.lit(1)).alias("_n"))
+    return df.where(_reads(df.columns) == 0).groupBy(*_place(df, keys)).agg(F.count(F.lit(1)).alias("_n"))
 
 
 def _first_of_instants(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys, _t, _n, _id, _without, _most): rows of each instant, its least id, how many
-    rows have no id, and how often the commonest id stands there."""
-    own = TIE_BREAKERS[0]
-    by_id = df.groupBy(*_place(df, keys), F.col(own).alias("_id")).agg(F.count(F.lit(1)).alias("_c"))
-    return by_id.groupBy(*_names(keys), "_t").agg(
-        F.sum("_c").alias("_n"),
-        F.min("_id").alias("_id"),
-        F.sum(F.when(F.col("_id").isNull(), F.col("_c")).otherwise(0)).alias("_without"),
-        F.coalesce(F.max("_c"), F.lit(0)).alias("_most"),
+    """(keys, _t, _n, _id, _state): rows of each instant and which of them is the first.
+    State 0: it stands alone; 1: the only row with ``_id``, the least id (NULL before all);
+    2: several rows may have that id. One aggregate over fixed-width values; an id is
+    carried on only where it decides."""
+    own = F.col(TIE_BREAKERS[0])
+    found = df.where(_reads(df.columns) == 0).groupBy(*_place(df, keys)).agg(
+        F.count(F.lit(1)).alias("_n"), F.count(own).alias("_with"), F.min(own).alias("_low"), F.max(own).alias("_high")
     )
+    alone, without = F.col("_n") == 1, F.col("_n") - F.col("_with")
+    two = (F.col("_n") == 2) & (without == 0) & (F.col("_low") < F.col("_high"))
+    state = F.when(alone, 0).when((without == 1) | two, 1).otherwise(2).cast("tinyint")
+    least = F.when(~alone & (without == 0), F.col("_low"))
+    return found.select(*_names(keys), "_t", "_n", least.alias("_id"), state.alias("_state"))
 
 
-def _running(instants: DataFrame, keys: Sequence[str], windows: dict[str, int]) -> DataFrame:
-    """``instants`` with ``_ever`` (rows up to the instant), ``_prev`` (the instant before)
-    and one column per trailing window."""
+def _running(instants: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``instants`` with ``_ever`` (rows up to the instant) and ``_prev`` (the instant before)."""
     by = _names(keys)
-    t = F.col("_t")
-    # Kind 0 is the instant, the others the last second before a trailing frame.
-    ends = [t, *[t - F.lit(int(s) + 1) for s in windows.values()]]
-    kinds = [F.struct(e.alias("_at"), F.lit(i).alias("_kind")) for i, e in enumerate(ends)]
     kept = [c for c in instants.columns if c not in (*by, "_t")]
-    points = instants.select("*", F.inline(F.array(*kinds))) if windows else instants.withColumns(
-        {"_at": t, "_kind": F.lit(0)}
-    )
-    points = points.withColumn("_stretch", F.shiftright("_at", STRETCH_BITS)).repartition(*by, "_stretch")
-    here = F.col("_kind") == 0
-    rows = F.when(here, F.col("_n")).otherwise(0)
-    own_instant = F.when(here, F.col("_at"))
-
-    # The totals read every column (into one that is always 0), so that both uses of the
-    # points need the same columns and share one exchange.
-    seen = reduce(lambda a, b: a + b, [F.count(c) for c in [*kept, "_t"]])
+    read = [c for c in kept if c != "_n"]
+    points = instants.withColumn("_stretch", F.shiftright("_t", STRETCH_BITS)).repartition(*by, "_stretch")
+    # Both uses of the points share one exchange: where the running counts are not asked for,
+    # neither reads ``_n``.
     totals = points.groupBy(*by, "_stretch").agg(
-        F.sum(rows).alias("_rows"), F.max(own_instant).alias("_last"), seen.alias("_seen")
-    )
+        F.sum("_n").alias("_rows"), F.max("_t").alias("_last"), F.max(_reads(["_t", *read])).alias("_read")
+    ).where("_read = 0")
     earlier = Window.partitionBy(*by).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(
         *by,
         "_stretch",
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_rows_before"),
         F.max("_last").over(earlier).alias("_last_before"),
-        F.when(F.col("_seen") < 0, F.lit(0)).alias("_never"),
     )
-    # At equal places the instant comes before the ends of frames.
-    order = Window.partitionBy(*by, "_stretch").orderBy("_at", "_kind")
+    order = Window.partitionBy(*by, "_stretch").orderBy("_t")
     placed = points.select(
         "*",
-        F.sum(rows).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_so_far"),
-        F.max(own_instant).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("_prev_here"),
+        F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_so_far"),
+        F.max("_t").over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("_prev_here"),
     )
-    counted = placed.join(totals, [*by, "_stretch"]).select(
+    return placed.join(totals, [*by, "_stretch"]).select(
         *by,
         "_t",
         *kept,
-        "_kind",
         (F.col("_rows_before") + F.col("_so_far")).alias("_ever"),
-        F.coalesce("_prev_here", "_last_before", "_never").alias("_prev"),
-    )
-    if not windows:
-        return counted.drop("_kind")
-    # What was counted at the frames' ends comes back to its instant: one row each.
-    at = [F.max(F.when(F.col("_kind") == i, F.col("_ever"))) for i in range(len(windows) + 1)]
-    # Grouped by more than the rows are joined on: the join then has an exchange of its own on
-    # both sides, which AQE needs to split a crowded instant.
-    back = counted.groupBy(*by, "_t", F.shiftright("_t", STRETCH_BITS).alias("_own")).agg(
-        *[c.alias(f"_ever{i}") for i, c in enumerate(at)]
-    )
-    return back.select(
-        *by, "_t", *[(F.col("_ever0") - F.col(f"_ever{i}")).alias(n) for i, n in enumerate(windows, 1)]
+        F.coalesce("_prev_here", "_last_before").alias("_prev"),
     )
 
 
+def _trailing(instants: DataFrame, keys: Sequence[str], windows: dict[str, int]) -> DataFrame:
+    """(keys, _t) and one column per trailing window.
+
+    A stretch is as long as the longest window at least, and also holds the instants of the
+    one before that its own can reach back to: nothing else is needed to count there. Each
+    number is the difference of two running counts, whose frames only grow.
+    """
+    by = _names(keys)
+    reach = max(map(int, windows.values()), default=0)
+    bits = max(STRETCH_BITS, reach.bit_length())
+    stretch, place = F.shiftright("_t", bits), F.col("_t").bitwiseAND(F.lit((1 << bits) - 1))
+    late = place + F.lit(reach) >= F.lit(1 << bits)
+    stretches = F.when(late, F.array(stretch, stretch + 1)).otherwise(F.array(stretch))
+    held = instants.select("*", F.explode(stretches).alias("_stretch")).repartition(*by, "_stretch")
+    order = Window.partitionBy(*by, "_stretch").orderBy("_t")
+
+    def up_to(seconds: int) -> Column:
+        return F.coalesce(F.sum("_n").over(order.rangeBetween(Window.unboundedPreceding, -seconds)), F.lit(0))
+
+    counted = held.select(*by, "_t", "_stretch", *[(up_to(0) - up_to(int(s) + 1)).alias(n) for n, s in windows.items()])
+    return counted.where(stretch == F.col("_stretch")).drop("_stretch")
+
+
 def _with_instants(df: DataFrame, instants: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Each row with the columns of its (keys, instant)."""
     by = [*_names(keys), "_t"]
@@ -185,21 +191,21 @@ def sequence_columns(df: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS) -> DataF
     out = [*df.columns, ever, last]
     kind = df.schema[INSTANT].dataType
     instants = _first_of_instants(df, keys)
-    numbers = _running(instants, keys, {}).select(
-        *_names(keys), "_t", "_id", "_without", "_most", F.col("_ever").alias(ever),
+    numbers = _running(instants, keys).select(
+        *_names(keys), "_t", "_id", "_state", F.col("_ever").alias(ever),
         F.when(F.col("_prev") > NO_INSTANT, F.col("_prev")).cast(kind).alias("_prev"),
     )
-    own = F.col(TIE_BREAKERS[0])
-    # NULL ids come first; a row of the least id is the instant's first if it is the only one.
-    least = F.when(F.col("_without") > 0, own.isNull()).otherwise(own == F.col("_id"))
+    # A row of the least id is the instant's first if it is the only one.
+    least = (F.col("_state") == 0) | F.col(TIE_BREAKERS[0]).eqNullSafe(F.col("_id"))
     rows = _with_instants(df, numbers, keys)
-    single = rows.where((F.col("_most") == 1) | ~least).withColumn(
+    # Read whole after the join too, as the rows of doubtful instants below are: one exchange.
+    single = rows.where((F.col("_state") + _reads(df.columns) < 2) | ~least).withColumn(
         last, F.when(least, F.col("_prev")).otherwise(F.col(INSTANT))
     )
-    # Rows of the least id where an id stands more than once: the other tie-breakers decide,
+    # Rows of the least id where it may stand more than once: the other tie-breakers decide,
     # and among equal rows one of them is the first. These instants are a stage of their own:
     # where AQE finds it empty, it drops all that follows.
-    doubtful = instants.where("_most > 1").select(*_names(keys), "_t", "_id", "_without")
+    doubtful = instants.where("_state = 2").select(*_names(keys), "_t", "_id", "_state")
     doubtful = doubtful.repartition(F.length(F.col("_id").cast("string")), *_names(keys), "_t")
     equal = _with_instants(df, doubtful, keys).where(least).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
     rank = Window.partitionBy(*keys, INSTANT).orderBy(
@@ -210,7 +216,7 @@ def sequence_columns(df: DataFrame, keys: Sequence[str] = ACCOUNT_KEYS) -> DataF
     )
     # The condition holds for all of them; it reads the columns that the rows above read, so
     # that both joins share the exchange of the instants.
-    known = _with_instants(ranked, numbers, keys).where(least & (F.col("_copies") <= F.col("_most")))
+    known = _with_instants(ranked, numbers, keys).where(least & (F.col("_state") == 2))
     tied = known.withColumn(
         last, F.when((F.col("_rank") == 1) & (F.col("_copy") == 1), F.col("_prev")).otherwise(F.col(INSTANT))
     )
@@ -256,7 +262,7 @@ def trailing_counts(df: DataFrame, windows: dict[str, int], keys: Sequence[str]
     """For each ``name -> seconds``: count of the account's rows with request
     instant in [t - seconds, t] (rows without instant count each other)."""
     keys = _ordered(df, keys)
-    counts = _running(_instants(df, keys), keys, windows)
+    counts = _trailing(_instants(df, keys), keys, windows)
     return _with_instants(df, counts, keys).select(*df.columns, *windows)
 
 
