@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from kontor.functions import metrics as M
 from kontor.functions.columns import STATUS_COMPLETED
-from kontor.functions.windows import daily_cumulative_window, daily_lag_window
+from kontor.functions.windows import ACCOUNT_KEYS, TIE_BREAKERS, daily_cumulative_window, daily_lag_window
 from kontor.operators import percentiles
 from kontor.operators.filters import interval_closed
 from kontor.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, broadcast_if_small
@@ -221,7 +221,9 @@ def kpi_series(
     """
     names = list(metrics)
     if set(names) & M.NEEDS_SEQUENCE:
-        df = with_dimensions(ledger, products, by_product)
+        # The columns that order transactions and those of the series: no others are shuffled.
+        needed = {*ACCOUNT_KEYS, "product", "month", "txn_requested_at", *TIE_BREAKERS}
+        df = with_dimensions(ledger.select(*[c for c in ledger.columns if c in needed]), products, by_product)
     else:
         df = ledger if products is None else ledger.where(F.col("product").isin(*products))
         if set(names) & M.NEEDS_ROW_DIMENSIONS:
